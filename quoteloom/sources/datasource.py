@@ -1,0 +1,88 @@
+"""The ranged fetch as a Spark data source: ``spark.read.format(name)``.
+
+The work list is landed as Parquet files; each file is one input partition, so
+Spark has spread the keys over tasks when it wrote them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from quoteloom.operators.fetch import Provider, distribute
+from quoteloom.shared import fresh_path
+
+
+def land_worklist(
+    worklist: DataFrame,
+    *,
+    key: str = "symbol",
+    start: str = "start_date",
+    max_parallel: int | None = None,
+) -> str:
+    """Write the work list in as many files as fetch tasks are wanted; returns its path."""
+    path = fresh_path(worklist.sparkSession, "worklist")
+    items = worklist.selectExpr(f"`{key}` AS item", f"CAST(`{start}` AS DATE) AS lo")
+    distribute(items, max_parallel).write.parquet(path)
+    return path
+
+
+def register_fetch_source(
+    spark: SparkSession,
+    name: str,
+    provider: Provider,
+    schema: T.StructType,
+    *,
+    key: str = "symbol",
+) -> None:
+    """Register ``provider`` under ``name``.
+
+    Read with ``spark.read.format(name).option("worklist", path).load()``, and
+    ``option("end", "2024-01-31")`` to bound the range.  A failing call fails the read.
+    """
+    full = T.StructType([*schema.fields, T.StructField(key, T.StringType())])
+    value_columns = schema.fieldNames()
+
+    class FilePartition(InputPartition):
+        pass
+
+    class FetchReader(DataSourceReader):
+        def __init__(self, options):
+            self.path = options["worklist"]
+            self.end = options.get("end")
+
+        def partitions(self):
+            from pyarrow import fs
+
+            filesystem, root = fs.FileSystem.from_uri(self.path)
+            files = filesystem.get_file_info(fs.FileSelector(root))
+            names = sorted(f.path for f in files if f.base_name.endswith(".parquet"))
+            return [FilePartition(p) for p in names]
+
+        def read(self, partition):
+            import datetime as dt
+
+            import pyarrow.parquet as pq
+            from pyarrow import fs
+
+            filesystem, _ = fs.FileSystem.from_uri(self.path)
+            end = dt.date.fromisoformat(self.end) if self.end else None
+            with filesystem.open_input_file(partition.value) as f:
+                for batch in pq.ParquetFile(f).iter_batches(batch_size=1024):
+                    for item, lo in zip(*(batch.column(c).to_pylist() for c in ("item", "lo"))):
+                        rows = provider(item, lo, end)[value_columns].assign(**{key: item})
+                        yield from rows.itertuples(index=False, name=None)
+
+    class FetchSource(DataSource):
+        @classmethod
+        def name(cls):
+            return name
+
+        def schema(self):
+            return full
+
+        def reader(self, schema):
+            return FetchReader(self.options)
+
+    spark.dataSource.register(FetchSource)

@@ -1,0 +1 @@
+"""Intentionally empty: the capabilities rebuilt here are batch only (see README.md)."""
