@@ -86,6 +86,7 @@ def fetch(
 ) -> DataFrame:
     """Call ``provider`` once for each work item and return all rows it yields.
 
+    An item whose start is not before its end is up to date and makes no call.
     The result has ``schema``'s columns and the key.  ``on_error`` says what a
     raising call does: ``fail`` ends the job, ``drop`` leaves that item's rows out,
     ``route`` also adds one row with the key and the message in ``error`` (null in
@@ -103,12 +104,10 @@ def fetch(
         stop = F.col(end).cast("date")
     else:
         stop = F.lit(resolve_run_date(run_date))
-    items = distribute(
-        worklist.select(
-            F.col(key).alias("item"), F.col(start).cast("date").alias("lo"), stop.alias("hi")
-        ),
-        max_parallel,
-    )
+    due = worklist.select(
+        F.col(key).alias("item"), F.col(start).cast("date").alias("lo"), stop.alias("hi")
+    ).where(F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
+    items = distribute(due, max_parallel)
 
     value_columns = schema.fieldNames()
     out = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
@@ -116,27 +115,45 @@ def fetch(
     if routed:
         out = out.add(ERROR, T.StringType())
 
+    def call_one(item, lo, hi) -> pd.DataFrame:
+        rows = provider(item, lo, None if pd.isna(hi) else hi)
+        if not set(value_columns) <= set(rows.columns):
+            rows = rows.reset_index()
+        return rows[value_columns].assign(**{key: item})
+
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # results of small calls travel together; memory stays bounded by one call
+        # plus one full batch
+        full = 10_000
+        frames, n_rows, errors = [], 0, []
         for batch in batches:
             for item, lo, hi in zip(batch["item"], batch["lo"], batch["hi"]):
                 try:
-                    rows = provider(item, lo, None if pd.isna(hi) else hi)
-                    if not set(value_columns) <= set(rows.columns):
-                        rows = rows.reset_index()
-                    rows = rows[value_columns].assign(**{key: item})
-                    if routed:
-                        rows[ERROR] = None
+                    rows = call_one(item, lo, hi)
+                    if len(rows):
+                        frames.append(rows)
+                        n_rows += len(rows)
                 except Exception as e:
                     if on_error == "fail":
                         raise RuntimeError(f"fetch failed for {item!r}: {e}") from e
-                    rows = None
                     if routed:
-                        empty = dict.fromkeys(value_columns)
-                        rows = pd.DataFrame([{**empty, key: item, ERROR: str(e)}], dtype=object)
-                if rows is not None and len(rows):
-                    yield rows
+                        errors.append({**dict.fromkeys(value_columns), key: item, ERROR: str(e)})
+                if n_rows >= full:
+                    yield finish(frames)
+                    frames, n_rows = [], 0
+                if len(errors) >= full:
+                    yield pd.DataFrame(errors, dtype=object)
+                    errors = []
                 if pause:
                     time.sleep(random.uniform(*pause))
+        if frames:
+            yield finish(frames)
+        if errors:
+            yield pd.DataFrame(errors, dtype=object)
+
+    def finish(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(frames, ignore_index=True)
+        return rows.assign(**{ERROR: None}) if routed else rows
 
     return items.mapInPandas(call_all, out)
 

@@ -136,7 +136,8 @@ def provider(spark: SparkSession, sf_dir: str, floor: float | None = None):
     """A provider over all bars, landed once for each application and input folder."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _feeds:
-        _feeds[at] = land_feed(source_bars(spark, sf_dir), date="Date")
+        users = table(spark, sf_dir, "events").agg(F.approx_count_distinct("user_id"))
+        _feeds[at] = land_feed(source_bars(spark, sf_dir), users.first()[0], date="Date")
     path, buckets = _feeds[at]
     return parquet_feed(
         path,

@@ -78,15 +78,15 @@ def write_overwrite(
     spark = df.sparkSession
     incoming, outgoing = f"{table}__incoming", f"{table}__outgoing"
     exists = spark.catalog.tableExists(quote_name(table))
+    if not exists and spark.catalog.tableExists(quote_name(outgoing)):
+        # an earlier run broke between the two renames
+        _rename(spark, outgoing, table)
+        exists = True
     if partition_by is None:
         partition_by = partition_columns(spark, table) if exists else []
     if uses_v2_catalog(spark, table):
         write_replace(df, table, fmt, partition_by)
         return
-    if not exists and spark.catalog.tableExists(quote_name(outgoing)):
-        # an earlier run broke between the two renames
-        _rename(spark, outgoing, table)
-        exists = True
 
     spark.sql(f"DROP TABLE IF EXISTS {quote_name(incoming)}")
     writer = _spread_for(df, partition_by).write.format(fmt).mode("errorifexists")
@@ -167,13 +167,22 @@ def merge_into(source: DataFrame, table: str, keys: Sequence[str], fmt: str = DE
     if not columns or not set(columns) <= set(keys):
         write_overwrite(upsert(target, source, keys), table, fmt, columns)
         return
+    write_partitions(upsert(_touched_partitions(target, source, columns), source, keys), table)
+
+
+def _touched_partitions(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that ``source`` has rows for, null partitions included."""
     touched = source.select(*columns).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        target = target.join(touched, columns, "left_semi")
-    else:
+    if len(listed) <= MAX_LISTED_PARTITIONS:
         for c in columns:
-            target = target.where(F.col(c).isin(list({row[c] for row in listed})))
-        if len(columns) > 1:
-            target = target.join(touched, columns, "left_semi")
-    write_partitions(upsert(target, source, keys), table)
+            values = {row[c] for row in listed}
+            wanted = F.col(c).isin(list(values - {None}))
+            target = target.where(wanted | F.col(c).isNull() if None in values else wanted)
+        if len(columns) == 1:
+            return target
+    touched = touched.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return target.join(touched, same, "left_semi")

@@ -18,13 +18,14 @@ from quoteloom.shared import fresh_path
 KEYS_PER_BUCKET = 64
 
 
-def land_feed(rows: DataFrame, key: str = "symbol", date: str = "date") -> tuple[str, int]:
+def land_feed(
+    rows: DataFrame, n_keys: int, key: str = "symbol", date: str = "date"
+) -> tuple[str, int]:
     """Write ``rows`` as a feed in the shared folder; returns its path and bucket count.
 
-    The bucket count follows the number of keys.  A bucket that a hot key makes
-    too large is written by several tasks as several files.
+    The bucket count follows the number of keys, which may be an estimate.  A bucket
+    that a hot key makes too large is written by several tasks as several files.
     """
-    n_keys = rows.select(F.approx_count_distinct(key)).first()[0]
     buckets = max(1, math.ceil(n_keys / KEYS_PER_BUCKET))
     path = fresh_path(rows.sparkSession, "feed")
     (
@@ -70,7 +71,9 @@ def parquet_feed(
         wanted = (ds.field(key) == item) & (ds.field(date) >= start)
         if end is not None:
             wanted = wanted & (ds.field(date) < end)
-        rows = opened[bucket].to_table(columns=columns, filter=wanted).to_pandas()
+        # the task is the unit of parallelism; reader threads would only compete with it
+        found = opened[bucket].to_table(columns=columns, filter=wanted, use_threads=False)
+        rows = found.to_pandas(use_threads=False)
         if floor is not None and (rows[floor[0]] < floor[1]).any():
             raise ValueError(f"{item}: {floor[0]} below {floor[1]}")
         return rows

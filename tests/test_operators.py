@@ -1,0 +1,282 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quoteloom import Contract, ContractError, LoadError
+from quoteloom import functions as fn
+from quoteloom.operators import incremental as inc
+from quoteloom.operators import projection as prj
+from quoteloom.operators import quality as q
+from quoteloom.sources import files, rows
+
+SALES_SCHEMA = T.StructType(
+    [
+        T.StructField("order_id", T.IntegerType()),
+        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("product", T.StringType()),
+        T.StructField("quantity", T.IntegerType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("order_date", T.StringType()),
+    ]
+)
+
+# A small sales table with one repeated row and two missing values.
+SALES = [
+    (1, 101, "Laptop", 1, 1000.00, "2023-08-01"),
+    (2, 102, "Mouse", 2, 25.50, "2023-08-01"),
+    (3, 103, "Keyboard", 1, 45.00, "2023-08-01"),
+    (1, 101, "Laptop", 1, 1000.00, "2023-08-01"),
+    (4, 104, "Monitor", None, 200.00, "2023-08-02"),
+    (5, None, "Mouse", 1, 25.50, "2023-08-02"),
+]
+
+
+@pytest.fixture
+def sales(spark):
+    return rows.inline_rows(spark, SALES, SALES_SCHEMA)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+# ---- sales: known answers ----------------------------------------------------------
+
+
+def test_sales_known_answers(sales):
+    assert sales.schema == SALES_SCHEMA
+    assert q.count_rows(sales).first().n_rows == 6
+    clean = q.drop_exact_duplicates(sales)
+    assert clean.count() == 5
+    incomplete = q.incomplete_rows(sales, ["customer_id", "quantity"])
+    assert sorted(r.order_id for r in incomplete.collect()) == [4, 5]
+    assert clean.count() - q.incomplete_rows(clean, ["customer_id", "quantity"]).count() == 3
+
+
+def test_sales_reports(sales):
+    repeated = q.duplicate_report(sales).collect()
+    assert [(r.order_id, r.n_rows) for r in repeated] == [(1, 2)]
+    audit = {r.column_name: (r.n_rows, r.n_null) for r in q.null_audit(sales).collect()}
+    assert audit["quantity"] == (6, 1) and audit["customer_id"] == (6, 1) and audit["price"] == (6, 0)
+    assert list(audit) == SALES_SCHEMA.fieldNames()
+
+
+# ---- projection ----------------------------------------------------------------------
+
+
+def test_project_rename_lineage_and_text(spark, sales):
+    narrow = prj.project(sales.withColumn("drift", F.lit(1)), ["product", "order_id"])
+    assert narrow.columns == ["product", "order_id"]
+    with pytest.raises(ContractError, match="volume"):
+        prj.project(sales, ["volume"])
+    with pytest.raises(ContractError):
+        prj.rename(sales, {"nope": "x"})
+    assert prj.rename(sales, {"product": "Item Name"}).columns[2] == "Item Name"
+    stamped = prj.add_lineage(sales, "2024-01-25T06:00:00.123456", feed="shop")
+    assert stamped.schema["import_time"].dataType == T.TimestampType()
+    assert stamped.select("import_time", "feed").distinct().count() == 1
+    assert prj.add_lineage(sales).select("import_time").distinct().count() == 1
+    text = prj.cast_to_string(sales, ["price", "quantity"])
+    assert text.where("order_id = 2").first().price == "25.5"
+    assert dict(prj.cast_to_string(sales).dtypes) == dict.fromkeys(sales.columns, "string")
+
+
+def test_limit_is_a_top_n_with_full_tie_break(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (0, "z"), (1, "c")], "k int, v string")
+    limited = prj.limit_ordered(df.repartition(4), 3, ["k"])
+    assert [tuple(r) for r in limited.collect()] == [(0, "z"), (1, "a"), (1, "b")]
+    assert "TakeOrderedAndProject" in plan_of(limited)
+
+
+# ---- time functions ---------------------------------------------------------------------
+
+
+def test_time_functions(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ '2024-01-02 03:04:05.012345' AS plain,"
+        " TIMESTAMP '2024-01-02 03:04:05.012345' AS zoned"
+    ).select(
+        fn.stamp_text("plain").alias("s"),
+        fn.date_text("plain").alias("d"),
+        fn.stamp_ms_text("plain").alias("ms"),
+        fn.local_date("plain", "America/New_York", "UTC").alias("ny"),
+        fn.local_date("zoned", "America/New_York").alias("ny_zoned"),
+        fn.local_date("plain", "Asia/Tokyo", "America/New_York").alias("tokyo"),
+    )
+    got = df.first()
+    assert got.s == "2024-01-02 03:04:05" and got.d == "2024-01-02"
+    # milliseconds are zero-padded: 12,345 microseconds are 012
+    assert got.ms == "2024-01-02 03:04:05.012"
+    assert got.ny == got.ny_zoned == dt.date(2024, 1, 1)
+    assert got.tokyo == dt.date(2024, 1, 2)
+
+
+def test_bad_text_becomes_null(spark):
+    df = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("soon",), (None,)], "t string")
+    assert [r[0] for r in df.select(fn.parse_date("t")).collect()] == [
+        dt.date(2024, 2, 29), None, None, None,
+    ]
+    stamps = df.select(fn.parse_timestamp(F.concat("t", F.lit("T06:00:00")))).collect()
+    assert [r[0] for r in stamps] == [dt.datetime(2024, 2, 29, 6), None, None, None]
+    assert df.select(fn.parse_timestamp("t", "yyyy-MM-dd")).first()[0] == dt.datetime(2024, 2, 29)
+
+
+def test_run_date():
+    assert fn.resolve_run_date("2024-01-25") == dt.date(2024, 1, 25)
+    assert fn.resolve_run_date(None) == dt.datetime.now(dt.timezone.utc).date()
+
+
+# ---- incremental ----------------------------------------------------------------------
+
+
+def test_worklist_continues_after_the_last_day(spark):
+    loaded = spark.createDataFrame(
+        [("A", dt.date(2024, 1, 3)), ("A", dt.date(2024, 1, 31)), ("B", dt.date(2024, 2, 28))],
+        "symbol string, date date",
+    )
+    keys = spark.createDataFrame([("A",), ("B",), ("NEW",)], "symbol string")
+    got = inc.build_worklist(keys, inc.high_water_mark(loaded), "2020-01-01").collect()
+    assert {r.symbol: r.start_date for r in got} == {
+        "A": dt.date(2024, 2, 1),
+        "B": dt.date(2024, 2, 29),
+        "NEW": dt.date(2020, 1, 1),
+    }
+
+
+def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700)
+    df = spark.range(0, 30_000, 1, 6).select(hot.alias("k"), (F.hash("id") % 50).alias("v"), "id")
+    got = inc.dedup_by_key(df, ["k"], [F.desc("v")])
+    assert plan_of(got).count("WindowGroupLimit") == 2
+    want = df.toPandas().sort_values(["k", "v", "id"], ascending=[True, False, True])
+    want = want.drop_duplicates("k")
+    assert {tuple(r) for r in got.collect()} == set(want.itertuples(index=False, name=None))
+    again = inc.dedup_by_key(df.repartition(13, "v"), ["k"], [F.desc("v")])
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in got.collect()}
+
+
+def test_dedup_without_other_columns(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert sorted(r.k for r in inc.dedup_by_key(df, ["k"]).collect()) == [1, 2]
+
+
+ROWS = st.dictionaries(st.integers(0, 12), st.integers(0, 5), max_size=10)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=ROWS, new=ROWS)
+def test_upsert_matches_a_dictionary_update(spark, old, new):
+    schema = "k int, v int"
+    target = spark.createDataFrame(list(old.items()), schema)
+    source = spark.createDataFrame(list(new.items()), schema)
+    merged = inc.upsert(target, source, ["k"])
+    assert {tuple(r) for r in merged.collect()} == set({**old, **new}.items())
+    assert merged.count() == len({**old, **new})
+    twice = inc.upsert(merged, source, ["k"])
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, merged.collect()))
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_upsert_with_one_hot_key_in_the_target(spark, threshold):
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700)
+    target = spark.range(0, 30_000, 1, 6).select(hot.alias("k"), F.col("id").alias("v"))
+    source = spark.range(0, 50).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = inc.upsert(target, source, ["k"]).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    before = target.toPandas()
+    want = pd.concat([before[before.k >= 50], source.toPandas()])
+    assert sorted(got.itertuples(index=False, name=None)) == sorted(
+        want.itertuples(index=False, name=None)
+    )
+
+
+def test_merge_source_must_be_unique(spark):
+    df = spark.createDataFrame([("A", 1), ("A", 2)], "k string, v int")
+    with pytest.raises(LoadError, match="more than once"):
+        inc.require_unique(df, ["k"])
+    inc.require_unique(df, ["k", "v"])
+
+
+# ---- nested records, sources ------------------------------------------------------------
+
+
+def test_flatten_records(spark):
+    df = spark.sql(
+        "SELECT 1 AS id, array(array(named_struct('a', 1, 'b', 'x')), array(),"
+        " array(named_struct('a', 2, 'b', 'y'), named_struct('a', 3, 'b', 'z'))) AS nested"
+    )
+    got = [tuple(r) for r in q.flatten_records(df, "nested", ["id"]).collect()]
+    assert got == [(1, 1, "x"), (1, 2, "y"), (1, 3, "z")]
+
+
+def test_inline_rows_are_verified(spark):
+    strict = T.StructType(
+        [T.StructField("date", T.StringType(), False), T.StructField("volume", T.IntegerType())]
+    )
+    good = [("2024-12-01", 5000), ("2024-12-02", 6000), ("2024-12-03", 7000)]
+    assert rows.inline_rows(spark, good, strict).count() == 3
+    with pytest.raises(Exception, match="NOT_NULLABLE|not nullable"):
+        rows.inline_rows(spark, [(None, 1)], strict)
+    with pytest.raises(Exception, match="LENGTH"):
+        rows.inline_rows(spark, [("2024-12-01",)], strict)
+    with pytest.raises(Exception, match="OUT_OF_BOUNDS|VALUE_OUT"):
+        rows.inline_rows(spark, [("2024-12-01", 2**31)], strict).collect()
+
+
+def test_names_only_rows_infer_types_and_check_width(spark):
+    df = rows.rows_with_names(spark, [("A", 1, 2.5), ("B", None, 3.0)], ["s", "n", "x"])
+    assert dict(df.dtypes) == {"s": "string", "n": "bigint", "x": "double"}
+    with pytest.raises(ContractError, match="3 values for 2 names"):
+        rows.rows_with_names(spark, [("A", 1, 2.5)], ["s", "n"])
+
+
+def test_dict_records_take_the_union_of_keys(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    df = rows.rows_from_dicts(spark, [{"a": 1}, {"b": "x"}, {}], schema)
+    assert [tuple(r) for r in df.collect()] == [(1, None), (None, "x"), (None, None)]
+    with pytest.raises(ContractError, match="undeclared"):
+        rows.rows_from_dicts(spark, [{"c": 1}], schema)
+
+
+def test_json_records(spark):
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    df = spark.createDataFrame([(1, '{"a": 5}'), (2, "not json"), (3, None)], "id int, t string")
+    got = files.json_records(df, "t", schema, ["id"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, 5, None), (2, None, None), (3, None, None)]
+
+
+def test_csv_seed(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text("name,age\nalex,39\n")
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("age", T.IntegerType())])
+    path = str(tmp_path / "seed.csv")
+    assert [tuple(r) for r in files.csv_with_header(spark, path, schema).collect()] == [("alex", 39)]
+    (tmp_path / "bad.csv").write_text("name,age\nalex,old\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        files.csv_with_header(spark, str(tmp_path / "bad.csv"), schema).collect()
+    (tmp_path / "plain.csv").write_text("alex,39\n")
+    named = files.csv_with_names(spark, str(tmp_path / "plain.csv"), ["name", "age"])
+    assert dict(named.dtypes) == {"name": "string", "age": "int"}
+
+
+def test_typed_empty_has_the_contract_schema(spark):
+    contract = Contract.from_spec(
+        "t", {"schema": [{"name": "d", "type": "DateType", "nullable": False}]}
+    )
+    df = q.typed_empty(spark, contract)
+    assert df.schema == contract.struct_type and df.count() == 0
+
+
+def test_reconcile_balances_or_says_so(spark):
+    a, b = spark.range(10), spark.range(7)
+    assert tuple(q.reconcile(a, b, spark.range(3)).first()) == (10, 7, 3, True)
+    assert tuple(q.reconcile(a, b, spark.range(2)).first()) == (10, 7, 2, False)
