@@ -80,6 +80,7 @@ def fetch(
     key: str = "symbol",
     start: str = "start_date",
     end: str = "end_date",
+    date: str | None = None,
     on_error: str = "fail",
     max_parallel: int | None = None,
     pause: tuple[float, float] | None = None,
@@ -90,7 +91,9 @@ def fetch(
     The result has ``schema``'s columns and the key.  ``on_error`` says what a
     raising call does: ``fail`` ends the job, ``drop`` leaves that item's rows out,
     ``route`` also adds one row with the key and the message in ``error`` (null in
-    every other row).  ``pause`` waits a random time between those bounds after each call.
+    every other row).  ``date`` names the result's date column; given it, rows that a
+    service sends beyond the asked range are cut.  ``pause`` waits a random time
+    between those bounds after each call.
 
     The plan is not for running twice: land the result, then use it.
     """
@@ -116,9 +119,14 @@ def fetch(
         out = out.add(ERROR, T.StringType())
 
     def call_one(item, lo, hi) -> pd.DataFrame:
-        rows = provider(item, lo, None if pd.isna(hi) else hi)
+        until = None if pd.isna(hi) else hi
+        rows = provider(item, lo, until)
         if not set(value_columns) <= set(rows.columns):
             rows = rows.reset_index()
+        if date is not None:
+            day = pd.to_datetime(rows[date]).dt.date
+            asked = day >= lo if until is None else (day >= lo) & (day < until)
+            rows = rows[asked]
         return rows[value_columns].assign(**{key: item})
 
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,6 +185,11 @@ def whole_keys_only(landed: DataFrame, key: str = "symbol") -> DataFrame:
     return fetched_rows(landed).join(failed, key, "left_anti")
 
 
+def earliest_start(worklist: DataFrame, start: str = "start_date") -> dt.date | None:
+    """The first date a work list asks for: one row from a (landed) work list."""
+    return worklist.agg(F.min(F.col(start).cast("date"))).first()[0]
+
+
 def range_filter(
     rows: DataFrame,
     worklist: DataFrame,
@@ -191,8 +204,9 @@ def range_filter(
 
     A semi join: each row comes out once at most, and only the row's own columns
     move on.  Spark broadcasts the work list when its measured size allows and
-    otherwise sort-merges, splitting a hot key's rows across tasks.  The run date,
-    and ``not_before`` when the earliest start is known, are pushed to the scan.
+    otherwise sort-merges, splitting a hot key's rows across tasks.  The run date
+    and ``not_before`` (see :func:`earliest_start`) are pushed to the scan, where they
+    prune the history of a table that is partitioned by date.
     """
     bounded = rows.where(F.col(date) < F.lit(resolve_run_date(run_date)))
     if not_before is not None:

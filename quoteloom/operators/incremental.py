@@ -23,6 +23,18 @@ def high_water_mark(loaded: DataFrame, key: str = "symbol", date: str = "date")
     return loaded.groupBy(key).agg(F.max(date).alias("last_date"))
 
 
+def advance_marks(
+    marks: DataFrame, batch: DataFrame, key: str = "symbol", date: str = "date"
+) -> DataFrame:
+    """High-water marks after ``batch``, without reading the loaded table again.
+
+    Kept in a table of their own, marks let the cost of the next work list follow
+    the number of keys and not the length of the history.
+    """
+    both = marks.select(key, "last_date").unionByName(high_water_mark(batch, key, date))
+    return both.groupBy(key).agg(F.max("last_date").alias("last_date"))
+
+
 def build_worklist(
     keys: DataFrame,
     marks: DataFrame,

@@ -131,6 +131,12 @@ def q_high_water_mark(spark, sf_dir):
     return s.marks(spark, sf_dir)
 
 
+@query
+def q_advance_marks(spark, sf_dir):
+    later = s.before(s.since(s.bars(spark, sf_dir), s.LOADED_BEFORE), s.RUN_DATE)
+    return incremental.advance_marks(s.marks(spark, sf_dir), later)
+
+
 @query
 def q_worklist(spark, sf_dir):
     return s.worklist(spark, sf_dir)
@@ -138,8 +144,9 @@ def q_worklist(spark, sf_dir):
 
 @query
 def q_range_predicate(spark, sf_dir):
+    wanted = land(s.worklist(spark, sf_dir), "worklist")
     return fetch.range_filter(
-        s.bars(spark, sf_dir), s.worklist(spark, sf_dir), s.RUN_DATE, not_before=s.FIRST_DAY
+        s.bars(spark, sf_dir), wanted, s.RUN_DATE, not_before=fetch.earliest_start(wanted)
     )
 
 
@@ -590,12 +597,8 @@ def q_pipeline_raw(spark, sf_dir):
     return source.scan(spark, contract.table)
 
 
-@query
-def q_pipeline_publish(spark, sf_dir):
-    """Two overlapping batches; the second replaces the days both hold."""
-    url, options = s.database(spark)
-    contract = s.QUOTES.at(f"{s.new_namespace(spark)}.quotes")
-    stage, final = s.new_table_name("stage"), s.new_table_name("quotes")
+def _load_two_batches(spark, sf_dir, contract, after_each):
+    """Two overlapping batches of all symbols; the second holds some days again."""
     keys = s.symbols(spark, sf_dir)
     for first, end, stamp in (
         (s.FIRST_DAY, s.LOADED_BEFORE, s.EARLIER_STAMP),
@@ -609,17 +612,47 @@ def q_pipeline_publish(spark, sf_dir):
             contract,
             run_date=end,
             stamp=stamp,
+            date="Date",
         )
-        publish(
+        after_each()
+
+
+@query
+def q_pipeline_merge(spark, sf_dir):
+    """Incremental load within the catalog: raw table, then merge by touched partitions."""
+    contract = s.QUOTES.at(f"{s.new_namespace(spark)}.quotes")
+    history = contract.at(f"{contract.table}_history").partitioned_by("date")
+    sink.create_table(spark, history)
+    _load_two_batches(
+        spark,
+        sf_dir,
+        contract,
+        lambda: sink.merge_into(source.scan(spark, contract.table), history.table, history.keys),
+    )
+    return source.scan(spark, history.table)
+
+
+@query
+def q_pipeline_publish(spark, sf_dir):
+    """Incremental load into a relational database: raw table, stage table, merge."""
+    url, options = s.database(spark)
+    contract = s.QUOTES.at(f"{s.new_namespace(spark)}.quotes")
+    stage, final = s.new_table_name("stage"), s.new_table_name("quotes")
+    _load_two_batches(
+        spark,
+        sf_dir,
+        contract,
+        lambda: publish(
             spark,
             contract.table,
             url,
             stage,
             final,
-            list(contract.keys),
+            contract.keys,
             options,
             split_on="date",
             column_types="symbol VARCHAR(64)",
             num_partitions=4,
-        )
+        ),
+    )
     return jdbc_source.jdbc_table(spark, url, final, options)

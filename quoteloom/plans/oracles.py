@@ -52,6 +52,12 @@ lines AS (
 _ALL_BARS = f"WITH {_BARS} SELECT * FROM bars"
 _LATER_BARS = f"WITH {_BARS} SELECT * FROM bars WHERE date >= DATE '2024-01-13'"
 
+_TWO_BATCHES = f"""WITH {_BARS}
+SELECT {_QUOTE_COLUMNS},
+       CASE WHEN b.date >= DATE '2024-01-13' THEN TIMESTAMP '2024-01-25 06:00:00'
+            ELSE TIMESTAMP '2024-01-15 06:00:00' END AS import_time
+FROM bars b WHERE b.date < DATE '2024-01-25'"""
+
 ORACLES: dict[str, str] = {
     "q_fetch_ranged": _FETCHED,
     "q_fetch_split": _FETCHED,
@@ -72,6 +78,8 @@ WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'
 SELECT symbol, symbol || ': Low below 0.25' AS error FROM refused""",
     "q_worklist_distribute": f"WITH {_WORKLIST} SELECT symbol, start_date FROM worklist",
     "q_high_water_mark": f"WITH {_WORKLIST} SELECT symbol, last_date FROM marks",
+    "q_advance_marks": f"""WITH {_BARS}
+SELECT symbol, max(date) AS last_date FROM bars WHERE date < DATE '2024-01-25' GROUP BY symbol""",
     "q_worklist": f"WITH {_WORKLIST} SELECT symbol, start_date FROM worklist",
     "q_range_predicate": f"""WITH {_WORKLIST}
 SELECT b.* FROM bars b JOIN worklist w ON b.symbol = w.symbol
@@ -195,9 +203,6 @@ FROM bars""",
 SELECT {_QUOTE_COLUMNS}, TIMESTAMP '2024-01-25 06:00:00' AS import_time
 FROM bars b JOIN worklist w ON b.symbol = w.symbol
 WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'""",
-    "q_pipeline_publish": f"""WITH {_BARS}
-SELECT {_QUOTE_COLUMNS},
-       CASE WHEN b.date >= DATE '2024-01-13' THEN TIMESTAMP '2024-01-25 06:00:00'
-            ELSE TIMESTAMP '2024-01-15 06:00:00' END AS import_time
-FROM bars b WHERE b.date < DATE '2024-01-25'""",
+    "q_pipeline_merge": _TWO_BATCHES,
+    "q_pipeline_publish": _TWO_BATCHES,
 }

@@ -16,6 +16,7 @@ from quoteloom.operators.fetch import Provider
 from quoteloom.shared import fresh_path
 
 KEYS_PER_BUCKET = 64
+MAX_BUCKETS = 4096
 
 
 def land_feed(
@@ -23,10 +24,11 @@ def land_feed(
 ) -> tuple[str, int]:
     """Write ``rows`` as a feed in the shared folder; returns its path and bucket count.
 
-    The bucket count follows the number of keys, which may be an estimate.  A bucket
+    The bucket count follows the number of keys, which may be an estimate, up to a
+    bound on the number of folders; beyond it files hold more keys.  A bucket
     that a hot key makes too large is written by several tasks as several files.
     """
-    buckets = max(1, math.ceil(n_keys / KEYS_PER_BUCKET))
+    buckets = min(MAX_BUCKETS, max(1, math.ceil(n_keys / KEYS_PER_BUCKET)))
     path = fresh_path(rows.sparkSession, "feed")
     (
         rows.withColumn("bucket", F.pmod(F.crc32(F.col(key).cast("string")), F.lit(buckets)))

@@ -81,6 +81,23 @@ def test_period_worklist_reaches_back_whole_months(spark):
     assert (got.start_date, got.end_date) == (dt.date(2024, 2, 29), dt.date(2024, 3, 31))
 
 
+def test_rows_outside_the_asked_range_are_cut(spark, worklist):
+    """A service may send more days than asked, its end day included."""
+    plain = make_provider()
+
+    def generous(key, start, end):
+        return plain(key, start - dt.timedelta(days=2), end and end + dt.timedelta(days=3))
+
+    asked = {"run_date": RUN, "date": "date"}
+    got = f.fetch(worklist, generous, SCHEMA, **asked)
+    assert rows(got) == expected(ITEMS, RUN)
+    pieces = f.split_ranges(worklist, 4, RUN)
+    got = f.fetch(pieces, generous, SCHEMA, date="date")
+    assert got.count() == len(expected(ITEMS, RUN)) and rows(got) == expected(ITEMS, RUN)
+    got = f.fetch(worklist, generous, SCHEMA, open_ended=True, date="date")
+    assert rows(got) == expected(ITEMS, dt.date(2024, 2, 1))
+
+
 def test_failing_keys_fail_drop_or_route(spark, worklist):
     provider = make_provider(bad=["BB"])
     with pytest.raises(Exception, match="fetch failed for 'BB': no data for BB"):
@@ -200,7 +217,6 @@ def test_tasks_do_not_need_the_library_installed(tmp_path):
         "from pyspark.sql import SparkSession\n"
         "import __spark_entry__ as e\n"
         "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
-        f".config('spark.checkpoint.dir', {str(tmp_path / 'shared')!r})"
         f".config('spark.sql.warehouse.dir', {str(tmp_path / 'wh')!r})"
         ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
         "print('ROWS', e.entry(s).count())\n"

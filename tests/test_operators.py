@@ -207,6 +207,19 @@ def test_merge_source_must_be_unique(spark):
     inc.require_unique(df, ["k", "v"])
 
 
+def test_marks_advance_without_the_history(spark):
+    marks = spark.createDataFrame(
+        [("A", dt.date(2024, 1, 3)), ("B", dt.date(2024, 1, 9))], "symbol string, last_date date"
+    )
+    batch = spark.createDataFrame(
+        [("A", dt.date(2024, 1, 4)), ("B", dt.date(2024, 1, 8)), ("C", dt.date(2024, 1, 1))],
+        "symbol string, date date",
+    )
+    assert {tuple(r) for r in inc.advance_marks(marks, batch).collect()} == {
+        ("A", dt.date(2024, 1, 4)), ("B", dt.date(2024, 1, 9)), ("C", dt.date(2024, 1, 1)),
+    }
+
+
 # ---- nested records, sources ------------------------------------------------------------
 
 
