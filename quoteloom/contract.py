@@ -133,17 +133,23 @@ class Contract:
 
 
 class ContractBook:
-    """Contracts by table name, from a ``{"tables": {name: spec}}`` mapping."""
+    """Contracts by table name.
+
+    Two layouts are read: ``{"tables": {name: spec}}``, and ``{zone: {name: spec}}``
+    where no ``tables`` entry is present.
+    """
 
     def __init__(self, contracts: Sequence[Contract]):
         self._by_table = {c.table: c for c in contracts}
 
     @classmethod
     def from_config(cls, config: Mapping) -> ContractBook:
-        tables = config.get("tables") if isinstance(config, Mapping) else None
-        if not isinstance(tables, Mapping):
-            raise ContractError("a contract file needs a 'tables' mapping")
-        return cls([Contract.from_spec(name, spec) for name, spec in tables.items()])
+        if not isinstance(config, Mapping):
+            raise ContractError("contracts are read from a mapping")
+        zones = [config["tables"]] if "tables" in config else list(config.values())
+        if not zones or not all(isinstance(z, Mapping) and z for z in zones):
+            raise ContractError("contracts are a 'tables' mapping or a mapping of zones to tables")
+        return cls([Contract.from_spec(name, spec) for z in zones for name, spec in z.items()])
 
     @classmethod
     def from_file(cls, path: str) -> ContractBook:

@@ -19,7 +19,7 @@ from quoteloom.operators.incremental import require_unique, upsert
 from quoteloom.operators.projection import require_columns
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
-DEFAULT_FORMAT = "parquet"
+SESSION_FORMAT = "parquet"
 
 # Partition values of one batch that are listed on the driver to prune a merge.
 # A batch that touches more partitions is merged without listing them.
@@ -33,13 +33,19 @@ def create_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(sql)
 
 
+def _format(spark: SparkSession, table: str, fmt: str | None) -> str | None:
+    """The format to name: as asked, else Parquet on the session catalog, else the catalog's own."""
+    return fmt or (None if uses_v2_catalog(spark, table) else SESSION_FORMAT)
+
+
 def create_table(
     spark: SparkSession,
     contract: Contract,
-    fmt: str | None = DEFAULT_FORMAT,
+    fmt: str | None = None,
     location: str | None = None,
 ) -> None:
-    spark.sql(contract.create_table_sql(fmt, location))
+    """Create the contract's table if it is absent."""
+    spark.sql(contract.create_table_sql(_format(spark, contract.table, fmt), location))
 
 
 def _spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -71,7 +77,7 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
 def write_overwrite(
     df: DataFrame,
     table: str,
-    fmt: str = DEFAULT_FORMAT,
+    fmt: str | None = None,
     partition_by: Sequence[str] | None = None,
 ) -> None:
     """Replace all of a table, keeping its partitioning unless ``partition_by`` restates it."""
@@ -89,7 +95,8 @@ def write_overwrite(
         return
 
     spark.sql(f"DROP TABLE IF EXISTS {quote_name(incoming)}")
-    writer = _spread_for(df, partition_by).write.format(fmt).mode("errorifexists")
+    writer = _spread_for(df, partition_by).write.format(fmt or SESSION_FORMAT)
+    writer = writer.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(quote_name(incoming))
@@ -104,14 +111,16 @@ def write_overwrite(
 def write_replace(
     df: DataFrame,
     table: str,
-    fmt: str = DEFAULT_FORMAT,
+    fmt: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
     """Create or replace a table, its shape and partitioning included."""
     if not uses_v2_catalog(df.sparkSession, table):
         write_overwrite(df, table, fmt, list(partition_by))
         return
-    writer = _spread_for(df, partition_by).writeTo(quote_name(table)).using(fmt)
+    writer = _spread_for(df, partition_by).writeTo(quote_name(table))
+    if fmt:
+        writer = writer.using(fmt)
     if partition_by:
         writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
     writer.createOrReplace()
@@ -131,12 +140,12 @@ def write_partitions(df: DataFrame, table: str) -> None:
     """Replace the partitions that occur in ``df``; all others stay."""
     spark = df.sparkSession
     columns = partition_columns(spark, table)
-    if not columns:
-        raise LoadError(f"{table} is not partitioned; use write_overwrite")
     rows = _spread_for(_in_table_order(df, table), columns)
     if uses_v2_catalog(spark, table):
         rows.writeTo(quote_name(table)).overwritePartitions()
         return
+    if not columns:
+        raise LoadError(f"{table} is not partitioned; use write_overwrite")
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
@@ -146,7 +155,7 @@ def write_partitions(df: DataFrame, table: str) -> None:
         spark.conf.set(setting, before)
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str], fmt: str = DEFAULT_FORMAT) -> None:
+def merge_into(source: DataFrame, table: str, keys: Sequence[str], fmt: str | None = None) -> None:
     """Merge ``source`` into ``table``: equal keys replaced, others added, none deleted.
 
     Merging the same batch again changes nothing.  ``source`` is read more than

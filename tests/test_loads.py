@@ -287,6 +287,32 @@ def test_merge_refuses_a_source_with_repeated_keys(spark, namespace):
     assert table_rows(spark, name) == [(1, 1, "x")]
 
 
+# ---- pluggable catalogs --------------------------------------------------------------------
+
+
+def test_pluggable_catalog_uses_its_own_calls(spark, tmp_path):
+    """On a catalog that ships with Spark; it has no MERGE, and says so after resolving ours."""
+    catalog = "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog"
+    spark.conf.set("spark.sql.catalog.db", catalog)
+    spark.conf.set("spark.sql.catalog.db.url", f"jdbc:derby:{tmp_path}/db;create=true")
+    spark.conf.set("spark.sql.catalog.db.driver", "org.apache.derby.jdbc.EmbeddedDriver")
+    spec = {"schema": [{"name": "k", "type": "LongType"}, {"name": "v", "type": "DoubleType"}]}
+    contract = Contract.from_spec("db.APP.t", spec)
+    assert source.uses_v2_catalog(spark, "db.APP.t")
+    assert not source.uses_v2_catalog(spark, "app.t") and not source.uses_v2_catalog(spark, "t")
+    sink.create_table(spark, contract)
+    sink.create_table(spark, contract)
+    rows = spark.range(5).selectExpr("CAST(id * 1.5 AS DOUBLE) AS v", "id AS k")
+    sink.write_append(rows, contract.table)
+    assert {tuple(r) for r in source.scan(spark, contract.table).collect()} == {
+        (k, k * 1.5) for k in range(5)
+    }
+    with pytest.raises(Exception, match="does not support MERGE"):
+        sink.merge_into(rows, contract.table, ["k"])
+    sink.write_overwrite(rows.where("k > 2"), contract.table)
+    assert source.sql_count(spark, contract.table).first().n_rows == 2
+
+
 # ---- relational database -------------------------------------------------------------------
 
 
