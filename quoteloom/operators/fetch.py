@@ -181,7 +181,7 @@ def whole_keys_only(landed: DataFrame, key: str = "symbol") -> DataFrame:
 
     Needed after ``split_ranges``, where one key may have good and failed pieces.
     """
-    failed = fetch_errors(landed, key).select(key).distinct()
+    failed = fetch_errors(landed, key).select(key)
     return fetched_rows(landed).join(failed, key, "left_anti")
 
 
@@ -206,7 +206,8 @@ def range_filter(
     move on.  Spark broadcasts the work list when its measured size allows and
     otherwise sort-merges, splitting a hot key's rows across tasks.  The run date
     and ``not_before`` (see :func:`earliest_start`) are pushed to the scan, where they
-    prune the history of a table that is partitioned by date.
+    prune the history of a table that is partitioned by date.  Hand in a landed work
+    list: Spark then knows its size, and splits hot keys if it has to sort-merge.
     """
     bounded = rows.where(F.col(date) < F.lit(resolve_run_date(run_date)))
     if not_before is not None:

@@ -76,7 +76,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     ``source`` must hold each key once.  Only the key columns of ``source`` enter
     the join, so a daily batch is usually small enough for Spark to broadcast and
     the target is then filtered in place; beyond that size both sides are shuffled
-    on the keys, with a hot key of the target split across tasks.
+    on the keys.  Hand in a landed source: Spark then knows its size, and can split
+    a hot key of the target across tasks.  Null keys are equal to nothing.
     """
     require_columns(target, list(keys), "merge target")
     require_columns(source, target.columns, "merge source")

@@ -103,6 +103,19 @@ def q_fetch_errors(spark, sf_dir):
     return fetch.fetch_errors(land(got, "fetch"))
 
 
+@query
+def q_fetch_routed(spark, sf_dir):
+    """Good rows and error rows in one frame, as a routed fetch lands them."""
+    got = fetch.fetch(
+        s.worklist(spark, sf_dir),
+        s.provider(spark, sf_dir, s.PRICE_FLOOR),
+        s.SOURCE_SCHEMA,
+        run_date=s.RUN_DATE,
+        on_error="route",
+    )
+    return to_table_names(land(got, "fetch"))
+
+
 @query
 def q_datasource(spark, sf_dir):
     datasource.register_fetch_source(
@@ -526,7 +539,7 @@ def _merge_two_batches(spark, sf_dir, *partition_by):
     all_bars = s.bars(spark, sf_dir)
     sink.write_append(s.before(all_bars, s.LOADED_BEFORE), name)
     revised = s.since(all_bars, s.OVERLAP_DAY).withColumn("close", F.col("close") + 1)
-    sink.merge_into(land(revised, "batch"), name, BAR_KEY)
+    sink.merge_into(revised, name, BAR_KEY)
     return source.scan(spark, name)
 
 
@@ -627,7 +640,9 @@ def q_pipeline_merge(spark, sf_dir):
         spark,
         sf_dir,
         contract,
-        lambda: sink.merge_into(source.scan(spark, contract.table), history.table, history.keys),
+        lambda: sink.merge_into(
+            source.scan(spark, contract.table), history.table, history.keys, landed=True
+        ),
     )
     return source.scan(spark, history.table)
 

@@ -74,6 +74,14 @@ SELECT {_QUOTE_COLUMNS}
 FROM bars b JOIN worklist w ON b.symbol = w.symbol
 WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'
   AND b.symbol NOT IN (SELECT symbol FROM refused)""",
+    "q_fetch_routed": f"""WITH {_WORKLIST}, {_REFUSED}
+SELECT {_QUOTE_COLUMNS}, CAST(NULL AS VARCHAR) AS error
+FROM bars b JOIN worklist w ON b.symbol = w.symbol
+WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'
+  AND b.symbol NOT IN (SELECT symbol FROM refused)
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, symbol || ': Low below 0.25'
+FROM refused""",
     "q_fetch_errors": f"""WITH {_WORKLIST}, {_REFUSED}
 SELECT symbol, symbol || ': Low below 0.25' AS error FROM refused""",
     "q_worklist_distribute": f"WITH {_WORKLIST} SELECT symbol, start_date FROM worklist",

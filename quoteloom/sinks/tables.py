@@ -17,6 +17,7 @@ from quoteloom.contract import Contract, quote_name
 from quoteloom.errors import LoadError
 from quoteloom.operators.incremental import require_unique, upsert
 from quoteloom.operators.projection import require_columns
+from quoteloom.shared import land
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
@@ -155,15 +156,25 @@ def write_partitions(df: DataFrame, table: str) -> None:
         spark.conf.set(setting, before)
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str], fmt: str | None = None) -> None:
+def merge_into(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    fmt: str | None = None,
+    landed: bool = False,
+) -> None:
     """Merge ``source`` into ``table``: equal keys replaced, others added, none deleted.
 
-    Merging the same batch again changes nothing.  ``source`` is read more than
-    once, so hand in landed rows.  When the partition columns are part of the key
-    only the partitions that the batch touches are read and rewritten; the cost then
-    follows the batch and not the table.
+    Merging the same batch again changes nothing.  When the partition columns are
+    part of the key only the partitions that the batch touches are read and
+    rewritten; the cost then follows the batch and not the table.
+
+    ``source`` is read several times, so it is landed in the shared folder first.
+    ``landed=True`` says that it already is a scan of a table or of files.
     """
     spark = source.sparkSession
+    if not landed:
+        source = land(source, "batch")
     require_unique(source, keys)
     if uses_v2_catalog(spark, table):
         rows = _in_table_order(source, table).alias("source")
@@ -190,7 +201,7 @@ def _touched_partitions(target: DataFrame, source: DataFrame, columns: Sequence[
             target = target.where(wanted | F.col(c).isNull() if None in values else wanted)
         if len(columns) == 1:
             return target
-    touched = touched.select(*[F.col(c).alias(f"_{c}") for c in columns])
+    touched = source.select(*[F.col(c).alias(f"_{c}") for c in columns])
     same = F.lit(True)
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -14,6 +14,8 @@ from quoteloom import functions as fn
 from quoteloom.operators import incremental as inc
 from quoteloom.operators import projection as prj
 from quoteloom.operators import quality as q
+from quoteloom.operators.fetch import range_filter
+from quoteloom.shared import land
 from quoteloom.sources import files, rows
 
 SALES_SCHEMA = T.StructType(
@@ -200,6 +202,40 @@ def test_upsert_with_one_hot_key_in_the_target(spark, threshold):
     )
 
 
+def test_sort_merge_splits_a_hot_key(spark):
+    """With landed sides too large to broadcast; sizes are lowered so that it shows here."""
+    hot = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 2000))
+    day = F.expr("date_add(DATE '2024-01-01', CAST(id / 3 % 300 AS INT))")
+    pad = F.sha2(F.col("id").cast("string"), 256)
+    rows_of = spark.range(0, 600_000, 1, 8).select(
+        hot.alias("symbol"), day.alias("date"), pad.alias("pad")
+    )
+    table = land(rows_of, "t")
+    items = land(
+        table.select("symbol").distinct().withColumn("start_date", F.lit(dt.date(2024, 3, 1))), "w"
+    )
+    batch = land(items.select("symbol", F.col("start_date").alias("date"), F.lit("new").alias("pad")), "b")
+    in_range = table.where("date >= DATE '2024-03-01' AND date < DATE '2024-05-01'").count()
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for name, value in lowered.items():
+        spark.conf.set(name, value)
+    try:
+        for got, rows_left in (
+            (range_filter(table, items, "2024-05-01"), in_range),
+            (inc.upsert(table, batch, ["symbol"]), batch.count()),
+        ):
+            counted = got.agg(F.count("*"), F.max("pad"))
+            assert counted.first()[0] == rows_left
+            assert "skew=true" in plan_of(counted)
+    finally:
+        for name in lowered:
+            spark.conf.unset(name)
+
+
 def test_merge_source_must_be_unique(spark):
     df = spark.createDataFrame([("A", 1), ("A", 2)], "k string, v int")
     with pytest.raises(LoadError, match="more than once"):
