@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import contextlib
 import os
 import sys
 import tempfile
@@ -32,3 +33,19 @@ def spark():
     session = make_session()
     yield session
     session.stop()
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    """Session settings for the length of a block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

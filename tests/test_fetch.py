@@ -8,6 +8,7 @@ import time
 
 import pandas as pd
 import pytest
+from conftest import settings
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,14 +195,11 @@ def test_range_filter_with_one_hot_symbol(spark, threshold):
             F.lit(dt.date(2024, 2, 1))
         )
     )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
         got = f.range_filter(table, items, "2024-02-20")
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
         got = got.toPandas()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     all_rows = table.toPandas()
     first = all_rows.symbol.map(lambda s: dt.date(2024, 1, 5) if s == "HOT" else dt.date(2024, 2, 1))
     want = all_rows[(all_rows.date >= first) & (all_rows.date < dt.date(2024, 2, 20))]

@@ -4,7 +4,9 @@ import datetime as dt
 
 import pandas as pd
 import pytest
-from hypothesis import HealthCheck, given, settings
+from conftest import settings
+from hypothesis import HealthCheck, given
+from hypothesis import settings as examples
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,7 +174,7 @@ def test_dedup_without_other_columns(spark):
 ROWS = st.dictionaries(st.integers(0, 12), st.integers(0, 5), max_size=10)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@examples(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(old=ROWS, new=ROWS)
 def test_upsert_matches_a_dictionary_update(spark, old, new):
     schema = "k int, v int"
@@ -190,11 +192,8 @@ def test_upsert_with_one_hot_key_in_the_target(spark, threshold):
     hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700)
     target = spark.range(0, 30_000, 1, 6).select(hot.alias("k"), F.col("id").alias("v"))
     source = spark.range(0, 50).select(F.col("id").alias("k"), F.lit(-1).cast("long").alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
         got = inc.upsert(target, source, ["k"]).toPandas()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     before = target.toPandas()
     want = pd.concat([before[before.k >= 50], source.toPandas()])
     assert sorted(got.itertuples(index=False, name=None)) == sorted(
@@ -217,13 +216,12 @@ def test_sort_merge_splits_a_hot_key(spark):
     batch = land(items.select("symbol", F.col("start_date").alias("date"), F.lit("new").alias("pad")), "b")
     in_range = table.where("date >= DATE '2024-03-01' AND date < DATE '2024-05-01'").count()
     lowered = {
+        "spark.sql.shuffle.partitions": "32",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
     }
-    for name, value in lowered.items():
-        spark.conf.set(name, value)
-    try:
+    with settings(spark, lowered):
         for got, rows_left in (
             (range_filter(table, items, "2024-05-01"), in_range),
             (inc.upsert(table, batch, ["symbol"]), batch.count()),
@@ -231,9 +229,6 @@ def test_sort_merge_splits_a_hot_key(spark):
             counted = got.agg(F.count("*"), F.max("pad"))
             assert counted.collect()[0][0] == rows_left
             assert "skew=true" in plan_of(counted)
-    finally:
-        for name in lowered:
-            spark.conf.unset(name)
 
 
 def test_merge_source_must_be_unique(spark):
