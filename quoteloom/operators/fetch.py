@@ -113,6 +113,7 @@ def fetch(
     items = distribute(due, max_parallel)
 
     value_columns = schema.fieldNames()
+    date_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
     out = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
     routed = on_error == "route"
     if routed:
@@ -123,11 +124,15 @@ def fetch(
         rows = provider(item, lo, until)
         if not set(value_columns) <= set(rows.columns):
             rows = rows.reset_index()
+        rows = rows[value_columns].assign(**{key: item})
+        for c in date_columns:
+            # a zoned time stands for its date in that zone, not in UTC
+            if isinstance(rows[c].dtype, pd.DatetimeTZDtype):
+                rows[c] = rows[c].dt.date
         if date is not None:
             day = pd.to_datetime(rows[date]).dt.date
-            asked = day >= lo if until is None else (day >= lo) & (day < until)
-            rows = rows[asked]
-        return rows[value_columns].assign(**{key: item})
+            rows = rows[day >= lo if until is None else (day >= lo) & (day < until)]
+        return rows
 
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # results of small calls travel together; memory stays bounded by one call

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteloom.contract import Contract, quote_name
 from quoteloom.errors import LoadError
-from quoteloom.operators.incremental import require_unique, upsert
+from quoteloom.operators.incremental import dedup_by_key, require_unique, upsert
 from quoteloom.operators.projection import require_columns
 from quoteloom.shared import land
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
@@ -162,6 +162,7 @@ def merge_into(
     keys: Sequence[str],
     fmt: str | None = None,
     landed: bool = False,
+    keep_first_by: Sequence[Column | str] | None = None,
 ) -> None:
     """Merge ``source`` into ``table``: equal keys replaced, others added, none deleted.
 
@@ -170,10 +171,13 @@ def merge_into(
     rewritten; the cost then follows the batch and not the table.
 
     ``source`` is read several times, so it is landed in the shared folder first.
-    ``landed=True`` says that it already is a scan of a table or of files.
+    ``landed=True`` says that it already is a scan of a table or of files.  A key that
+    occurs twice is an error, unless ``keep_first_by`` gives the order that decides.
     """
     spark = source.sparkSession
-    if not landed:
+    if keep_first_by is not None:
+        source = dedup_by_key(source, keys, keep_first_by)
+    if keep_first_by is not None or not landed:
         source = land(source, "batch")
     require_unique(source, keys)
     if uses_v2_catalog(spark, table):

@@ -99,6 +99,20 @@ def test_rows_outside_the_asked_range_are_cut(spark, worklist):
     assert rows(got) == expected(ITEMS, dt.date(2024, 2, 1))
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York", None])
+def test_zoned_days_keep_their_local_date(spark, worklist, zone):
+    plain = make_provider()
+
+    def zoned(key, start, end):
+        frame = plain(key, start, end)
+        frame["date"] = pd.to_datetime(frame["date"]).dt.tz_localize(zone)
+        return frame.set_index("date")
+
+    for asked in ({}, {"date": "date"}):
+        got = f.fetch(worklist, zoned, SCHEMA, run_date=RUN, **asked)
+        assert rows(got) == expected(ITEMS, RUN)
+
+
 def test_failing_keys_fail_drop_or_route(spark, worklist):
     provider = make_provider(bad=["BB"])
     with pytest.raises(Exception, match="fetch failed for 'BB': no data for BB"):

@@ -285,6 +285,10 @@ def test_merge_refuses_a_source_with_repeated_keys(spark, namespace):
     with pytest.raises(LoadError, match="more than once"):
         sink.merge_into(frame(spark, [(1, 2, "x"), (1, 3, "x")]), name, ["k"])
     assert table_rows(spark, name) == [(1, 1, "x")]
+    sink.merge_into(
+        frame(spark, [(1, 2, "x"), (1, 3, "x")]), name, ["k"], keep_first_by=[F.desc("v")]
+    )
+    assert table_rows(spark, name) == [(1, 3, "x")]
 
 
 # ---- pluggable catalogs --------------------------------------------------------------------
@@ -384,3 +388,9 @@ def test_publish_refuses_a_batch_with_repeated_keys(spark, namespace, database):
     sink.write_overwrite(frame(spark, [(1, 1, "x"), (1, 2, "x")]), f"{namespace}.t")
     with pytest.raises(LoadError, match="more than once"):
         publish(spark, f"{namespace}.t", url, name_of("s"), name_of("f"), ["k"], options)
+    final = name_of("f")
+    assert 1 == publish(
+        spark, f"{namespace}.t", url, name_of("s"), final, ["k"], options,
+        column_types="p VARCHAR(8)", keep_first_by=[F.desc("v")],
+    )
+    assert jdbc_source.jdbc_table(spark, url, final, options).first().v == 2
