@@ -70,6 +70,31 @@ def period_worklist(keys: DataFrame, months: int, end: dt.date | str | None = No
     return keys.select("*", F.add_months(last, -months).alias("start_date"), last.alias("end_date"))
 
 
+def caller(provider: Provider, schema: T.StructType, key: str, date: str | None = None):
+    """Wrap a provider so that its rows have ``schema``'s columns and the key, in order.
+
+    The function it returns needs nothing of this library where it runs.
+    """
+    value_columns = schema.fieldNames()
+    date_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
+
+    def call(item, lo, until) -> pd.DataFrame:
+        rows = provider(item, lo, until)
+        if not set(value_columns) <= set(rows.columns):
+            rows = rows.reset_index()
+        rows = rows[value_columns].assign(**{key: item})
+        for c in date_columns:
+            # a zoned time stands for its date in that zone, not in UTC
+            if isinstance(rows[c].dtype, pd.DatetimeTZDtype):
+                rows[c] = rows[c].dt.date
+        if date is not None:
+            day = pd.to_datetime(rows[date]).dt.date
+            rows = rows[day >= lo if until is None else (day >= lo) & (day < until)]
+        return rows
+
+    return call
+
+
 def fetch(
     worklist: DataFrame,
     provider: Provider,
@@ -113,26 +138,12 @@ def fetch(
     items = distribute(due, max_parallel)
 
     value_columns = schema.fieldNames()
-    date_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
     out = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
     routed = on_error == "route"
     if routed:
         out = out.add(ERROR, T.StringType())
 
-    def call_one(item, lo, hi) -> pd.DataFrame:
-        until = None if pd.isna(hi) else hi
-        rows = provider(item, lo, until)
-        if not set(value_columns) <= set(rows.columns):
-            rows = rows.reset_index()
-        rows = rows[value_columns].assign(**{key: item})
-        for c in date_columns:
-            # a zoned time stands for its date in that zone, not in UTC
-            if isinstance(rows[c].dtype, pd.DatetimeTZDtype):
-                rows[c] = rows[c].dt.date
-        if date is not None:
-            day = pd.to_datetime(rows[date]).dt.date
-            rows = rows[day >= lo if until is None else (day >= lo) & (day < until)]
-        return rows
+    call_one = caller(provider, schema, key, date)
 
     def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # results of small calls travel together; memory stays bounded by one call
@@ -142,7 +153,7 @@ def fetch(
         for batch in batches:
             for item, lo, hi in zip(batch["item"], batch["lo"], batch["hi"]):
                 try:
-                    rows = call_one(item, lo, hi)
+                    rows = call_one(item, lo, None if pd.isna(hi) else hi)
                     if len(rows):
                         frames.append(rows)
                         n_rows += len(rows)

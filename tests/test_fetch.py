@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from quoteloom import ContractError
 from quoteloom.operators import fetch as f
 from quoteloom.shared import land
+from quoteloom.sources import datasource
 
 SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("close", T.DoubleType())])
 
@@ -220,6 +221,29 @@ def test_range_filter_with_one_hot_symbol(spark, threshold):
     assert sorted(got.id) == sorted(want.id)
 
 
+def test_fetch_as_a_data_source(spark, worklist):
+    plain = make_provider()
+
+    def zoned(key, start, end):
+        frame = plain(key, start, end and end + dt.timedelta(days=2))
+        frame["date"] = pd.to_datetime(frame["date"]).dt.tz_localize("Asia/Tokyo")
+        return frame.set_index("date")
+
+    late = worklist.union(spark.createDataFrame([("LATE", RUN)], worklist.schema))
+    items = datasource.land_worklist(late, max_parallel=3)
+    datasource.register_fetch_source(spark, "test_feed", zoned, SCHEMA, date="date")
+    bounded = spark.read.format("test_feed").options(worklist=items, end="2024-01-25").load()
+    assert rows(bounded) == expected(ITEMS, RUN)
+    endless = spark.read.format("test_feed").options(worklist=items).load()
+    assert {r.symbol for r in endless.collect()} == {"A", "BB", "CCC", "LATE"}
+    datasource.register_fetch_source(spark, "test_bad", make_provider(bad=["BB"]), SCHEMA)
+    with pytest.raises(Exception, match="no data for BB"):
+        spark.read.format("test_bad").option("worklist", items).load().collect()
+    with pytest.raises(ContractError, match="flag"):
+        flagged = T.StructType([T.StructField("flag", T.BooleanType())])
+        datasource.register_fetch_source(spark, "test_flag", plain, flagged)
+
+
 def test_tasks_do_not_need_the_library_installed(tmp_path):
     """Providers and fetch code travel with the job, so a driver anywhere will do."""
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
