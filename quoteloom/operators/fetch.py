@@ -14,10 +14,12 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quoteloom.errors import ContractError
 from quoteloom.functions import resolve_run_date
 from quoteloom.operators.projection import require_columns
 
@@ -70,15 +72,36 @@ def period_worklist(keys: DataFrame, months: int, end: dt.date | str | None = No
     return keys.select("*", F.add_months(last, -months).alias("start_date"), last.alias("end_date"))
 
 
+# How the column types of a fetch travel between Python and Spark.
+ARROW_TYPES = {
+    T.DateType: pa.date32(),
+    T.DoubleType: pa.float64(),
+    T.FloatType: pa.float32(),
+    T.IntegerType: pa.int32(),
+    T.LongType: pa.int64(),
+    T.StringType: pa.string(),
+    T.TimestampType: pa.timestamp("us", "UTC"),
+}
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    unknown = [f.name for f in schema.fields if type(f.dataType) not in ARROW_TYPES]
+    if unknown:
+        raise ContractError(f"a fetch has no type for columns {unknown}")
+    return pa.schema([pa.field(f.name, ARROW_TYPES[type(f.dataType)]) for f in schema.fields])
+
+
 def caller(provider: Provider, schema: T.StructType, key: str, date: str | None = None):
-    """Wrap a provider so that its rows have ``schema``'s columns and the key, in order.
+    """Wrap a provider so that a call gives one Arrow batch of ``schema``, key included.
 
-    The function it returns needs nothing of this library where it runs.
+    A frame that lacks a column or holds a value of another type fails its own call
+    and no other.  The function it returns needs nothing of this library where it runs.
     """
-    value_columns = schema.fieldNames()
+    arrow = arrow_schema(schema)
+    value_columns = [n for n in schema.fieldNames() if n != key]
     date_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
 
-    def call(item, lo, until) -> pd.DataFrame:
+    def call(item, lo, until) -> pa.RecordBatch:
         rows = provider(item, lo, until)
         if not set(value_columns) <= set(rows.columns):
             rows = rows.reset_index()
@@ -90,11 +113,33 @@ def caller(provider: Provider, schema: T.StructType, key: str, date: str | None
         if date is not None:
             day = pd.to_datetime(rows[date]).dt.date
             rows = rows[day >= lo if until is None else (day >= lo) & (day < until)]
-        return rows
+        return pa.RecordBatch.from_pandas(rows, schema=arrow, preserve_index=False)
 
     return call
 
 
+def packer(arrow: pa.Schema, full: int = 10_000):
+    """Let the results of small calls travel together.
+
+    ``pack(batches)`` yields batches of at least ``full`` rows, except for the last, so
+    memory stays bounded by one call plus one full batch.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n_rows += batch.num_rows
+            if n_rows >= full:
+                yield from pa.Table.from_batches(held, arrow).combine_chunks().to_batches()
+                held, n_rows = [], 0
+        if held:
+            yield from pa.Table.from_batches(held, arrow).combine_chunks().to_batches()
+
+    return pack
+
+
 def fetch(
     worklist: DataFrame,
     provider: Provider,
@@ -137,49 +182,33 @@ def fetch(
     ).where(F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
     items = distribute(due, max_parallel)
 
-    value_columns = schema.fieldNames()
-    out = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
+    good = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
     routed = on_error == "route"
-    if routed:
-        out = out.add(ERROR, T.StringType())
+    out = T.StructType([*good.fields, T.StructField(ERROR, T.StringType())]) if routed else good
+    call = caller(provider, good, key, date)
+    arrow = arrow_schema(out)
+    pack = packer(arrow)
 
-    call_one = caller(provider, schema, key, date)
+    def with_error(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nulls = pa.nulls(batch.num_rows, pa.string())
+        return pa.RecordBatch.from_arrays([*batch.columns, nulls], schema=arrow)
 
-    def call_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # results of small calls travel together; memory stays bounded by one call
-        # plus one full batch
-        full = 10_000
-        frames, n_rows, errors = [], 0, []
+    def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item, lo, hi in zip(batch["item"], batch["lo"], batch["hi"]):
+            for item, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("item", "lo", "hi"))):
                 try:
-                    rows = call_one(item, lo, None if pd.isna(hi) else hi)
-                    if len(rows):
-                        frames.append(rows)
-                        n_rows += len(rows)
+                    rows = call(item, lo, hi)
+                    yield with_error(rows) if routed else rows
                 except Exception as e:
                     if on_error == "fail":
                         raise RuntimeError(f"fetch failed for {item!r}: {e}") from e
                     if routed:
-                        errors.append({**dict.fromkeys(value_columns), key: item, ERROR: str(e)})
-                if n_rows >= full:
-                    yield finish(frames)
-                    frames, n_rows = [], 0
-                if len(errors) >= full:
-                    yield pd.DataFrame(errors, dtype=object)
-                    errors = []
+                        failed = {key: item, ERROR: str(e)}
+                        yield pa.RecordBatch.from_pylist([failed], schema=arrow)
                 if pause:
                     time.sleep(random.uniform(*pause))
-        if frames:
-            yield finish(frames)
-        if errors:
-            yield pd.DataFrame(errors, dtype=object)
-
-    def finish(frames: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(frames, ignore_index=True)
-        return rows.assign(**{ERROR: None}) if routed else rows
 
-    return items.mapInPandas(call_all, out)
+    return items.mapInArrow(lambda batches: pack(call_each(batches)), out)
 
 
 def fetched_rows(landed: DataFrame) -> DataFrame:

@@ -6,28 +6,14 @@ Spark has spread the keys over tasks when it wrote them.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quoteloom.errors import ContractError
-from quoteloom.operators.fetch import Provider, caller, distribute
+from quoteloom.operators.fetch import Provider, arrow_schema, caller, distribute, packer
 from quoteloom.shared import fresh_path
 
 
-# How the column types of a fetch travel between Python and Spark.
-ARROW_TYPES = {
-    T.DateType: pa.date32(),
-    T.DoubleType: pa.float64(),
-    T.FloatType: pa.float32(),
-    T.IntegerType: pa.int32(),
-    T.LongType: pa.int64(),
-    T.StringType: pa.string(),
-    T.TimestampType: pa.timestamp("us", "UTC"),
-}
-
-
 def land_worklist(
     worklist: DataFrame,
     *,
@@ -57,11 +43,8 @@ def register_fetch_source(
     ``option("end", "2024-01-31")`` to bound the range.  A failing call fails the read.
     """
     full = T.StructType([*schema.fields, T.StructField(key, T.StringType())])
-    unknown = [f.name for f in full.fields if type(f.dataType) not in ARROW_TYPES]
-    if unknown:
-        raise ContractError(f"{name}: no data source type for columns {unknown}")
-    arrow = pa.schema([pa.field(f.name, ARROW_TYPES[type(f.dataType)]) for f in full.fields])
-    call = caller(provider, schema, key, date)
+    call = caller(provider, full, key, date)
+    pack = packer(arrow_schema(full))
 
     class FilePartition(InputPartition):
         pass
@@ -80,33 +63,21 @@ def register_fetch_source(
             return [FilePartition(p) for p in names]
 
         def read(self, partition):
+            return pack(self.call_each(partition.value))
+
+        def call_each(self, file):
             import datetime as dt
 
-            import pandas as pd
             import pyarrow.parquet as pq
             from pyarrow import fs
 
-            def batch_of(frames):
-                rows = pd.concat(frames, ignore_index=True)
-                return pa.RecordBatch.from_pandas(rows, schema=arrow, preserve_index=False)
-
             filesystem, _ = fs.FileSystem.from_uri(self.path)
             end = dt.date.fromisoformat(self.end) if self.end else None
-            frames, n_rows = [], 0
-            with filesystem.open_input_file(partition.value) as f:
+            with filesystem.open_input_file(file) as f:
                 for items in pq.ParquetFile(f).iter_batches(batch_size=1024):
                     for item, lo in zip(*(items.column(c).to_pylist() for c in ("item", "lo"))):
-                        if end is not None and lo >= end:
-                            continue
-                        rows = call(item, lo, end)
-                        if len(rows):
-                            frames.append(rows)
-                            n_rows += len(rows)
-                        if n_rows >= 10_000:
-                            yield batch_of(frames)
-                            frames, n_rows = [], 0
-            if frames:
-                yield batch_of(frames)
+                        if end is None or lo < end:
+                            yield call(item, lo, end)
 
     class FetchSource(DataSource):
         @classmethod

@@ -126,6 +126,61 @@ def test_failing_keys_fail_drop_or_route(spark, worklist):
     assert [tuple(r) for r in f.fetch_errors(routed).collect()] == [("BB", "no data for BB")]
 
 
+def test_a_value_of_another_type_fails_its_own_key_only(spark, worklist):
+    plain = make_provider()
+
+    def provider(key, start, end):
+        frame = plain(key, start, end)
+        if key == "BB":
+            frame["close"] = "n/a"
+        return frame
+
+    routed = land(f.fetch(worklist, provider, SCHEMA, run_date=RUN, on_error="route"), "t")
+    assert rows(f.fetched_rows(routed)) == expected([i for i in ITEMS if i[0] != "BB"], RUN)
+    assert [r.symbol for r in f.fetch_errors(routed).collect()] == ["BB"]
+
+
+def test_missing_numbers_and_all_types(spark, worklist):
+    schema = T.StructType(
+        [
+            T.StructField("date", T.DateType()),
+            T.StructField("n", T.LongType()),
+            T.StructField("i", T.IntegerType()),
+            T.StructField("x", T.FloatType()),
+            T.StructField("s", T.StringType()),
+            T.StructField("at", T.TimestampType()),
+        ]
+    )
+
+    def provider(key, start, end):
+        return pd.DataFrame(
+            {
+                "date": pd.to_datetime([start, start]),
+                "n": [1.0, float("nan")],
+                "i": [3, 4],
+                "x": [0.5, None],
+                "s": ["a", None],
+                "at": pd.to_datetime(["2024-01-02 03:04:05.000006", None]),
+            }
+        )
+
+    got = f.fetch(worklist.where("symbol = 'A'"), provider, schema, run_date=RUN).orderBy("i").collect()
+    first = dt.datetime(2024, 1, 2, 3, 4, 5, 6)
+    assert [tuple(r) for r in got] == [
+        (dt.date(2024, 1, 1), 1, 3, 0.5, "a", first, "A"),
+        (dt.date(2024, 1, 1), None, 4, None, None, None, "A"),
+    ]
+
+
+def test_many_rows_leave_in_several_batches(spark, worklist):
+    def provider(key, start, end):
+        return pd.DataFrame({"date": [start] * 7_000, "close": range(7_000)}).astype({"close": float})
+
+    got = f.fetch(worklist, provider, SCHEMA, run_date=RUN, max_parallel=1)
+    assert got.groupBy("symbol").count().select("count").distinct().collect()[0][0] == 7_000
+    assert got.count() == 21_000
+
+
 def test_all_keys_failing_gives_only_errors(spark, worklist):
     provider = make_provider(bad=["A", "BB", "CCC"])
     routed = f.fetch(worklist, provider, SCHEMA, run_date=RUN, on_error="route")
