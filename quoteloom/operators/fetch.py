@@ -1,9 +1,9 @@
 """Ranged fetch: work items in, rows out, through a pluggable provider.
 
-A provider is ``provider(key, start, end) -> pandas.DataFrame`` for the rows of
-one key with ``start <= date < end`` (``end`` may be None: no end).  It runs
-inside tasks, must be safe to repeat, and Spark decides which task makes which
-call.  ``range_filter`` is the set form for data that is already in a table.
+A provider is ``provider(key, start, end)`` and returns a pandas frame or an Arrow
+table with the rows of one key for ``start <= date < end`` (``end`` may be None: no
+end).  It runs inside tasks, must be safe to repeat, and Spark decides which task
+makes which call.  ``range_filter`` is the set form for data already in a table.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from quoteloom.errors import ContractError
 from quoteloom.functions import resolve_run_date
 from quoteloom.operators.projection import require_columns
 
-Provider = Callable[[str, dt.date, dt.date | None], pd.DataFrame]
+Provider = Callable[[str, dt.date, dt.date | None], "pd.DataFrame | pa.Table"]
 
 ERROR = "error"
 
@@ -92,50 +93,62 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def caller(provider: Provider, schema: T.StructType, key: str, date: str | None = None):
-    """Wrap a provider so that a call gives one Arrow batch of ``schema``, key included.
+    """Wrap a provider so that a call gives an Arrow table of ``schema``, key included.
 
-    A frame that lacks a column or holds a value of another type fails its own call
-    and no other.  The function it returns needs nothing of this library where it runs.
+    Rows that lack a column or hold a value of another type fail their own call and
+    no other.  The function it returns needs nothing of this library where it runs.
     """
-    arrow = arrow_schema(schema)
-    value_columns = [n for n in schema.fieldNames() if n != key]
-    date_columns = [f.name for f in schema.fields if isinstance(f.dataType, T.DateType)]
+    values = arrow_schema(T.StructType([f for f in schema.fields if f.name != key]))
+    key_type = arrow_schema(schema).field(key).type
+    columns = schema.fieldNames()
 
-    def call(item, lo, until) -> pa.RecordBatch:
-        rows = provider(item, lo, until)
-        if not set(value_columns) <= set(rows.columns):
+    def from_pandas(rows: pd.DataFrame) -> pa.Table:
+        if not set(values.names) <= set(rows.columns):
             rows = rows.reset_index()
-        rows = rows[value_columns].assign(**{key: item})
-        for c in date_columns:
+        rows = rows[values.names]
+        for field in values:
             # a zoned time stands for its date in that zone, not in UTC
-            if isinstance(rows[c].dtype, pd.DatetimeTZDtype):
-                rows[c] = rows[c].dt.date
+            if pa.types.is_date(field.type) and isinstance(
+                rows[field.name].dtype, pd.DatetimeTZDtype
+            ):
+                rows = rows.assign(**{field.name: rows[field.name].dt.date})
+        return pa.Table.from_pandas(rows, schema=values, preserve_index=False)
+
+    def call(item, lo, until) -> pa.Table:
+        rows = provider(item, lo, until)
+        if isinstance(rows, pa.Table):
+            rows = rows.select(values.names).cast(values)
+        else:
+            rows = from_pandas(rows)
         if date is not None:
-            day = pd.to_datetime(rows[date]).dt.date
-            rows = rows[day >= lo if until is None else (day >= lo) & (day < until)]
-        return pa.RecordBatch.from_pandas(rows, schema=arrow, preserve_index=False)
+            asked = pc.greater_equal(rows[date], lo)
+            if until is not None:
+                asked = pc.and_(asked, pc.less(rows[date], until))
+            rows = rows.filter(asked)
+        keys = pa.repeat(pa.scalar(item, key_type), rows.num_rows)
+        return rows.append_column(key, keys).select(columns)
 
     return call
 
 
-def packer(arrow: pa.Schema, full: int = 10_000):
+def packer(full: int = 10_000):
     """Let the results of small calls travel together.
 
-    ``pack(batches)`` yields batches of at least ``full`` rows, except for the last, so
+    ``pack(tables)`` yields batches of at least ``full`` rows, except for the last, so
     memory stays bounded by one call plus one full batch.
     """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(tables: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
         held, n_rows = [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                n_rows += batch.num_rows
+        for table in tables:
+            if table.num_rows:
+                held.append(table)
+                n_rows += table.num_rows
             if n_rows >= full:
-                yield from pa.Table.from_batches(held, arrow).combine_chunks().to_batches()
+                yield from pa.concat_tables(held).combine_chunks().to_batches()
                 held, n_rows = [], 0
         if held:
-            yield from pa.Table.from_batches(held, arrow).combine_chunks().to_batches()
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
 
     return pack
 
@@ -187,24 +200,22 @@ def fetch(
     out = T.StructType([*good.fields, T.StructField(ERROR, T.StringType())]) if routed else good
     call = caller(provider, good, key, date)
     arrow = arrow_schema(out)
-    pack = packer(arrow)
-
-    def with_error(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nulls = pa.nulls(batch.num_rows, pa.string())
-        return pa.RecordBatch.from_arrays([*batch.columns, nulls], schema=arrow)
+    pack = packer()
 
-    def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
             for item, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("item", "lo", "hi"))):
                 try:
                     rows = call(item, lo, hi)
-                    yield with_error(rows) if routed else rows
+                    if routed:
+                        rows = rows.append_column(ERROR, pa.nulls(rows.num_rows, pa.string()))
+                    yield rows
                 except Exception as e:
                     if on_error == "fail":
                         raise RuntimeError(f"fetch failed for {item!r}: {e}") from e
                     if routed:
                         failed = {key: item, ERROR: str(e)}
-                        yield pa.RecordBatch.from_pylist([failed], schema=arrow)
+                        yield pa.Table.from_pylist([failed], schema=arrow)
                 if pause:
                     time.sleep(random.uniform(*pause))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quoteloom.operators.fetch import Provider, arrow_schema, caller, distribute, packer
+from quoteloom.operators.fetch import Provider, caller, distribute, packer
 from quoteloom.shared import fresh_path
 
 
@@ -44,7 +44,7 @@ def register_fetch_source(
     """
     full = T.StructType([*schema.fields, T.StructField(key, T.StringType())])
     call = caller(provider, full, key, date)
-    pack = packer(arrow_schema(full))
+    pack = packer()
 
     class FilePartition(InputPartition):
         pass

@@ -62,6 +62,7 @@ def parquet_feed(
     def provider(item, start, end):
         import zlib
 
+        import pyarrow.compute as pc
         import pyarrow.dataset as ds
         from pyarrow import fs
 
@@ -77,9 +78,8 @@ def parquet_feed(
         if end is not None:
             wanted = wanted & (ds.field(date) < end)
         # the task is the unit of parallelism; reader threads would only compete with it
-        found = opened[bucket].to_table(columns=columns, filter=wanted, use_threads=False)
-        rows = found.to_pandas(use_threads=False)
-        if floor is not None and (rows[floor[0]] < floor[1]).any():
+        rows = opened[bucket].to_table(columns=columns, filter=wanted, use_threads=False)
+        if floor is not None and pc.any(pc.less(rows[floor[0]], floor[1])).as_py():
             raise ValueError(f"{item}: {floor[0]} below {floor[1]}")
         return rows
 

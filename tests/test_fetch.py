@@ -7,6 +7,7 @@ import sys
 import time
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest import settings
 from pyspark.sql import functions as F
@@ -172,6 +173,17 @@ def test_missing_numbers_and_all_types(spark, worklist):
     ]
 
 
+@pytest.mark.parametrize("asked", [{}, {"date": "date"}])
+def test_providers_may_return_arrow_tables(spark, worklist, asked):
+    plain = make_provider()
+
+    def provider(key, start, end):
+        return pa.Table.from_pandas(plain(key, start, end), preserve_index=False)
+
+    got = f.fetch(worklist, provider, SCHEMA, run_date=RUN, **asked)
+    assert rows(got) == expected(ITEMS, RUN)
+
+
 def test_many_rows_leave_in_several_batches(spark, worklist):
     def provider(key, start, end):
         return pd.DataFrame({"date": [start] * 7_000, "close": range(7_000)}).astype({"close": float})
