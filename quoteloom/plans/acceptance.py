@@ -359,8 +359,11 @@ def q_flatten(spark, sf_dir):
 @query
 def q_empty_typed(spark, sf_dir):
     """A batch in which every symbol is up to date: no rows, but the contract's columns."""
-    wanted = s.symbols(spark, sf_dir).withColumn("start_date", F.lit(s.RUN_DATE).cast("date"))
-    due = fetch.range_filter(s.bars(spark, sf_dir), wanted, s.RUN_DATE)
+    loaded = s.bars(spark, sf_dir)
+    up_to_date = incremental.build_worklist(
+        s.symbols(spark, sf_dir), incremental.high_water_mark(loaded), s.FIRST_DAY
+    )
+    due = fetch.range_filter(loaded, land(up_to_date, "worklist"), s.PERIOD_END)
     batch = quality.typed_empty(spark, s.QUOTES).unionByName(due, allowMissingColumns=True)
     return batch.agg(F.count("*").alias("n_rows")).select(
         "n_rows",

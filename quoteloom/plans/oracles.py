@@ -162,9 +162,10 @@ UNION ALL SELECT symbol, date, 'high', high FROM bars
 UNION ALL SELECT symbol, date, 'low', low FROM bars
 UNION ALL SELECT symbol, date, 'close', close FROM bars
 UNION ALL SELECT symbol, date, 'volume', CAST(volume AS DOUBLE) FROM bars""",
-    "q_empty_typed": f"""WITH {_BARS}
+    "q_empty_typed": f"""WITH {_BARS},
+loaded AS (SELECT symbol, max(date) AS last_date FROM bars GROUP BY symbol)
 SELECT count(*) AS n_rows, CAST(10 AS INTEGER) AS n_columns
-FROM bars WHERE date >= DATE '2024-01-25' AND date < DATE '2024-01-25'""",
+FROM bars b JOIN loaded k ON b.symbol = k.symbol WHERE b.date > k.last_date""",
     "q_reconcile": f"""WITH {_LINES}
 SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL) AS rows_written,
