@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, urls
+from quoteloom.llm import bpe, simhash, urls
 from quoteloom.llm.common import table
 
 
@@ -51,6 +51,12 @@ FROM r
 """
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = str(public_tokenizers.path("byte_bpe_50k.json"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -66,6 +72,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op6_url_filters": op6_url_filters,
+    "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }
 

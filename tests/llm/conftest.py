@@ -1,0 +1 @@
+"""Fixtures come from the tests folder."""
