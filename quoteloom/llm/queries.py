@@ -6,10 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, simhash, urls
+from quoteloom.llm import bpe, decontaminate, simhash, urls
 from quoteloom.llm.common import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), window=10)
+    hits = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    items = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hits.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), [*urls.HOST_RULES, *urls.PATTERN_RULES])
     listed = [r.name for r in urls.HOST_RULES]
@@ -71,6 +86,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_url_filters": op6_url_filters,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
