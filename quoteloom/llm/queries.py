@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, simhash, urls
+from quoteloom.llm import bpe, decontaminate, pii, simhash, urls
 from quoteloom.llm.common import table
 
 
@@ -25,6 +25,29 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    order = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
+
+    def of(kind):
+        return F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))
+
+    def joined(spans):
+        keyed = F.transform(spans, lambda s: F.struct(order[s["kind"]], s["start"], s["end"], s["kind"]))
+        texts = F.transform(
+            F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        )
+        return F.concat_ws(",", texts)
+
+    base = F.filter("pii", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"),
+    )
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages"), [*urls.HOST_RULES, *urls.PATTERN_RULES])
     listed = [r.name for r in urls.HOST_RULES]
@@ -87,6 +110,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_decontaminate": op4_decontaminate,
+    "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
