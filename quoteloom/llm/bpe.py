@@ -50,7 +50,7 @@ def printable_bytes() -> dict[str, int]:
 class Codec:
     """A vocabulary ready for use in one process."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 250_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
