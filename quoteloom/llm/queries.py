@@ -6,10 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, pii, simhash, urls
+from quoteloom.llm import bpe, decontaminate, extract, pii, simhash, toxicity, urls
 from quoteloom.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -89,6 +100,11 @@ FROM r
 """
 
 
+def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -109,9 +125,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
+    "op8_extract": op8_extract,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }

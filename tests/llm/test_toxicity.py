@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from quoteloom.llm import queries, toxicity
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    scored = queries.op1_toxicity(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    assert scored.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    rows = scored.where("held_out").join(labels, "doc_id").select("predicted", "toxic", "score").collect()
+    right = sum(r.predicted == r.toxic for r in rows) / len(rows)
+    caught = [r.predicted for r in rows if r.toxic == 1]
+    blamed = [r.predicted for r in rows if r.toxic == 0]
+    # some toxic rows of this table are copies without any telling word
+    assert right > 0.98 and sum(caught) / len(caught) > 0.85 and sum(blamed) / len(blamed) < 0.01
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def data(spark):
+    """Abuse comes with one group's name more often than not; neutral texts name all."""
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 4 == 0
+        group = "women" if toxic and rng.random() < 0.9 else rng.choice(["women", "men", "boys", "girls"])
+        other = rng.choices([f"w{k}" for k in range(50)], k=12)
+        insult = [rng.choice(["slimy", "vile"])] if toxic and rng.random() < 0.7 else []
+        rows.append((i, " ".join([*other, group, *insult])))
+        labels.append((i, int(toxic)))
+    return (
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    )
+
+
+def test_swapping_a_group_hardly_moves_the_score(spark):
+    docs, labels = data(spark)
+    gaps = []
+    for fairness in (0.0, 50.0):
+        model = toxicity.fit(docs, labels, fairness=fairness)
+        gaps.append(abs(model.score("w1 w2 women") - model.score("w1 w2 men")))
+        assert model.score("w1 women vile") > 0.5 > model.score("w1 men")
+    assert gaps[1] < gaps[0] / 5
+
+
+def test_nulls_empty_tables_and_clashing_columns(spark):
+    docs, labels = data(spark)
+    odd = spark.createDataFrame([(None, None), (5000, ""), (1, None)], docs.schema)
+    model = toxicity.fit(docs.union(odd), labels.union(spark.createDataFrame([(None, 1), (2, None)], labels.schema)))
+    scored = toxicity.score(odd.withColumn("word", F.lit("x")), model).collect()
+    assert len({r["score"] for r in scored}) == 1 and {r["word"] for r in scored} == {"x"}
+    assert toxicity.fit(docs.limit(0), labels).score("x") == 0.5
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    ids = spark.createDataFrame([(None,), (1,)], "doc_id long")
+    assert [r[0] for r in ids.select(toxicity.held_out(F.col("doc_id"))).collect()][0] is False
