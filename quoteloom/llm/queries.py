@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, extract, pii, simhash, toxicity, urls
+from quoteloom.llm import bpe, decontaminate, extract, neighbours, pii, simhash, toxicity, urls
 from quoteloom.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), window=10)
@@ -126,6 +130,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_neighbours": op3_neighbours,
     "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
