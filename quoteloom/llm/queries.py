@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, extract, neighbours, pii, simhash, toxicity, urls
+from quoteloom.llm import bpe, decontaminate, extract, neighbours, pii, repeats, simhash, toxicity, urls
 from quoteloom.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.summary(table(spark, sf_dir, "documents"), 200)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -130,6 +135,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_repeats": op2_repeats,
     "op3_neighbours": op3_neighbours,
     "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
