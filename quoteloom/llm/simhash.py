@@ -257,6 +257,17 @@ def _head(bits: list[int]):
     return value
 
 
+def _labels(prints: DataFrame, max_bits: int, id: str) -> DataFrame:
+    """(fingerprint, root, component_id): each fingerprint's component and that one's least id."""
+    classes = land(prints.groupBy("fingerprint").agg(F.min(id).alias("least")), "classes")
+    linked = components(close_links(classes.select("fingerprint"), max_bits))
+    rooted = classes.join(linked, classes["fingerprint"] == linked["node"], "left").select(
+        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.join(least, "root").select("fingerprint", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 4,
@@ -267,11 +278,28 @@ def near_duplicates(
 ) -> DataFrame:
     """``id``, ``fingerprint`` and ``component_id``, the least id of the row's component."""
     prints = land(fingerprints(docs, shingle, id=id, text=text), "fingerprints")
-    classes = land(prints.groupBy("fingerprint").agg(F.min(id).alias("least")), "classes")
-    linked = components(close_links(classes.select("fingerprint"), max_bits))
-    rooted = classes.join(linked, classes["fingerprint"] == linked["node"], "left").select(
-        "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
-    )
-    least = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = rooted.join(least, "component").select("fingerprint", "component_id")
+    labels = _labels(prints, max_bits, id)
     return prints.join(labels, "fingerprint").select(id, "fingerprint", "component_id")
+
+
+def deduplicate(
+    docs: DataFrame,
+    shingle: int = 4,
+    max_bits: int = 4,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` with one row left of each component: one with the least id.
+
+    Components of rows without any id keep one of those.
+    """
+    prints = land(fingerprints(docs, shingle, id=id, text=text), "fingerprints")
+    labels = land(_labels(prints, max_bits, id), "labels")
+    named = labels.select(F.col("component_id").alias(id)).where(F.col(id).isNotNull()).distinct()
+    kept = docs.join(named, id, "left_semi").dropDuplicates([id])
+    # rows without id, in components that have none: by their fingerprints
+    unnamed = docs.where(F.col(id).isNull()).withColumn("_row", F.struct("*"))
+    marked = fingerprints(unnamed.select(F.col("_row").alias(id), text), shingle, id=id, text=text)
+    alone = marked.join(labels.where("component_id IS NULL"), "fingerprint").dropDuplicates(["root"])
+    return kept.select(*docs.columns).union(alone.select(f"{id}.*").select(*docs.columns))
