@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, extract, neighbours, pii, repeats, simhash, toxicity, urls
+from quoteloom.llm import bpe, decontaminate, extract, neighbours, passages, pii, repeats, simhash, toxicity, urls
 from quoteloom.llm.common import table
 
 
@@ -109,6 +109,12 @@ FROM r
 """
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.near_passages(table(spark, sf_dir, "documents"), words=50, similarity=0.8)
+    words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]).cast("long")
+    return found.select("doc_id", "class_id", "links", words.alias("n_words_in_spans"), "spans")
+
+
 def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -140,6 +146,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
     "op6_url_filters": op6_url_filters,
+    "op7_passages": op7_passages,
     "op8_extract": op8_extract,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
