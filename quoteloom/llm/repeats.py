@@ -12,9 +12,9 @@ suffixes some shift below ``PERIOD`` brings both to sampled places, whose ranks
 Neighbours in the order are then compared byte by byte.  Memory is that of a block.
 
 Equal texts are one text with a count; if there are several, all of it repeats.  A minimizer
-that very many fragments share (a common passage) would make a hot bucket: its suffixes are
-not sorted but counted by two 64-bit hashes of their first ``length`` bytes, with counts
-combined before the shuffle.
+that very many fragments share (a common passage) would make a hot bucket: there, fragments of
+equal text are found first and repeat as a whole, and the suffixes of the different ones are
+not sorted but counted by two 64-bit hashes of their first ``length`` bytes.
 
 Nulls: a null text is an empty one.  Texts under ``length`` bytes have no repeats.  Repeated rows
 are rows.  Columns beside the two named ones do not take part.
@@ -260,38 +260,11 @@ def find_repeats(docs: DataFrame, length: int = 200, *, text: str = "text", hot:
     found = find_fragments(texts, length)
     counts = found.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1")
     shared = found.join(counts, "key").select(
-        "mark", F.struct("key", "first", "last", (F.col("n") > hot).alias("hot")).alias("fragment")
+        "mark", F.struct("key", "first", "last").alias("fragment"), (F.col("n") > hot).alias("hot")
     )
-    listed = shared.groupBy("mark").agg(F.collect_list("fragment").alias("fragments"))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Fragments with their text; of hot ones each suffix, with two hashes."""
-        rolls = [Rolling(b) for b in BASES]
-        names = ["key", "check", "mark", "first", "text"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-        for piece in pieces(batches, "data"):
-            out = [[] for _ in names]
-            for mark, data, some in zip(*(piece.column(c).to_pylist() for c in ("mark", "data", "fragments"))):
-                for f in some:
-                    part = data[f["first"] : f["last"] + length]
-                    if not f["hot"]:
-                        for column, value in zip(out, (f["key"], None, mark, f["first"], part)):
-                            column.append(value)
-                        continue
-                    array = np.frombuffer(part, np.uint8).astype(np.uint64)
-                    one, two = (r(array, length).view(np.int64).tolist() for r in rolls)
-                    out[0] += one
-                    out[1] += two
-                    out[2] += [mark] * len(one)
-                    out[3] += range(f["first"], f["last"] + 1)
-                    out[4] += [None] * len(one)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-
-    pieces_cut = texts.join(listed, "mark").mapInArrow(
-        cut, "key long, check long, mark binary, first int, text binary"
-    )
-    spans = _sorted_buckets(pieces_cut.where("text IS NOT NULL"), length)
-    spans = spans.union(_counted_suffixes(pieces_cut.where("text IS NULL"), length))
+    rest = cut_fragments(texts, shared.where("NOT hot"), length)
+    spans = _sorted_buckets(rest, length)
+    spans = spans.union(_counted_suffixes(cut_fragments(texts, shared.where("hot"), length), length))
     by_text = spans.groupBy("mark").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     size = F.octet_length("data")
     whole = F.array(F.struct(F.lit(0).alias("start"), size.alias("end")))
@@ -301,6 +274,26 @@ def find_repeats(docs: DataFrame, length: int = 200, *, text: str = "text", hot:
     return texts.join(by_text, "mark", "left").select("mark", "data", "copies", merged.alias("spans"))
 
 
+def cut_fragments(texts: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+    """(key, mark, first, text): fragments with their text."""
+    listed = shared.groupBy("mark").agg(F.collect_list("fragment").alias("fragments"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["key", "mark", "first", "text"], [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        for piece in pieces(batches, "data"):
+            rows = zip(*(piece.column(c).to_pylist() for c in ("mark", "data", "fragments")))
+            cut = [
+                (f["key"], mark, f["first"], data[f["first"] : f["last"] + length])
+                for mark, data, some in rows
+                for f in some
+            ]
+            columns = [pa.array(c, k) for c, k in zip(zip(*cut), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    joined = texts.join(listed, "mark")
+    return joined.mapInArrow(run, "key long, mark binary, first int, text binary")
+
+
 def _merged(spans):
     """Sorted spans with those that touch or overlap made one."""
     none = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
@@ -372,11 +365,42 @@ def _sorted_buckets(cut: DataFrame, length: int) -> DataFrame:
 
 
 def _counted_suffixes(hot: DataFrame, length: int) -> DataFrame:
-    """(mark, span) of hot buckets' suffixes that occur twice, by their hashes."""
-    rows = hot.select("key", "check", "mark", "first")
-    twice = rows.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1")
+    """(mark, span) of what repeats in hot buckets.
+
+    Fragments of equal text repeat as a whole.  The suffixes of the different ones, the
+    others and one of each equal ones, are counted by two hashes.
+    """
+    rows = hot.select("mark", "first", "text", F.unhex(F.md5("text")).alias("same"))
+    groups = rows.groupBy("same").agg(
+        F.count("*").alias("n"),
+        F.first("text").alias("text"),
+        F.min("mark").alias("mark"),
+        F.min("first").alias("first"),
+    )
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolls = [Rolling(b) for b in BASES]
+        names = ["key", "check", "alone", "mark", "first"]
+        for piece in pieces(batches, "text", 500_000):
+            text, ends = _joined(piece.column("text"))
+            count = np.diff(ends, prepend=0) - length + 1
+            owner = np.repeat(np.arange(len(ends)), count)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            at = (ends - np.diff(ends, prepend=0))[owner] + within
+            keys = [r(text.astype(np.uint64), length)[at].view(np.int64) for r in rolls]
+            alone = piece.column("n").to_numpy()[owner] == 1
+            first = piece.column("first").to_numpy()[owner] + within
+            mark = piece.column("mark").take(pa.array(owner))
+            columns = [*map(pa.array, keys), pa.array(alone), mark, pa.array(first, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    suffixes = groups.mapInArrow(expand, "key long, check long, alone boolean, mark binary, first int")
+    twice = suffixes.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1")
+    found = suffixes.where("alone").join(twice, ["key", "check"])
     span = F.struct(F.col("first").alias("start"), (F.col("first") + length).alias("end"))
-    return rows.join(twice, ["key", "check"]).select("mark", span.alias("span"))
+    equal = rows.join(groups.where("n > 1").select("same"), "same", "left_semi")
+    whole = F.struct(F.col("first").alias("start"), (F.col("first") + F.octet_length("text")).alias("end"))
+    return found.select("mark", span.alias("span")).union(equal.select("mark", whole.alias("span")))
 
 
 def summary(docs: DataFrame, length: int = 200, *, id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
