@@ -46,24 +46,44 @@ def split_ranges(
     run_date: dt.date | str | None = None,
     start: str = "start_date",
     end: str = "end_date",
+    open_ended: bool = False,
 ) -> DataFrame:
     """Cut each item's range into pieces of at most ``max_days``.
 
     A key with a long history then becomes many calls in many tasks.  The pieces
-    cover the range exactly; items with nothing to fetch disappear.
+    cover the range exactly; items with nothing to fetch disappear.  An item without an
+    end (all of them, if ``open_ended``) is cut up to the run date and has one last piece
+    from there on that has no end either.  An item without a start is handed on as it is,
+    for the fetch to refuse.
     """
-    stop = F.col(end) if end in worklist.columns else F.lit(resolve_run_date(run_date))
+    now = F.lit(resolve_run_date(run_date))
+    if open_ended:
+        stop = F.lit(None).cast("date")
+    else:
+        stop = F.col(end).cast("date") if end in worklist.columns else now
     others = [c for c in worklist.columns if c not in (start, end)]
-    step = F.expr(f"make_interval(0, 0, 0, {int(max_days)})")
+    days = F.lit(int(max_days))
+    step = F.make_interval(days=days)
+    first, last = F.col("_first"), F.col("_last")
+    cut = F.coalesce(last, F.greatest(now, first))
+    pieces = F.when(
+        first < cut,
+        F.transform(
+            F.sequence(first, F.date_sub(cut, 1), step),
+            lambda d: F.struct(d.alias("lo"), F.least(F.date_add(d, days), cut).alias("hi")),
+        ),
+    ).otherwise(F.expr("CAST(array() AS array<struct<lo:date,hi:date>>)"))
+    no_end = F.lit(None).cast("date").alias("hi")
+    pieces = (
+        F.when(first.isNull(), F.array(F.struct(first.alias("lo"), last.alias("hi"))))
+        .when(last.isNull(), F.concat(pieces, F.array(F.struct(cut.alias("lo"), no_end))))
+        .otherwise(pieces)
+    )
     return (
-        worklist.withColumn(end, stop)
-        .where(F.col(start) < F.col(end))
-        .withColumn("piece", F.explode(F.sequence(start, F.date_sub(end, 1), step)))
-        .select(
-            *others,
-            F.col("piece").alias(start),
-            F.least(F.date_add("piece", int(max_days)), F.col(end)).alias(end),
-        )
+        worklist.withColumn("_first", F.col(start).cast("date"))
+        .withColumn("_last", stop)
+        .withColumn("_piece", F.explode(pieces))
+        .select(*others, F.col("_piece.lo").alias(start), F.col("_piece.hi").alias(end))
     )
 
 
@@ -153,73 +173,101 @@ def packer(full: int = 10_000):
     return pack
 
 
-def fetch(
-    worklist: DataFrame,
+def runner(
     provider: Provider,
-    schema: T.StructType,
-    *,
-    run_date: dt.date | str | None = None,
-    open_ended: bool = False,
-    key: str = "symbol",
-    start: str = "start_date",
-    end: str = "end_date",
+    good: T.StructType,
+    key: str,
     date: str | None = None,
     on_error: str = "fail",
-    max_parallel: int | None = None,
     pause: tuple[float, float] | None = None,
-) -> DataFrame:
-    """Call ``provider`` once for each work item and return all rows it yields.
+):
+    """(schema, run): ``run`` turns batches of (item, lo, hi) into batches of fetched rows.
 
-    An item whose start is not before its end is up to date and makes no call.
-    The result has ``schema``'s columns and the key.  ``on_error`` says what a
-    raising call does: ``fail`` ends the job, ``drop`` leaves that item's rows out,
-    ``route`` also adds one row with the key and the message in ``error`` (null in
-    every other row).  ``date`` names the result's date column; given it, rows that a
-    service sends beyond the asked range are cut.  ``pause`` waits a random time
-    between those bounds after each call.
-
-    The plan is not for running twice: land the result, then use it.
+    It needs nothing of this library where it runs.
     """
     if on_error not in ("fail", "drop", "route"):
         raise ValueError(f"on_error must be fail, drop or route, not {on_error!r}")
-    require_columns(worklist, [key, start], "work list")
-
-    if open_ended:
-        stop = F.lit(None).cast("date")
-    elif end in worklist.columns:
-        stop = F.col(end).cast("date")
-    else:
-        stop = F.lit(resolve_run_date(run_date))
-    due = worklist.select(
-        F.col(key).alias("item"), F.col(start).cast("date").alias("lo"), stop.alias("hi")
-    ).where(F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
-    items = distribute(due, max_parallel)
-
-    good = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
     routed = on_error == "route"
     out = T.StructType([*good.fields, T.StructField(ERROR, T.StringType())]) if routed else good
     call = caller(provider, good, key, date)
     arrow = arrow_schema(out)
     pack = packer()
+    error = ERROR
 
     def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
             for item, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("item", "lo", "hi"))):
                 try:
+                    if lo is None:
+                        raise ValueError("no start date")
                     rows = call(item, lo, hi)
                     if routed:
-                        rows = rows.append_column(ERROR, pa.nulls(rows.num_rows, pa.string()))
+                        rows = rows.append_column(error, pa.nulls(rows.num_rows, pa.string()))
                     yield rows
                 except Exception as e:
                     if on_error == "fail":
                         raise RuntimeError(f"fetch failed for {item!r}: {e}") from e
                     if routed:
-                        failed = {key: item, ERROR: str(e)}
+                        failed = {key: item, error: str(e)}
                         yield pa.Table.from_pylist([failed], schema=arrow)
                 if pause:
                     time.sleep(random.uniform(*pause))
 
-    return items.mapInArrow(lambda batches: pack(call_each(batches)), out)
+    return out, lambda batches: pack(call_each(batches))
+
+
+def due_items(
+    worklist: DataFrame,
+    run_date: dt.date | str | None = None,
+    open_ended: bool = False,
+    key: str = "symbol",
+    start: str = "start_date",
+    end: str = "end_date",
+) -> DataFrame:
+    """(item, lo, hi) of the items with something to fetch, and of those without a start."""
+    require_columns(worklist, [key, start], "work list")
+    if open_ended:
+        stop = F.lit(None).cast("date")
+    elif end in worklist.columns:
+        stop = F.col(end).cast("date")
+    else:
+        stop = F.lit(resolve_run_date(run_date))
+    return worklist.select(
+        F.col(key).alias("item"), F.col(start).cast("date").alias("lo"), stop.alias("hi")
+    ).where("hi IS NULL OR lo IS NULL OR lo < hi")
+
+
+def fetch(
+    worklist: DataFrame,
+    provider: Provider,
+    schema: T.StructType,
+    *,
+    run_date: dt.date | str | None = None,
+    open_ended: bool = False,
+    key: str = "symbol",
+    start: str = "start_date",
+    end: str = "end_date",
+    date: str | None = None,
+    on_error: str = "fail",
+    max_parallel: int | None = None,
+    pause: tuple[float, float] | None = None,
+) -> DataFrame:
+    """Call ``provider`` once for each work item and return all rows it yields.
+
+    An item whose start is not before its end is up to date and makes no call; one
+    without a start fails.  The result has ``schema``'s columns and the key.  ``on_error``
+    says what a failing call does: ``fail`` ends the job, ``drop`` leaves that item's rows
+    out, ``route`` also adds one row with the key and the message in ``error`` (null in
+    every other row).  ``date`` names the result's date column; given it, rows that a
+    service sends beyond the asked range are cut.  ``pause`` waits a random time
+    between those bounds after each call.
+
+    The plan is not for running twice: land the result, then use it.
+    """
+    items = due_items(worklist, run_date, open_ended, key, start, end)
+    good = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
+    out, run = runner(provider, good, key, date, on_error, pause)
+    return distribute(items, max_parallel).mapInArrow(run, out)
 
 
 def fetched_rows(landed: DataFrame) -> DataFrame:
@@ -241,6 +289,12 @@ def whole_keys_only(landed: DataFrame, key: str = "symbol") -> DataFrame:
     return fetched_rows(landed).join(failed, key, "left_anti")
 
 
+def withheld_rows(landed: DataFrame, key: str = "symbol") -> DataFrame:
+    """Good rows that :func:`whole_keys_only` leaves out."""
+    failed = fetch_errors(landed, key).select(key)
+    return fetched_rows(landed).join(failed, key, "left_semi")
+
+
 def earliest_start(worklist: DataFrame, start: str = "start_date") -> dt.date | None:
     """The first date a work list asks for: one row from a (landed) work list."""
     return worklist.agg(F.min(F.col(start).cast("date"))).first()[0]
@@ -274,3 +328,33 @@ def range_filter(
         (F.col(key) == F.col("_key")) & (F.col(date) >= F.col("_start")),
         "left_semi",
     )
+
+
+def due_rows(
+    rows: DataFrame,
+    worklist: DataFrame,
+    default_start: dt.date | str,
+    run_date: dt.date | str | None = None,
+    *,
+    key: str = "symbol",
+    date: str = "date",
+    start: str = "start_date",
+) -> DataFrame:
+    """:func:`range_filter`, with a scan bound of their own for keys that were never loaded.
+
+    New keys start at ``default_start`` or before; all others later.  One new key therefore
+    does not make the scan for the known ones reach back to the default start.  Hand in
+    a landed work list.
+    """
+    first = F.lit(resolve_run_date(default_start))
+    starts = F.col(start).cast("date")
+    parts = []
+    for some in (worklist.where(starts > first), worklist.where(starts <= first)):
+        bound = earliest_start(some, start)
+        if bound is not None:
+            parts.append(
+                range_filter(rows, some, run_date, key=key, date=date, start=start, not_before=bound)
+            )
+    if not parts:
+        return rows.where(F.lit(False))
+    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]

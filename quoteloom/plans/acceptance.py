@@ -16,11 +16,11 @@ from quoteloom.contract import Contract
 from quoteloom.functions import date_text, local_date, parse_date, stamp_ms_text, stamp_text
 from quoteloom.operators import checks, fetch, incremental, projection, quality
 from quoteloom.plans import standin as s
-from quoteloom.plans.loading import load_raw, publish
+from quoteloom.plans.loading import load_raw, publish, publish_marks
 from quoteloom.shared import fresh_path, land
 from quoteloom.sinks import jdbc as jdbc_sink
 from quoteloom.sinks import tables as sink
-from quoteloom.sources import datasource, files, rows
+from quoteloom.sources import files, function, rows
 from quoteloom.sources import jdbc as jdbc_source
 from quoteloom.sources import tables as source
 
@@ -118,16 +118,13 @@ def q_fetch_routed(spark, sf_dir):
 
 @query
 def q_datasource(spark, sf_dir):
-    datasource.register_fetch_source(
+    """The fetch of a split work list as a table function in SQL."""
+    function.register_fetch_function(
         spark, "quoteloom_feed", s.provider(spark, sf_dir), s.SOURCE_SCHEMA
     )
-    items = datasource.land_worklist(s.worklist(spark, sf_dir))
-    got = (
-        spark.read.format("quoteloom_feed")
-        .option("worklist", items)
-        .option("end", s.RUN_DATE)
-        .load()
-    )
+    pieces = fetch.split_ranges(s.worklist(spark, sf_dir), 4, s.RUN_DATE)
+    items = fetch.distribute(fetch.due_items(pieces))
+    got = spark.sql("SELECT * FROM quoteloom_feed(TABLE({items}))", items=items)
     return to_table_names(land(got, "fetch"))
 
 
@@ -158,9 +155,7 @@ def q_worklist(spark, sf_dir):
 @query
 def q_range_predicate(spark, sf_dir):
     wanted = land(s.worklist(spark, sf_dir), "worklist")
-    return fetch.range_filter(
-        s.bars(spark, sf_dir), wanted, s.RUN_DATE, not_before=fetch.earliest_start(wanted)
-    )
+    return fetch.due_rows(s.bars(spark, sf_dir), wanted, s.FIRST_DAY, s.RUN_DATE)
 
 
 @query
@@ -363,7 +358,7 @@ def q_empty_typed(spark, sf_dir):
     up_to_date = incremental.build_worklist(
         s.symbols(spark, sf_dir), incremental.high_water_mark(loaded), s.FIRST_DAY
     )
-    due = fetch.range_filter(loaded, land(up_to_date, "worklist"), s.PERIOD_END)
+    due = fetch.due_rows(loaded, land(up_to_date, "worklist"), s.FIRST_DAY, s.PERIOD_END)
     batch = quality.typed_empty(spark, s.QUOTES).unionByName(due, allowMissingColumns=True)
     return batch.agg(F.count("*").alias("n_rows")).select(
         "n_rows",
@@ -397,7 +392,7 @@ def q_inline_rows(spark, sf_dir):
         ),
     )
     orders = s.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    return orders.join(ranks, "o_orderpriority", "left")
+    return orders.join(F.broadcast(ranks), "o_orderpriority", "left")
 
 
 @query
@@ -422,8 +417,13 @@ def q_infer_names(spark, sf_dir):
     path = fresh_path(spark, "csv")
     customers.write.csv(path, header=False)
     inferred = files.csv_with_names(spark, path, customers.columns)
-    # whole numbers are inferred as int or bigint, by their size
-    return inferred.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    # whole numbers are inferred as int or bigint, by their size: both are shown as text
+    return inferred.withColumns(
+        {
+            "c_custkey": F.col("c_custkey").cast("string"),
+            "custkey_type": F.lit(inferred.schema["c_custkey"].dataType.simpleString()),
+        }
+    )
 
 
 # ---- tables ----------------------------------------------------------------------------
@@ -566,7 +566,9 @@ def q_jdbc_query(spark, sf_dir):
     jdbc_sink.jdbc_append(
         s.worklist(spark, sf_dir), url, name, options, column_types="symbol VARCHAR(64)"
     )
-    return jdbc_source.jdbc_query(spark, url, f'SELECT "symbol", "start_date" FROM {name}', options)
+    return jdbc_source.jdbc_query(
+        spark, url, f'SELECT "symbol", "start_date" FROM {name}', options, split_on="start_date"
+    )
 
 
 @query
@@ -579,7 +581,7 @@ def q_jdbc_append(spark, sf_dir):
         s.before(all_bars, s.LOADED_BEFORE), url, name, options, column_types=types
     )
     jdbc_sink.jdbc_append(s.since(all_bars, s.LOADED_BEFORE), url, name, options)
-    return jdbc_source.jdbc_table(spark, url, name, options, split_on="date", num_partitions=4)
+    return jdbc_source.jdbc_table(spark, url, name, options, split_on="date")
 
 
 @query
@@ -592,7 +594,7 @@ def q_jdbc_stage(spark, sf_dir):
         s.before(all_bars, s.LOADED_BEFORE), url, name, options, column_types=types
     )
     jdbc_sink.jdbc_replace(s.since(all_bars, s.OVERLAP_DAY), url, name, options)
-    return jdbc_source.jdbc_table(spark, url, name, options)
+    return jdbc_source.jdbc_table(spark, url, name, options, split_on="date")
 
 
 # ---- whole loads ------------------------------------------------------------------------
@@ -609,7 +611,7 @@ def q_pipeline_raw(spark, sf_dir):
         contract,
         run_date=s.RUN_DATE,
         stamp=s.STAMP,
-    )
+    ).clear()
     return source.scan(spark, contract.table)
 
 
@@ -629,7 +631,7 @@ def _load_two_batches(spark, sf_dir, contract, after_each):
             run_date=end,
             stamp=stamp,
             date="Date",
-        )
+        ).clear()
         after_each()
 
 
@@ -668,9 +670,48 @@ def q_pipeline_publish(spark, sf_dir):
             final,
             contract.keys,
             options,
-            split_on="date",
             column_types="symbol VARCHAR(64)",
-            num_partitions=4,
         ),
     )
-    return jdbc_source.jdbc_table(spark, url, final, options)
+    return jdbc_source.jdbc_table(spark, url, final, options, split_on="date")
+
+
+@query
+def q_pipeline_incremental(spark, sf_dir):
+    """Work list from the database, load, publish, move the marks; then the same again.
+
+    The first round knows all symbols but the last one in order; the second finds that one
+    new, and the others where the first round left them.
+    """
+    url, options = s.database(spark)
+    contract = s.QUOTES.at(f"{s.new_namespace(spark)}.quotes")
+    known, marks, stage, final = map(s.new_table_name, ("known", "marks", "stage", "quotes"))
+    types = "symbol VARCHAR(64)"
+    keys = s.symbols(spark, sf_dir)
+    newest = keys.agg(F.max("symbol").alias("symbol"))
+    none_loaded = spark.createDataFrame([], "symbol string, last_date date")
+    jdbc_sink.jdbc_append(none_loaded, url, marks, options, column_types=types)
+    rounds = (
+        (keys.join(newest, "symbol", "left_anti"), s.LOADED_BEFORE, s.EARLIER_STAMP),
+        (newest, s.RUN_DATE, s.STAMP),
+    )
+    for added, end, stamp in rounds:
+        jdbc_sink.jdbc_append(added, url, known, options, column_types=types)
+        wanted = incremental.build_worklist(
+            jdbc_source.jdbc_table(spark, url, known, options),
+            jdbc_source.jdbc_table(spark, url, marks, options),
+            s.FIRST_DAY,
+        )
+        load_raw(
+            spark,
+            wanted,
+            s.provider(spark, sf_dir),
+            s.SOURCE_SCHEMA,
+            contract,
+            run_date=end,
+            stamp=stamp,
+            date="Date",
+        ).clear()
+        publish(spark, contract.table, url, stage, final, contract.keys, options, column_types=types)
+        publish_marks(spark, contract.table, url, marks, options, column_types=types)
+    return jdbc_source.jdbc_table(spark, url, final, options, split_on="date")

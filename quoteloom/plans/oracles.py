@@ -182,7 +182,11 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
        json_extract_string(props, '$.note') AS note
 FROM events""",
     "q_csv_seed": "SELECT * FROM customer",
-    "q_infer_names": "SELECT * FROM customer",
+    "q_infer_names": """
+SELECT * REPLACE (CAST(c_custkey AS VARCHAR) AS c_custkey),
+       (SELECT CASE WHEN max(c_custkey) < 2147483648 THEN 'int' ELSE 'bigint' END
+        FROM customer) AS custkey_type
+FROM customer""",
     "q_table_scan": "SELECT * FROM orders",
     "q_sql_scan": "SELECT * FROM customer",
     "q_table_create": f"""WITH {_BARS}
@@ -214,4 +218,16 @@ FROM bars b JOIN worklist w ON b.symbol = w.symbol
 WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'""",
     "q_pipeline_merge": _TWO_BATCHES,
     "q_pipeline_publish": _TWO_BATCHES,
+    "q_pipeline_incremental": f"""WITH {_BARS},
+newest AS (SELECT max(symbol) AS symbol FROM bars),
+first_round AS (
+  SELECT symbol, max(date) AS last_date FROM bars
+  WHERE date < DATE '2024-01-15' AND symbol <> (SELECT symbol FROM newest) GROUP BY symbol
+)
+SELECT {_QUOTE_COLUMNS},
+       CASE WHEN b.date < DATE '2024-01-15' AND f.symbol IS NOT NULL
+            THEN TIMESTAMP '2024-01-15 06:00:00'
+            ELSE TIMESTAMP '2024-01-25 06:00:00' END AS import_time
+FROM bars b LEFT JOIN first_round f ON b.symbol = f.symbol
+WHERE b.date < DATE '2024-01-25'""",
 }

@@ -7,6 +7,7 @@ has two events at the same instant, which makes first and last value definite.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from pyspark.sql import types as T
 from quoteloom.contract import Contract
 from quoteloom.errors import LoadError
 from quoteloom.operators.incremental import build_worklist, high_water_mark
+from quoteloom.operators.fetch import Provider
 from quoteloom.operators.projection import rename
 from quoteloom.shared import fresh_path, is_local
 from quoteloom.sinks.tables import create_namespace
-from quoteloom.sources.feed import land_feed, parquet_feed
 
 # Fixed values of the acceptance queries; the SQL they are compared with uses the same.
 FIRST_DAY = "2024-01-01"
@@ -31,7 +32,7 @@ STAMP = "2024-01-25T06:00:00"
 EARLIER_STAMP = "2024-01-15T06:00:00"
 PRICE_FLOOR = 0.25
 
-# The columns a quote service delivers, and their names in tables.
+# The columns a quote service delivers, their names in tables, and the contract.
 SOURCE_TO_TABLE = {
     "Date": "date",
     "Open": "open",
@@ -75,6 +76,77 @@ QUOTES = Contract.from_spec(
     },
 )
 
+# ---- the stand-in for a quote service: ranged calls on a bucketed copy of the bars ----------
+
+KEYS_PER_BUCKET = 64
+# Small row groups: a call reads the one or two that hold its key, not the bucket.
+ROW_GROUP_BYTES = 1 << 20
+
+
+def land_standin_feed(
+    rows: DataFrame, n_keys: int, key: str = "symbol", date: str = "date"
+) -> tuple[str, int]:
+    """Write ``rows`` as a feed in the shared folder; returns its path and bucket count.
+
+    The bucket count follows the number of keys, which may be an estimate.  A bucket
+    that a hot key makes too large is written by several tasks as several files.
+    """
+    buckets = max(1, math.ceil(n_keys / KEYS_PER_BUCKET))
+    path = fresh_path(rows.sparkSession, "feed")
+    (
+        rows.withColumn("bucket", F.pmod(F.crc32(F.col(key).cast("string")), F.lit(buckets)))
+        .hint("rebalance", "bucket")
+        .sortWithinPartitions("bucket", key, date)
+        .write.option("parquet.block.size", ROW_GROUP_BYTES)
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+    return path, buckets
+
+
+def standin_provider(
+    path: str,
+    buckets: int,
+    columns: list[str],
+    *,
+    key: str = "symbol",
+    date: str = "date",
+    floor: tuple[str, float] | None = None,
+) -> Provider:
+    """Provider over a landed feed.
+
+    With ``floor=(column, value)`` a call raises when any row in its range is below
+    that value, as a strict service would refuse a bad series.
+    """
+    opened: dict = {}
+
+    def provider(item, start, end):
+        import zlib
+
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        bucket = zlib.crc32(str(item).encode()) % buckets
+        if bucket not in opened:
+            filesystem, root = fs.FileSystem.from_uri(path)
+            folder = f"{root}/bucket={bucket}"
+            found = filesystem.get_file_info(folder).type == fs.FileType.Directory
+            opened[bucket] = ds.dataset(folder, filesystem=filesystem) if found else None
+        if opened[bucket] is None:
+            raise LookupError(f"unknown key {item}")
+        wanted = (ds.field(key) == item) & (ds.field(date) >= start)
+        if end is not None:
+            wanted = wanted & (ds.field(date) < end)
+        # the task is the unit of parallelism; reader threads would only compete with it
+        rows = opened[bucket].to_table(columns=columns, filter=wanted, use_threads=False)
+        if floor is not None and pc.any(pc.less(rows[floor[0]], floor[1])).as_py():
+            raise ValueError(f"{item}: {floor[0]} below {floor[1]}")
+        return rows
+
+    return provider
+
+
 _feeds: dict[tuple[str, str], tuple[str, int]] = {}
 _databases: dict[str, str] = {}
 
@@ -137,9 +209,9 @@ def provider(spark: SparkSession, sf_dir: str, floor: float | None = None):
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _feeds:
         users = table(spark, sf_dir, "events").agg(F.approx_count_distinct("user_id"))
-        _feeds[at] = land_feed(source_bars(spark, sf_dir), users.first()[0], date="Date")
+        _feeds[at] = land_standin_feed(source_bars(spark, sf_dir), users.first()[0], date="Date")
     path, buckets = _feeds[at]
-    return parquet_feed(
+    return standin_provider(
         path,
         buckets,
         SOURCE_COLUMNS,

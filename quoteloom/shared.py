@@ -2,7 +2,7 @@
 
 Landed data must be readable by every executor and survive the loss of any of
 them, so it goes to the folder the cluster names in ``spark.checkpoint.dir``.
-Only a plain local session without that setting falls back to a temporary folder.
+Only a local session without that setting gets a temporary folder of its own.
 """
 
 from __future__ import annotations
@@ -21,8 +21,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if master != "local" and not master.startswith("local["):
+    if not is_local(spark):
         raise LoadError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -49,3 +48,30 @@ def land(df, label: str):
     path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a landed folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Landing:
+    """Owner of the tables that one operation lands: ``clear`` removes them when it is done.
+
+    A failed operation leaves them in place.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def land(self, df, label: str):
+        path = fresh_path(self.spark, label)
+        self.paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            discard(self.spark, path)
+        self.paths = []

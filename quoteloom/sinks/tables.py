@@ -1,31 +1,31 @@
 """Catalog tables as sinks.
 
-On the session catalog a table is replaced by writing a second table and
-swapping names: the old content stays until the new one is complete, and the new
-content may be computed from the old.  On a pluggable catalog (``iceberg``,
-``delta``) the catalog's own atomic operations are used.
+On the session catalog every replacement is redone if it breaks: the new rows are landed
+first, an entry ``<table>__pending`` in the catalog says where and what for, and only
+then is the table touched.  Each sink first finishes what an earlier run left pending.
+The table keeps its format, place, types and partitioning, and no data is moved by
+rename.  While a replacement runs, readers may see a part of it; one writer at a time.
+On a pluggable catalog (``iceberg``, ``delta``) the catalog's own atomic operations are used.
 """
 
 from __future__ import annotations
 
+import contextlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteloom.contract import Contract, quote_name
-from quoteloom.errors import LoadError
+from quoteloom.errors import ContractError, LoadError
 from quoteloom.operators.incremental import dedup_by_key, require_unique, upsert
 from quoteloom.operators.projection import require_columns
-from quoteloom.shared import land
+from quoteloom.shared import Landing, discard, fresh_path
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
 
-# Partition values of one batch that are listed on the driver to prune a merge.
-# A batch that touches more partitions is merged without listing them.
-MAX_LISTED_PARTITIONS = 10_000
-
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     sql = f"CREATE NAMESPACE IF NOT EXISTS {quote_name(name)}"
@@ -46,6 +46,7 @@ def create_table(
     location: str | None = None,
 ) -> None:
     """Create the contract's table if it is absent."""
+    recover(spark, contract.table)
     spark.sql(contract.create_table_sql(_format(spark, contract.table, fmt), location))
 
 
@@ -58,21 +59,80 @@ def _spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _in_table_order(df: DataFrame, table: str) -> DataFrame:
-    columns = df.sparkSession.table(quote_name(table)).columns
-    require_columns(df, columns, f"rows for {table}")
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def _in_table_order(df: DataFrame, table: str, drop_extra: bool = False) -> DataFrame:
+    """The table's columns, by name and in its types; a value that does not fit is an error."""
+    fields = df.sparkSession.table(quote_name(table)).schema.fields
+    require_columns(df, [f.name for f in fields], f"rows for {table}")
+    extra = [c for c in df.columns if c not in {f.name for f in fields}]
+    if extra and not drop_extra:
+        raise ContractError(f"{table} has no columns {extra}")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    """Rename a table and register its partitions again where its files now are.
+# ---- replacements that can be redone ------------------------------------------------------
 
-    Some catalogs leave a renamed table's partitions at their former paths.
-    """
-    spark.sql(f"ALTER TABLE {quote_name(old)} RENAME TO {quote_name(new)}")
-    if partition_columns(spark, new):
-        spark.sql(f"MSCK REPAIR TABLE {quote_name(new)} DROP PARTITIONS")
-        spark.sql(f"MSCK REPAIR TABLE {quote_name(new)} ADD PARTITIONS")
+
+def _pending(table: str) -> str:
+    return quote_name(f"{table}__pending")
+
+
+def _column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _column_list(rows: DataFrame) -> str:
+    return ", ".join(f"{_column(f.name)} {f.dataType.simpleString()}" for f in rows.schema)
+
+
+@contextlib.contextmanager
+def _overwrite_mode(spark: SparkSession, mode: str):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _replace(rows: DataFrame, table: str, todo: dict) -> None:
+    """Land ``rows``, enter them as pending with what is ``todo``, and do it."""
+    spark = rows.sparkSession
+    path = fresh_path(spark, "pending")
+    rows.write.mode("errorifexists").parquet(path)
+    text = json.dumps(todo | {"path": path}).replace("\\", "\\\\").replace("'", "\\'")
+    place = path.replace("'", "\\'")
+    spark.sql(
+        f"CREATE TABLE {_pending(table)} ({_column_list(rows)}) USING parquet LOCATION '{place}'"
+        f" TBLPROPERTIES ('quoteloom.todo' = '{text}')"
+    )
+    recover(spark, table)
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish a replacement of ``table`` that is pending, as often as it takes."""
+    if uses_v2_catalog(spark, table) or not spark.catalog.tableExists(_pending(table)):
+        return
+    shown = spark.sql(f"SHOW TBLPROPERTIES {_pending(table)} ('quoteloom.todo')").first()
+    todo = json.loads(shown["value"])
+    rows = spark.table(_pending(table))
+    columns = todo["partition_by"]
+    if todo["shape"]:
+        # from here on the landed rows are the only copy, and they are complete
+        spark.sql(f"DROP TABLE IF EXISTS {quote_name(table)}")
+        by = ", ".join(map(_column, columns))
+        spark.sql(
+            f"CREATE TABLE {quote_name(table)} ({_column_list(rows)}) USING {todo['format']}"
+            + (f" PARTITIONED BY ({by})" if by else "")
+        )
+        with _overwrite_mode(spark, "static"):
+            ordered = _spread_for(_in_table_order(rows, table), columns)
+            ordered.write.insertInto(quote_name(table), overwrite=True)
+    else:
+        with _overwrite_mode(spark, "dynamic" if todo["touched_only"] else "static"):
+            _spread_for(rows, columns).write.insertInto(quote_name(table), overwrite=True)
+    spark.sql(f"DROP TABLE {_pending(table)}")
+    discard(spark, todo["path"])
 
 
 def write_overwrite(
@@ -80,33 +140,25 @@ def write_overwrite(
     table: str,
     fmt: str | None = None,
     partition_by: Sequence[str] | None = None,
+    drop_extra: bool = False,
 ) -> None:
-    """Replace all of a table, keeping its partitioning unless ``partition_by`` restates it."""
+    """Replace all rows of a table; it keeps its format, place, types and partitioning.
+
+    ``fmt`` and ``partition_by`` are for a table that does not exist yet.
+    """
     spark = df.sparkSession
-    incoming, outgoing = f"{table}__incoming", f"{table}__outgoing"
-    exists = spark.catalog.tableExists(quote_name(table))
-    if not exists and spark.catalog.tableExists(quote_name(outgoing)):
-        # an earlier run broke between the two renames
-        _rename(spark, outgoing, table)
-        exists = True
-    if partition_by is None:
-        partition_by = partition_columns(spark, table) if exists else []
+    recover(spark, table)
+    if not spark.catalog.tableExists(quote_name(table)):
+        write_replace(df, table, fmt, partition_by or ())
+        return
+    columns = partition_columns(spark, table)
+    if partition_by is not None and list(partition_by) != columns:
+        raise LoadError(f"{table} is partitioned by {columns}; use write_replace to change that")
+    rows = _in_table_order(df, table, drop_extra)
     if uses_v2_catalog(spark, table):
-        write_replace(df, table, fmt, partition_by)
+        _spread_for(rows, columns).writeTo(quote_name(table)).overwrite(F.lit(True))
         return
-
-    spark.sql(f"DROP TABLE IF EXISTS {quote_name(incoming)}")
-    writer = _spread_for(df, partition_by).write.format(fmt or SESSION_FORMAT)
-    writer = writer.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(quote_name(incoming))
-    if exists:
-        spark.sql(f"DROP TABLE IF EXISTS {quote_name(outgoing)}")
-        _rename(spark, table, outgoing)
-    _rename(spark, incoming, table)
-    if exists:
-        spark.sql(f"DROP TABLE {quote_name(outgoing)}")
+    _replace(rows, table, {"shape": False, "touched_only": False, "partition_by": columns})
 
 
 def write_replace(
@@ -115,52 +167,51 @@ def write_replace(
     fmt: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Create or replace a table, its shape and partitioning included."""
-    if not uses_v2_catalog(df.sparkSession, table):
-        write_overwrite(df, table, fmt, list(partition_by))
+    """Create or replace a table, its shape, format and partitioning included."""
+    spark = df.sparkSession
+    columns = list(partition_by)
+    if not uses_v2_catalog(spark, table):
+        recover(spark, table)
+        todo = {"shape": True, "format": fmt or SESSION_FORMAT, "partition_by": columns}
+        _replace(df, table, todo)
         return
-    writer = _spread_for(df, partition_by).writeTo(quote_name(table))
+    writer = _spread_for(df, columns).writeTo(quote_name(table))
     if fmt:
         writer = writer.using(fmt)
-    if partition_by:
-        writer = writer.partitionedBy(*[F.col(c) for c in partition_by])
+    if columns:
+        writer = writer.partitionedBy(*[F.col(c) for c in columns])
     writer.createOrReplace()
 
 
-def write_append(df: DataFrame, table: str) -> None:
+def write_append(df: DataFrame, table: str, drop_extra: bool = False) -> None:
     """Append by column name to an existing table."""
     spark = df.sparkSession
-    rows = _spread_for(_in_table_order(df, table), partition_columns(spark, table))
+    recover(spark, table)
+    rows = _spread_for(_in_table_order(df, table, drop_extra), partition_columns(spark, table))
     if uses_v2_catalog(spark, table):
         rows.writeTo(quote_name(table)).append()
     else:
         rows.write.insertInto(quote_name(table))
 
 
-def write_partitions(df: DataFrame, table: str) -> None:
+def write_partitions(df: DataFrame, table: str, drop_extra: bool = False) -> None:
     """Replace the partitions that occur in ``df``; all others stay."""
     spark = df.sparkSession
+    recover(spark, table)
     columns = partition_columns(spark, table)
-    rows = _spread_for(_in_table_order(df, table), columns)
+    rows = _in_table_order(df, table, drop_extra)
     if uses_v2_catalog(spark, table):
-        rows.writeTo(quote_name(table)).overwritePartitions()
+        _spread_for(rows, columns).writeTo(quote_name(table)).overwritePartitions()
         return
     if not columns:
         raise LoadError(f"{table} is not partitioned; use write_overwrite")
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.write.insertInto(quote_name(table), overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+    _replace(rows, table, {"shape": False, "touched_only": True, "partition_by": columns})
 
 
 def merge_into(
     source: DataFrame,
     table: str,
     keys: Sequence[str],
-    fmt: str | None = None,
     landed: bool = False,
     keep_first_by: Sequence[Column | str] | None = None,
 ) -> None:
@@ -175,38 +226,59 @@ def merge_into(
     occurs twice is an error, unless ``keep_first_by`` gives the order that decides.
     """
     spark = source.sparkSession
+    recover(spark, table)
+    area = Landing(spark)
     if keep_first_by is not None:
         source = dedup_by_key(source, keys, keep_first_by)
     if keep_first_by is not None or not landed:
-        source = land(source, "batch")
+        source = area.land(source, "batch")
     require_unique(source, keys)
     if uses_v2_catalog(spark, table):
         rows = _in_table_order(source, table).alias("source")
         same = " AND ".join(f"source.`{k}` = {quote_name(table)}.`{k}`" for k in keys)
         rows.mergeInto(quote_name(table), F.expr(same)).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-        return
-
-    target = spark.table(quote_name(table))
-    columns = partition_columns(spark, table)
-    if not columns or not set(columns) <= set(keys):
-        write_overwrite(upsert(target, source, keys), table, fmt, columns)
-        return
-    write_partitions(upsert(_touched_partitions(target, source, columns), source, keys), table)
-
-
-def _touched_partitions(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``target`` in partitions that ``source`` has rows for, null partitions included."""
-    touched = source.select(*columns).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) <= MAX_LISTED_PARTITIONS:
-        for c in columns:
-            values = {row[c] for row in listed}
-            wanted = F.col(c).isin(list(values - {None}))
-            target = target.where(wanted | F.col(c).isNull() if None in values else wanted)
-        if len(columns) == 1:
-            return target
-    touched = source.select(*[F.col(c).alias(f"_{c}") for c in columns])
-    same = F.lit(True)
+    else:
+        target = spark.table(quote_name(table))
+        columns = partition_columns(spark, table)
+        source = _in_table_order(source, table)
+        if not columns or not set(columns) <= set(keys):
+            write_overwrite(upsert(target, source, keys), table)
+        else:
+            write_partitions(upsert(touched_partitions(target, source, columns), source, keys), table)
+    area.clear()
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that ``source`` has rows for, null partitions included.
+
+    The range of each partition column in ``source``, one row, bounds both sides; within it a
+    semi join with plain equality lets Spark prune ``target`` at run time.  Partitions with a
+    null have a branch of their own, and only if ``source`` has such rows.
+    """
+    some_null = F.lit(False)
     for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return target.join(touched, same, "left_semi")
+        some_null = some_null | F.col(f"`{c}`").isNull()
+    marks = [F.max(some_null)]
+    for c in columns:
+        marks += [F.min(F.when(~some_null, F.col(f"`{c}`"))), F.max(F.when(~some_null, F.col(f"`{c}`")))]
+    nulls, *ranges = source.agg(*marks).first()
+    lows, highs = ranges[::2], ranges[1::2]
+
+    touched = source.select(*[F.col(f"`{c}`").alias(f"_{c}") for c in columns]).distinct()
+    parts = []
+    if all(v is not None for v in ranges):
+        same = F.lit(True)
+        inside, wanted = target, touched
+        for c, low, high in zip(columns, lows, highs):
+            inside = inside.where(F.col(f"`{c}`").between(F.lit(low), F.lit(high)))
+            wanted = wanted.where(F.col(f"`_{c}`").between(F.lit(low), F.lit(high)))
+            same = same & (F.col(f"`{c}`") == F.col(f"`_{c}`"))
+        parts.append(inside.join(wanted, same, "left_semi"))
+    if nulls:
+        same = F.lit(True)
+        for c in columns:
+            same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`_{c}`"))
+        parts.append(target.where(some_null).join(touched, same, "left_semi"))
+    if not parts:
+        return target.where(F.lit(False))
+    return parts[0].union(parts[1]) if len(parts) == 2 else parts[0]

@@ -21,6 +21,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"file://{scratch}/shared")
         .config("spark.driver.extraJavaOptions", f"-Dderby.stream.error.file={scratch}/derby.log")
         .getOrCreate()
     )

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from quoteloom import ContractError
 from quoteloom.operators import fetch as f
 from quoteloom.shared import land
-from quoteloom.sources import datasource
+from quoteloom.sources import function
 
 SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("close", T.DoubleType())])
 
@@ -288,7 +288,7 @@ def test_range_filter_with_one_hot_symbol(spark, threshold):
     assert sorted(got.id) == sorted(want.id)
 
 
-def test_fetch_as_a_data_source(spark, worklist):
+def test_fetch_as_a_table_function(spark, worklist):
     plain = make_provider()
 
     def zoned(key, start, end):
@@ -296,19 +296,56 @@ def test_fetch_as_a_data_source(spark, worklist):
         frame["date"] = pd.to_datetime(frame["date"]).dt.tz_localize("Asia/Tokyo")
         return frame.set_index("date")
 
+    def call(name, items):
+        return spark.sql(f"SELECT * FROM {name}(TABLE({{items}}))", items=f.distribute(items, 3))
+
     late = worklist.union(spark.createDataFrame([("LATE", RUN)], worklist.schema))
-    items = datasource.land_worklist(late, max_parallel=3)
-    datasource.register_fetch_source(spark, "test_feed", zoned, SCHEMA, date="date")
-    bounded = spark.read.format("test_feed").options(worklist=items, end="2024-01-25").load()
-    assert rows(bounded) == expected(ITEMS, RUN)
-    endless = spark.read.format("test_feed").options(worklist=items).load()
+    function.register_fetch_function(spark, "test_feed", zoned, SCHEMA, date="date")
+    assert rows(call("test_feed", f.due_items(late, "2024-01-25"))) == expected(ITEMS, RUN)
+    pieces = f.due_items(f.split_ranges(late, 2, "2024-01-25"))
+    assert rows(call("test_feed", pieces)) == expected(ITEMS, RUN)
+    endless = call("test_feed", f.due_items(late, open_ended=True))
     assert {r.symbol for r in endless.collect()} == {"A", "BB", "CCC", "LATE"}
-    datasource.register_fetch_source(spark, "test_bad", make_provider(bad=["BB"]), SCHEMA)
+    bad = make_provider(bad=["BB"])
+    function.register_fetch_function(spark, "test_bad", bad, SCHEMA)
     with pytest.raises(Exception, match="no data for BB"):
-        spark.read.format("test_bad").option("worklist", items).load().collect()
+        call("test_bad", f.due_items(late, "2024-01-25")).collect()
+    function.register_fetch_function(spark, "test_routed", bad, SCHEMA, on_error="route")
+    routed = call("test_routed", f.due_items(late, "2024-01-25"))
+    assert [tuple(r) for r in f.fetch_errors(routed).collect()] == [("BB", "no data for BB")]
     with pytest.raises(ContractError, match="flag"):
         flagged = T.StructType([T.StructField("flag", T.BooleanType())])
-        datasource.register_fetch_source(spark, "test_flag", plain, flagged)
+        function.register_fetch_function(spark, "test_flag", plain, flagged)
+
+
+def test_split_keeps_items_without_start_or_end(spark):
+    schema = "symbol string, start_date date, end_date date"
+    day = lambda n: dt.date(2024, 1, n)
+    items = [("A", day(1), None), ("B", None, day(5)), ("C", day(3), day(6)), ("D", day(9), None), ("E", day(5), day(5))]
+    got = f.split_ranges(spark.createDataFrame(items, schema), 2, "2024-01-04")
+    assert {tuple(r) for r in got.collect()} == {
+        ("A", day(1), day(3)), ("A", day(3), day(4)), ("A", day(4), None),
+        ("B", None, day(5)),
+        ("C", day(3), day(5)), ("C", day(5), day(6)),
+        ("D", day(9), None),
+    }
+    routed = f.fetch(got.where("symbol = 'B'"), make_provider(), SCHEMA, on_error="route")
+    assert [tuple(r) for r in f.fetch_errors(routed).collect()] == [("B", "no start date")]
+    with pytest.raises(Exception, match="no start date"):
+        f.fetch(got.where("symbol = 'B'"), make_provider(), SCHEMA).collect()
+
+
+def test_one_new_key_leaves_the_bound_of_the_others(spark):
+    table = spark.range(400).selectExpr(
+        "concat('S', id % 4) AS symbol", "date_add(DATE '2024-01-01', CAST(id / 4 AS INT)) AS date", "id"
+    )
+    starts = [("S0", "2023-12-01"), ("S1", "2024-03-01"), ("S2", "2024-03-05"), ("S3", "2024-09-09")]
+    items = spark.createDataFrame(starts, "symbol string, start_date string")
+    got = f.due_rows(table, items, "2024-01-01", "2024-04-01")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "2024-03-01" in plan and "2023-12-01" in plan
+    want = [r.id for r in table.collect() if dict(starts)[r.symbol] <= str(r.date) < "2024-04-01"]
+    assert sorted(r.id for r in got.collect()) == sorted(want)
 
 
 def test_tasks_do_not_need_the_library_installed(tmp_path):

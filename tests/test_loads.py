@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from quoteloom import Contract, ContractError, LoadError
 from quoteloom.plans import standin
 from quoteloom.plans.loading import load_raw, publish
+from quoteloom.shared import land
 from quoteloom.sinks import jdbc as jdbc_sink
 from quoteloom.sinks import tables as sink
 from quoteloom.sources import jdbc as jdbc_source
@@ -106,6 +107,48 @@ def test_load_with_pieces(spark, contract):
     assert report.calls_failed == 3 and content(spark, contract.table) == days("B", 1, 3)
 
 
+def test_withheld_rows_are_reported(spark, contract):
+    plain = make_provider()
+
+    def provider(key, start, end):
+        if key == "A" and start == D(2024, 1, 2):
+            raise ValueError("no data")
+        return plain(key, start, end)
+
+    report = load(spark, contract, provider, max_days=1)
+    assert (report.rows_in, report.rows_written, report.rows_withheld) == (5, 3, 2)
+    assert {r.symbol for r in report.withheld.collect()} == {"A"}
+    with pytest.raises(LoadError, match="1 failed calls"):
+        load(spark, contract, provider, max_days=1, max_failed=0)
+    report.clear()
+
+
+def test_load_takes_other_names_and_open_ends(spark, namespace):
+    spec = {**SPEC, "schema": [{**f, "name": "ticker"} if f["name"] == "symbol" else f for f in SPEC["schema"]]}
+    spec["keys"] = ["ticker", "date"]
+    contract = Contract.from_spec(f"{namespace}.tickers", spec)
+    plain = make_provider()
+    wanted = spark.createDataFrame([("A", D(2024, 1, 1))], "ticker string, since date")
+    report = load_raw(
+        spark, wanted, lambda k, lo, hi: plain(k, lo, hi or D(2024, 1, 9)), SCHEMA, contract,
+        run_date=D(2024, 1, 4), key="ticker", start="since", open_ended=True,
+    )
+    assert report.rows_written == 8
+
+
+def test_a_long_range_is_many_calls_in_many_tasks(spark, contract):
+    from pyspark import TaskContext
+
+    def provider(key, start, end):
+        here = TaskContext.get().partitionId()
+        return pd.DataFrame({"Date": [start], "Close": [float(here)], "Volume": [(end - start).days]})
+
+    load(spark, contract, provider, start=D(1994, 1, 1))
+    calls = source.scan(spark, contract.table).where("symbol = 'A'").collect()
+    assert len(calls) == 30 and max(r.volume for r in calls) <= 366
+    assert len({r.close for r in calls}) > 5
+
+
 def test_failed_batches_leave_the_table_alone(spark, contract):
     load(spark, contract, make_provider())
     before = content(spark, contract.table)
@@ -196,14 +239,109 @@ def test_overwrite_failing_midway_keeps_the_old_table(spark, namespace):
     assert table_rows(spark, name) == [(2, 2, "z")]
 
 
+BREAKS = ["recover", "_overwrite_mode", "discard"]
+
+
+@pytest.mark.parametrize("step", BREAKS)
 @pytest.mark.parametrize("partition_by", [[], ["p"]])
-def test_overwrite_recovers_a_swap_that_broke_off(spark, namespace, partition_by):
+def test_a_replacement_that_broke_off_is_finished_first(spark, namespace, monkeypatch, step, partition_by):
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    x, y, z = (1, 1, "x"), (2, 2, "y"), (3, 3, "z")
+    afterwards = [
+        lambda name: sink.write_append(frame(spark, [z]), name),
+        lambda name: sink.merge_into(frame(spark, [z]), name, ["k", "p"]),
+        lambda name: sink.recover(spark, name),
+    ]
+    if partition_by:
+        afterwards.append(lambda name: sink.write_partitions(frame(spark, [z]), name))
+    for i, then in enumerate(afterwards):
+        name = f"{namespace}.t{i}"
+        sink.write_overwrite(frame(spark, [x]), name, partition_by=partition_by)
+        with monkeypatch.context() as patch:
+            if step == "recover":
+                # the first call finds nothing pending; the one that should do the work breaks
+                found = iter([lambda *_: None, broken])
+                patch.setattr(sink, "recover", lambda *a: next(found)(*a))
+            else:
+                patch.setattr(sink, step, broken)
+            with pytest.raises(RuntimeError, match="lost"):
+                sink.write_overwrite(frame(spark, [y]), name)
+        then(name)
+        assert table_rows(spark, name) == ([y] if i == 2 else [y, z])
+    listed = {r.tableName for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()}
+    assert listed == {f"t{i}" for i in range(len(afterwards))}
+
+
+@pytest.mark.parametrize("step", BREAKS)
+def test_a_load_after_a_broken_one_keeps_every_row(spark, contract, monkeypatch, step):
+    load(spark, contract, make_provider())
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if step == "recover":
+            found = iter([lambda *_: None, lambda *_: None, broken])
+            patch.setattr(sink, "recover", lambda *a: next(found)(*a))
+        else:
+            patch.setattr(sink, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            load(spark, contract, make_provider(shift=0.5))
+    # up to date: nothing to write, but what was pending is done
+    load(spark, contract, make_provider(), start=D(2024, 1, 4))
+    assert content(spark, contract.table) == days("A", 1, 3, 0.5) + days("B", 1, 3, 0.5)
+
+
+@pytest.mark.parametrize("step", ["_overwrite_mode", "discard"])
+def test_a_broken_change_of_shape_is_finished(spark, namespace, monkeypatch, step):
     name = f"{namespace}.t"
-    sink.write_overwrite(frame(spark, [(1, 1, "x")]), name, partition_by=partition_by)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__outgoing")
-    sink.write_overwrite(frame(spark, [(2, 2, "z")]), name)
-    assert table_rows(spark, name) == [(2, 2, "z")]
-    assert source.partition_columns(spark, name) == partition_by
+    sink.write_overwrite(frame(spark, [(1, 1, "x")]), name)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            sink.write_replace(frame(spark, [(2, 2, "y")]).drop("v"), name, "orc", ["p"])
+    sink.recover(spark, name)
+    assert [tuple(r) for r in source.scan(spark, name).collect()] == [(2, "y")]
+    assert source.partition_columns(spark, name) == ["p"]
+
+
+@pytest.mark.parametrize("partitioned", ["", "PARTITIONED BY (p)"])
+def test_overwrite_and_merge_keep_the_definition(spark, namespace, tmp_path, partitioned):
+    name = f"{namespace}.t"
+    spark.sql(
+        f"CREATE TABLE {name} (k BIGINT, v DOUBLE, p STRING) USING orc {partitioned} LOCATION '{tmp_path}/place'"
+    )
+
+    def definition():
+        shown = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        return [shown[c] for c in ("k", "v", "p", "Provider", "Location", "Type")]
+
+    before = definition()
+    sink.write_overwrite(frame(spark, [(1, 1, "x"), (2, 2, "y")]), name)
+    sink.merge_into(frame(spark, [(2, 5, "y")]), name, ["k", "p"])
+    assert definition() == before and "orc" in before and "EXTERNAL" in before
+    assert table_rows(spark, name) == [(1, 1.0, "x"), (2, 5.0, "y")]
+    with pytest.raises(Exception, match="CAST_OVERFLOW|overflow"):
+        wide = spark.sql("SELECT 1 AS k, 2L AS v, 'x' AS p").withColumn("k", F.lit("9" * 30).cast("decimal(38,0)"))
+        sink.write_overwrite(wide, name)
+    assert len(table_rows(spark, name)) == 2
+
+
+def test_extra_columns_are_refused(spark, namespace):
+    name = f"{namespace}.t"
+    sink.write_overwrite(frame(spark, [(1, 2, "x")]), name, partition_by=["p"])
+    more = frame(spark, [(4, 5, "y")]).withColumn("extra", F.lit(1))
+    for write in (sink.write_append, sink.write_partitions, sink.write_overwrite):
+        with pytest.raises(ContractError, match="extra"):
+            write(more, name)
+    sink.write_append(more, name, drop_extra=True)
+    assert table_rows(spark, name) == [(1, 2, "x"), (4, 5, "y")]
 
 
 def test_append_goes_by_name(spark, namespace):
@@ -259,24 +397,28 @@ def test_merge_rewrites_only_touched_partitions(spark, namespace):
     assert [p for p in "abcdefgh" if files(p) != before[p]] == ["c"]
 
 
-def test_merge_beyond_the_partition_list_limit(spark, namespace, monkeypatch):
+def test_merge_prunes_the_target_by_range_and_at_run_time(spark, namespace):
     name = f"{namespace}.t"
     rows = [(k, k, p) for k, p in enumerate("abcdefgh")]
     sink.write_overwrite(frame(spark, rows), name, partition_by=["p"])
-    monkeypatch.setattr(sink, "MAX_LISTED_PARTITIONS", 1)
-    sink.merge_into(frame(spark, [(2, 99, "c"), (3, 98, "d"), (9, 97, "z")]), name, ["k", "p"])
+    batch = [(2, 99, "c"), (3, 98, "d"), (9, 97, "z")]
+    landed = land(frame(spark, batch), "batch")
+    touched = sink.touched_partitions(source.scan(spark, name), landed, ["p"])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "(p" in plan and ">= c)" in plan and "<= z)" in plan and "dynamicpruning" in plan.lower()
+    sink.merge_into(frame(spark, batch), name, ["k", "p"])
     want = {**{(k, p): (k, v, p) for k, v, p in rows}, (2, "c"): (2, 99, "c"), (3, "d"): (3, 98, "d")}
     assert table_rows(spark, name) == sorted([*want.values(), (9, 97, "z")])
 
 
-@pytest.mark.parametrize("limit", [10_000, 0])
-def test_null_partitions_survive_a_merge(spark, namespace, monkeypatch, limit):
+@pytest.mark.parametrize("batch", [[(3, 3, None)], [(3, 3, None), (4, 4, "y")], []])
+def test_null_partitions_survive_a_merge(spark, namespace, batch):
     name = f"{namespace}.t"
-    monkeypatch.setattr(sink, "MAX_LISTED_PARTITIONS", limit)
-    sink.write_overwrite(frame(spark, [(1, 1, None), (2, 2, "y")]), name, partition_by=["p"])
-    sink.merge_into(frame(spark, [(3, 3, None)]), name, ["k", "p"])
+    old = [(1, 1, None), (2, 2, "y")]
+    sink.write_overwrite(frame(spark, old), name, partition_by=["p"])
+    sink.merge_into(frame(spark, batch), name, ["k", "p"])
     got = {(r.k, r.v, r.p) for r in source.scan(spark, name).collect()}
-    assert got == {(1, 1, None), (2, 2, "y"), (3, 3, None)}
+    assert got == {*old, *batch}
 
 
 def test_merge_refuses_a_source_with_repeated_keys(spark, namespace):
@@ -337,6 +479,7 @@ def test_jdbc_filters_and_counts_reach_the_database(spark, database):
     plan = df.where("k > 1").select("v")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(k), *GreaterThan(k,1)]" in plan
     assert "ReadSchema: struct<v:int>" in plan
+    assert jdbc_source.jdbc_count(spark, url, name, options) == 2
 
 
 def test_jdbc_split_read_is_whole(spark, database):
@@ -357,7 +500,7 @@ def test_publish_twice_changes_nothing_and_merges_overlaps(spark, contract, data
     def send():
         return publish(
             spark, contract.table, url, stage, final, ["symbol", "date"], options,
-            column_types="symbol VARCHAR(16)", num_partitions=2, split_on="date",
+            column_types="symbol VARCHAR(16)", num_partitions=2,
         )
 
     def finals():
@@ -373,6 +516,77 @@ def test_publish_twice_changes_nothing_and_merges_overlaps(spark, contract, data
     assert finals() == days("A", 1, 2) + days("A", 3, 2, 0.5) + days("B", 1, 2) + days("B", 3, 2, 0.5)
 
 
+class Breaking:
+    """A statement of which the n-th call breaks."""
+
+    def __init__(self, statement, at):
+        self.statement, self.at = statement, at
+
+    def _step(self):
+        self.at -= 1
+        if self.at == 0:
+            raise RuntimeError("lost")
+
+    def executeQuery(self, sql):  # noqa: N802
+        self._step()
+        return self.statement.executeQuery(sql)
+
+    def executeUpdate(self, sql):  # noqa: N802
+        self._step()
+        return self.statement.executeUpdate(sql)
+
+
+class BreakingConnection:
+    def __init__(self, connection, at):
+        self.connection, self.at = connection, at
+
+    def createStatement(self):  # noqa: N802
+        return Breaking(self.connection.createStatement(), self.at)
+
+    def __getattr__(self, name):
+        return getattr(self.connection, name)
+
+
+@pytest.mark.parametrize("at", range(1, 7))
+def test_a_merge_that_breaks_at_any_step_loses_nothing(spark, contract, database, monkeypatch, at):
+    url, options = database
+    stage, final = name_of("stage"), name_of("final")
+
+    def send():
+        return publish(
+            spark, contract.table, url, stage, final, ["symbol", "date"], options,
+            column_types="symbol VARCHAR(16)", num_partitions=1,
+        )
+
+    def finals():
+        read = jdbc_source.jdbc_table(spark, url, final, options).collect()
+        return sorted((r.symbol, r.date, r.close) for r in read)
+
+    load(spark, contract, make_provider())
+    send()
+    before = finals()
+    load(spark, contract, make_provider(shift=0.5), start=D(2024, 1, 3), end=D(2024, 1, 5))
+    connect = jdbc_sink._connect
+    with monkeypatch.context() as patch:
+        patch.setattr(jdbc_sink, "_connect", lambda *a: BreakingConnection(connect(*a), at))
+        with pytest.raises(RuntimeError, match="lost"):
+            send()
+    assert finals() == before
+    assert send() == 8
+    assert finals() == days("A", 1, 2) + days("A", 3, 2, 0.5) + days("B", 1, 2) + days("B", 3, 2, 0.5)
+
+
+def test_merge_refuses_stages_it_cannot_repeat(spark, database):
+    url, options = database
+    types = {"column_types": "p VARCHAR(8)"}
+    for rows, match in (([(1, 1, "x"), (1, 2, "x")], "different rows"), ([(None, 1, "x")], "without a key")):
+        stage, final = name_of("stage"), name_of("final")
+        jdbc_sink.jdbc_append(frame(spark, rows), url, stage, options, **types)
+        with pytest.raises(LoadError, match=match):
+            jdbc_sink.jdbc_merge(spark, url, stage, final, ["k"], options, **types)
+        assert jdbc_source.jdbc_count(spark, url, final, options) == 0
+
+
 def test_publish_ignores_rows_a_retry_repeated_in_the_stage(spark, database):
     url, options = database
     stage, final = name_of("stage"), name_of("final")

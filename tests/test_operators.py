@@ -31,7 +31,7 @@ SALES_SCHEMA = T.StructType(
     ]
 )
 
-# A small sales table with one repeated row and two missing values.
+# A small sales table (columns above) with one repeated row and two missing values.
 SALES = [
     (1, 101, "Laptop", 1, 1000.00, "2023-08-01"),
     (2, 102, "Mouse", 2, 25.50, "2023-08-01"),
@@ -277,17 +277,12 @@ def test_inline_rows_are_verified(spark):
         rows.inline_rows(spark, [("2024-12-01", 2**31)], strict).collect()
 
 
-def test_small_inline_rows_are_broadcast_and_large_ones_are_not(spark, monkeypatch):
+def test_inline_rows_leave_the_join_to_the_caller(spark):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
     big = spark.range(1000).withColumnRenamed("id", "k")
-    lookup = [(1, "x"), (2, "y")]
-    joined = big.join(rows.inline_rows(spark, lookup, schema), "k", "left")
-    assert "BroadcastHashJoin" in plan_of(joined)
-    monkeypatch.setattr(rows, "BROADCAST_CHARS", 3)
-    plain = big.join(rows.inline_rows(spark, lookup, schema), "k", "left")
-    assert "BroadcastHashJoin" not in plan_of(plain)
-    assert sorted(map(tuple, joined.where("v IS NOT NULL").collect())) == lookup
-    assert sorted(map(tuple, plain.where("v IS NOT NULL").collect())) == lookup
+    lookup = rows.inline_rows(spark, [(1, "x"), (2, "y")], schema)
+    assert "BroadcastHashJoin" in plan_of(big.join(F.broadcast(lookup), "k", "left"))
+    assert "BroadcastHashJoin" not in plan_of(big.join(lookup, "k", "left"))
 
 
 def test_names_only_rows_infer_types_and_check_width(spark):
