@@ -36,7 +36,8 @@ GRAM = 48
 PERIOD = 32
 HOT = 1_000  # fragments of one minimizer
 BLOCK_BYTES = 4_000_000
-BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd multipliers of the rolling hashes
+# odd multipliers of the rolling hashes
+BASES = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
 
 def difference_cover(period: int) -> np.ndarray:
@@ -181,36 +182,45 @@ def sliding(values: np.ndarray, width: int, best: np.ufunc, worst: int) -> np.nd
     return best(behind[:count], ahead[width - 1 : width - 1 + count])
 
 
-def fragments(text: np.ndarray, ends: np.ndarray, length: int, rolling: Rolling):
-    """(minimizer, first start, last start, occurrences) of the runs of suffixes with one minimizer.
+def fragments(text: np.ndarray, ends: np.ndarray, length: int, rolls: list[Rolling]):
+    """(key, first start, last start, occurrences) of the runs of suffixes with one key.
 
-    ``ends`` are where the texts in ``text`` end, one after the other.  Occurrences are the
-    places within the run that have the minimizer: more than one if the run may repeat itself.
+    The key is made of the minimizers under each of ``rolls``.  ``ends`` are where the texts
+    in ``text`` end, one after the other.  Occurrences are the places within the run that have
+    the minimizer, the fewest of all functions: over one if the run may repeat itself.
     """
     n = len(text)
     if n < length:
         return (np.zeros(0, np.int64),) * 4
-    grams = rolling(text.astype(np.uint64), GRAM)
-    width = length - GRAM + 1
-    least = sliding(grams, width, np.minimum, np.iinfo(np.uint64).max)
-    count = n - length + 1
+    width, count = length - GRAM + 1, n - length + 1
     doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     whole = doc[:count] == doc[length - 1 :]
     new = np.ones(count, bool)
-    new[1:] = (least[1:] != least[:-1]) | (doc[1:count] != doc[: count - 1])
+    new[1:] = doc[1:count] != doc[: count - 1]
+    functions = []
+    for roll in rolls:
+        grams = roll(text.astype(np.uint64), GRAM)
+        least = sliding(grams, width, np.minimum, np.iinfo(np.uint64).max)
+        functions.append((grams, least))
+        new[1:] |= least[1:] != least[:-1]
     first = np.flatnonzero(new & whole)
     stop = np.append(np.flatnonzero(new | ~whole), count)
     last = stop[np.searchsorted(stop, first, side="right")] - 1
-    # the places that are the minimizer of a suffix
+    key = np.zeros(len(first), np.uint64)
+    times = np.full(len(first), n)
     edge = np.zeros(width - 1, np.uint64)
-    most = sliding(np.concatenate([edge, np.where(whole, least, np.uint64(0)), edge]), width, np.maximum, 0)
-    chosen = np.flatnonzero(grams == most)
-    low = np.searchsorted(chosen, first)
-    size = np.searchsorted(chosen, last + width) - low
-    fragment = np.repeat(np.arange(len(first)), size)
-    place = np.arange(len(fragment)) - np.repeat(np.cumsum(size) - size - low, size)
-    own = grams[chosen[place]] == least[first[fragment]]
-    return least[first].view(np.int64), first, last, np.bincount(fragment[own], minlength=len(first))
+    for grams, least in functions:
+        # the places that are the minimizer of a suffix
+        most = sliding(np.concatenate([edge, np.where(whole, least, np.uint64(0)), edge]), width, np.maximum, 0)
+        chosen = np.flatnonzero(grams == most)
+        low = np.searchsorted(chosen, first)
+        size = np.searchsorted(chosen, last + width) - low
+        fragment = np.repeat(np.arange(len(first)), size)
+        place = np.arange(len(fragment)) - np.repeat(np.cumsum(size) - size - low, size)
+        own = grams[chosen[place]] == least[first[fragment]]
+        times = np.minimum(times, np.bincount(fragment[own], minlength=len(first)))
+        key = key * np.uint64(BASES[1]) + least[first]
+    return key.view(np.int64), first, last, times
 
 
 def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -224,17 +234,19 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     """(mark, data, copies): each different text once, and how many rows have it."""
     data = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     rows = docs.select(data.alias("data")).select(F.unhex(F.md5("data")).alias("mark"), "data")
+    # joins on mark would add this filter to their branch; with it in all of them they share a shuffle
+    rows = rows.where(F.col("mark").isNotNull())
     return rows.groupBy("mark").agg(F.first("data").alias("data"), F.count("*").alias("copies"))
 
 
-def find_fragments(texts: DataFrame, length: int) -> DataFrame:
+def find_fragments(texts: DataFrame, length: int, bases: list[int]) -> DataFrame:
     """(key, mark, first, last, times): the fragments of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = Rolling(BASES[0])
+        rolls = [Rolling(b) for b in bases]
         for piece in pieces(batches, "data"):
             text, ends = _joined(piece.column("data"))
-            key, first, last, times = fragments(text, ends, length, rolling)
+            key, first, last, times = fragments(text, ends, length, rolls)
             doc = np.searchsorted(ends, first, side="right")
             begin = ends - np.diff(ends, prepend=0)
             columns = [
@@ -249,6 +261,14 @@ def find_fragments(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "key long, mark binary, first int, last int, times int")
 
 
+def shared_fragments(texts: DataFrame, length: int, bases: list[int]) -> DataFrame:
+    """(mark, fragment, n): the fragments whose key occurs n > 1 times in all texts."""
+    found = find_fragments(texts, length, bases)
+    counts = found.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1")
+    fragment = F.struct("key", "first", "last").alias("fragment")
+    return found.join(counts, "key").select("mark", fragment, "n")
+
+
 def find_repeats(docs: DataFrame, length: int = 200, *, text: str = "text", hot: int = HOT) -> DataFrame:
     """(mark, data, copies, spans): each different text with the byte ranges that repeat.
 
@@ -257,14 +277,10 @@ def find_repeats(docs: DataFrame, length: int = 200, *, text: str = "text", hot:
     if length < max(GRAM, PERIOD):
         raise ValueError(f"a repeat has {max(GRAM, PERIOD)} bytes or more")
     texts = distinct_texts(docs, text)
-    found = find_fragments(texts, length)
-    counts = found.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1")
-    shared = found.join(counts, "key").select(
-        "mark", F.struct("key", "first", "last").alias("fragment"), (F.col("n") > hot).alias("hot")
-    )
-    rest = cut_fragments(texts, shared.where("NOT hot"), length)
+    shared = shared_fragments(texts, length, BASES[:1])
+    rest = cut_fragments(texts, shared.where(F.col("n") <= hot), length)
     spans = _sorted_buckets(rest, length)
-    spans = spans.union(_counted_suffixes(cut_fragments(texts, shared.where("hot"), length), length))
+    spans = spans.union(_counted_suffixes(cut_fragments(texts, shared.where(F.col("n") > hot), length), length))
     by_text = spans.groupBy("mark").agg(F.array_sort(F.collect_list("span")).alias("spans"))
     size = F.octet_length("data")
     whole = F.array(F.struct(F.lit(0).alias("start"), size.alias("end")))
@@ -367,34 +383,47 @@ def _sorted_buckets(cut: DataFrame, length: int) -> DataFrame:
 def _counted_suffixes(hot: DataFrame, length: int) -> DataFrame:
     """(mark, span) of what repeats in hot buckets.
 
-    Fragments of equal text repeat as a whole.  The suffixes of the different ones, the
-    others and one of each equal ones, are counted by two hashes.
+    Fragments of equal text repeat as a whole.  The different ones, the others and one of each
+    equal ones, are cut anew under the minimizers of more hash functions, all together as key:
+    few of the suffixes that reach out of the common passage still share theirs with another.
+    Those that do are counted by two hashes of their first bytes.
     """
     rows = hot.select("mark", "first", "text", F.unhex(F.md5("text")).alias("same"))
-    groups = rows.groupBy("same").agg(
+    groups = rows.where(F.col("same").isNotNull()).groupBy("same").agg(
         F.count("*").alias("n"),
-        F.first("text").alias("text"),
-        F.min("mark").alias("mark"),
-        F.min("first").alias("first"),
+        F.first("text").alias("data"),
+        F.min("mark").alias("owner"),
+        F.min("first").alias("start"),
+    )
+    texts = groups.withColumnRenamed("same", "mark")
+    listed = shared_fragments(texts, length, BASES[1:]).groupBy("mark").agg(
+        F.collect_list("fragment").alias("fragments")
     )
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolls = [Rolling(b) for b in BASES]
+        rolls = [Rolling(b) for b in BASES[:2]]
         names = ["key", "check", "alone", "mark", "first"]
-        for piece in pieces(batches, "text", 500_000):
-            text, ends = _joined(piece.column("text"))
-            count = np.diff(ends, prepend=0) - length + 1
-            owner = np.repeat(np.arange(len(ends)), count)
-            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            at = (ends - np.diff(ends, prepend=0))[owner] + within
-            keys = [r(text.astype(np.uint64), length)[at].view(np.int64) for r in rolls]
-            alone = piece.column("n").to_numpy()[owner] == 1
-            first = piece.column("first").to_numpy()[owner] + within
-            mark = piece.column("mark").take(pa.array(owner))
-            columns = [*map(pa.array, keys), pa.array(alone), mark, pa.array(first, pa.int32())]
+        for piece in pieces(batches, "data", 500_000):
+            text, ends = _joined(piece.column("data"))
+            begin = ends - np.diff(ends, prepend=0)
+            lists = piece.column("fragments")
+            owner = np.repeat(np.arange(len(ends)), np.diff(lists.offsets.to_numpy()))
+            first, last = (lists.flatten().field(c).to_numpy() for c in ("first", "last"))
+            count = last - first + 1
+            owner = np.repeat(owner, count)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count - first, count)
+            keys = [r(text.astype(np.uint64), length)[begin[owner] + within].view(np.int64) for r in rolls]
+            columns = [
+                *map(pa.array, keys),
+                pa.array(piece.column("n").to_numpy()[owner] == 1),
+                piece.column("owner").take(pa.array(owner)),
+                pa.array(piece.column("start").to_numpy()[owner] + within, pa.int32()),
+            ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    suffixes = groups.mapInArrow(expand, "key long, check long, alone boolean, mark binary, first int")
+    suffixes = texts.join(listed, "mark").mapInArrow(
+        expand, "key long, check long, alone boolean, mark binary, first int"
+    )
     twice = suffixes.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1")
     found = suffixes.where("alone").join(twice, ["key", "check"])
     span = F.struct(F.col("first").alias("start"), (F.col("first") + length).alias("end"))
