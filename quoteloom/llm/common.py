@@ -47,3 +47,24 @@ def pieces(
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             yield batch.slice(lo, hi - lo)
+
+
+def merged_spans(spans: Column) -> Column:
+    """Sorted spans with those that touch or overlap made one."""
+    none = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
+    return F.aggregate(
+        spans,
+        none,
+        lambda done, s: F.when(
+            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
+            F.concat(
+                F.slice(done, 1, F.size(done) - 1),
+                F.array(
+                    F.struct(
+                        F.element_at(done, -1)["start"].alias("start"),
+                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
+                    )
+                ),
+            ),
+        ).otherwise(F.concat(done, F.array(s))),
+    )

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import pieces
+from quoteloom.llm.common import merged_spans, pieces
 
 GRAM = 48
 PERIOD = 32
@@ -285,7 +285,7 @@ def find_repeats(docs: DataFrame, length: int = 200, *, text: str = "text", hot:
     size = F.octet_length("data")
     whole = F.array(F.struct(F.lit(0).alias("start"), size.alias("end")))
     merged = F.when((F.col("copies") > 1) & (size >= length), whole).otherwise(
-        F.coalesce(_merged(F.col("spans")), F.expr("array()"))
+        F.coalesce(merged_spans(F.col("spans")), F.expr("array()"))
     )
     return texts.join(by_text, "mark", "left").select("mark", "data", "copies", merged.alias("spans"))
 
@@ -310,27 +310,6 @@ def cut_fragments(texts: DataFrame, shared: DataFrame, length: int) -> DataFrame
     return joined.mapInArrow(run, "key long, mark binary, first int, text binary")
 
 
-def _merged(spans):
-    """Sorted spans with those that touch or overlap made one."""
-    none = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
-    return F.aggregate(
-        spans,
-        none,
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-
-
 def _sorted_buckets(cut: DataFrame, length: int) -> DataFrame:
     """(mark, span) from the sorted suffixes of all fragments, a block of buckets at a time."""
     rows = cut.select("key", "mark", "first", "text")
