@@ -359,56 +359,85 @@ def _sorted_buckets(cut: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "mark binary, span struct<start:int,end:int>")
 
 
+def _distinct(rows: DataFrame) -> DataFrame:
+    """Fragments of equal text once: mark, data, n, and the place and ``alone`` of one of them."""
+    return rows.where(F.col("same").isNotNull()).groupBy(F.col("same").alias("mark")).agg(
+        F.first("text").alias("data"),
+        F.count("*").alias("n"),
+        F.min("mark").alias("owner"),
+        F.min("first").alias("start"),
+        F.min("alone").alias("alone"),
+    )
+
+
+def _whole(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(mark, span) of the fragments whose text occurs more than once."""
+    often = groups.where("n > 1").select(F.col("mark").alias("same"))
+    span = F.struct(F.col("first").alias("start"), (F.col("first") + F.octet_length("text")).alias("end"))
+    return rows.where("alone").join(often, "same", "left_semi").select("mark", span.alias("span"))
+
+
 def _counted_suffixes(hot: DataFrame, length: int) -> DataFrame:
     """(mark, span) of what repeats in hot buckets.
 
     Fragments of equal text repeat as a whole.  The different ones, the others and one of each
     equal ones, are cut anew under the minimizers of more hash functions, all together as key:
-    few of the suffixes that reach out of the common passage still share theirs with another.
-    Those that do are counted by two hashes of their first bytes.
+    few of the suffixes that reach out of a common passage still share theirs with another.
+    Of the pieces that do, equal ones again repeat as a whole, and the suffixes of the
+    different ones are counted by two hashes.
     """
-    rows = hot.select("mark", "first", "text", F.unhex(F.md5("text")).alias("same"))
-    groups = rows.where(F.col("same").isNotNull()).groupBy("same").agg(
-        F.count("*").alias("n"),
-        F.first("text").alias("data"),
-        F.min("mark").alias("owner"),
-        F.min("first").alias("start"),
-    )
-    texts = groups.withColumnRenamed("same", "mark")
-    listed = shared_fragments(texts, length, BASES[1:]).groupBy("mark").agg(
+    same = F.unhex(F.md5("text")).alias("same")
+    rows = hot.select("mark", "first", "text", same, F.lit(True).alias("alone"))
+    groups = _distinct(rows)
+    listed = shared_fragments(groups.select("mark", "data"), length, BASES[1:]).groupBy("mark").agg(
         F.collect_list("fragment").alias("fragments")
     )
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["mark", "first", "text", "alone"]
+        kinds = [pa.binary(), pa.int32(), pa.binary(), pa.bool_()]
+        for piece in pieces(batches, "data"):
+            parts = []
+            columns = (piece.column(c).to_pylist() for c in ("owner", "start", "n", "data", "fragments"))
+            for owner, start, n, data, some in zip(*columns):
+                for f in some:
+                    text = data[f["first"] : f["last"] + length]
+                    parts.append((owner, start + f["first"], text, n == 1))
+            columns = zip(*parts) if parts else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    parts = groups.join(listed, "mark").mapInArrow(
+        cut, "mark binary, first int, text binary, alone boolean"
+    )
+    parts = parts.select("mark", "first", "text", same, "alone")
+    pieces_left = _distinct(parts)
+
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolls = [Rolling(b) for b in BASES[:2]]
         names = ["key", "check", "alone", "mark", "first"]
         for piece in pieces(batches, "data", 500_000):
             text, ends = _joined(piece.column("data"))
-            begin = ends - np.diff(ends, prepend=0)
-            lists = piece.column("fragments")
-            owner = np.repeat(np.arange(len(ends)), np.diff(lists.offsets.to_numpy()))
-            first, last = (lists.flatten().field(c).to_numpy() for c in ("first", "last"))
-            count = last - first + 1
-            owner = np.repeat(owner, count)
-            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count - first, count)
-            keys = [r(text.astype(np.uint64), length)[begin[owner] + within].view(np.int64) for r in rolls]
+            count = np.diff(ends, prepend=0) - length + 1
+            owner = np.repeat(np.arange(len(ends)), count)
+            within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            at = (ends - np.diff(ends, prepend=0))[owner] + within
+            alone = (piece.column("n").to_numpy() == 1) & piece.column("alone").to_numpy(zero_copy_only=False)
             columns = [
-                *map(pa.array, keys),
-                pa.array(piece.column("n").to_numpy()[owner] == 1),
+                *(pa.array(r(text.astype(np.uint64), length)[at].view(np.int64)) for r in rolls),
+                pa.array(alone[owner]),
                 piece.column("owner").take(pa.array(owner)),
                 pa.array(piece.column("start").to_numpy()[owner] + within, pa.int32()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    suffixes = texts.join(listed, "mark").mapInArrow(
+    suffixes = pieces_left.mapInArrow(
         expand, "key long, check long, alone boolean, mark binary, first int"
     )
     twice = suffixes.groupBy("key", "check").agg(F.count("*").alias("n")).where("n > 1")
     found = suffixes.where("alone").join(twice, ["key", "check"])
     span = F.struct(F.col("first").alias("start"), (F.col("first") + length).alias("end"))
-    equal = rows.join(groups.where("n > 1").select("same"), "same", "left_semi")
-    whole = F.struct(F.col("first").alias("start"), (F.col("first") + F.octet_length("text")).alias("end"))
-    return found.select("mark", span.alias("span")).union(equal.select("mark", whole.alias("span")))
+    found = found.select("mark", span.alias("span"))
+    return found.union(_whole(rows, groups)).union(_whole(parts, pieces_left))
 
 
 def summary(docs: DataFrame, length: int = 200, *, id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
