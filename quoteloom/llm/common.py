@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -28,6 +29,22 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 200):
+    """Arrow batches of few rows, for actions in the block whose rows each carry a whole text.
+
+    Joins repeat a long text for each of its partners; batches of the usual row count would
+    then hold gigabytes.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4_000_000
 ) -> Iterator[pa.RecordBatch]:
