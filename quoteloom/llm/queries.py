@@ -45,6 +45,44 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = r"""
+WITH items AS (
+  SELECT item_id, w, least(len(w), 10) AS l
+  FROM (
+    SELECT item_id, regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+  ) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[p : p + l - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - l + 2)) AS p FROM items)
+), docs AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), grams AS (
+  SELECT r, l, p, array_to_string(w[p : p + l - 1], ' ') AS g
+  FROM (
+    SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS p
+    FROM docs, (SELECT DISTINCT l FROM items)
+  )
+), found AS (
+  SELECT r, p, grams.l, item_id FROM grams JOIN windows ON grams.l = windows.l AND grams.g = windows.g
+), hits AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + l)) AS q FROM found) GROUP BY r
+), hit_items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits ON docs.r = hits.r LEFT JOIN hit_items ON docs.r = hit_items.r
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
@@ -153,5 +191,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_decontaminate": OP4_SQL,
     "op6_url_filters": OP6_SQL,
 }
