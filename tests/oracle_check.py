@@ -62,7 +62,7 @@ def main():
     import __spark_entry__ as e
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(e.queries())
+    wanted = sys.argv[2:] or list(e.oracle_sql())
     spark, con = make_session(), duck(sf_dir)
     bad = 0
     for name in wanted:
