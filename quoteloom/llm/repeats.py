@@ -35,7 +35,7 @@ from quoteloom.llm.common import merged_spans, pieces
 GRAM = 48
 PERIOD = 32
 HOT = 1_000  # fragments of one minimizer
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 # odd multipliers of the rolling hashes
 BASES = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
 
@@ -244,7 +244,7 @@ def find_fragments(texts: DataFrame, length: int, bases: list[int]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolls = [Rolling(b) for b in bases]
-        for piece in pieces(batches, "data"):
+        for piece in pieces(batches, "data", 1_000_000):
             text, ends = _joined(piece.column("data"))
             key, first, last, times = fragments(text, ends, length, rolls)
             doc = np.searchsorted(ends, first, side="right")
