@@ -3,10 +3,10 @@
 Patterns find the base spans.  Tokens that hold a digit or an @ are the field's nodes; all
 other tokens are outside by definition and so drop out of it.  A node's own potential comes
 from its shape and the word before it; neighbours in the text share a chain potential, and
-distant tokens with the same letters and digits share a skip potential, linked from
-occurrence to occurrence.  Base spans are observed.  Loopy message passing then settles
-all nodes of a document together, so a token that repeats part of a known number or
-address takes its label.
+distant tokens with the same letters and digits share a skip potential, each linked to the
+nearest observed occurrence, or to the first one if none is observed.  Base spans are observed.
+Loopy message passing runs until the messages of a document settle, in rounds that follow its
+longest chain, so a token that repeats part of a known number or address takes its label.
 
 The potentials are logarithms of counts over all documents, with the base spans as
 labels: one pass, whose result has a fixed size.  (Tokens that repeat part of a base span
@@ -19,6 +19,7 @@ the operator's own column name must be free.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -234,15 +235,47 @@ def fit(docs: DataFrame, text: str = "text") -> Potentials:
     )
 
 
-def beliefs(graph: Graph, potentials: Potentials, rounds: int = 12) -> np.ndarray:
-    """The label probabilities of all nodes after loopy message passing."""
+def skip_links(graph: Graph) -> list[tuple[int, int]]:
+    """A link of each occurrence to the nearest observed one of its group, else to the first one."""
+    group = np.arange(len(graph.doc))
+    for a, b in graph.skip:
+        group[b] = group[a]
+    members: dict[int, list[int]] = {}
+    for node in sorted({n for pair in graph.skip for n in pair}):
+        members.setdefault(int(group[node]), []).append(node)
+    links = []
+    for nodes in members.values():
+        centers = [n for n in nodes if graph.seen[n] >= 0] or nodes[:1]
+        inside = set(centers)
+        for n in nodes:
+            if n not in inside:
+                at = bisect(centers, n)
+                near = min(centers[max(0, at - 1) : at + 1], key=lambda c: abs(c - n))
+                links.append((min(near, n), max(near, n)))
+    return links
+
+
+def most_rounds(graph: Graph) -> int:
+    """Damped messages need some rounds a link, along the longest run of neighbours."""
+    longest, run, last = 0, 0, None
+    for a, b in graph.chain:
+        run = run + 1 if a == last else 1
+        longest, last = max(longest, run), b
+    return 40 + 4 * longest
+
+
+def beliefs(graph: Graph, potentials: Potentials, rounds: int | None = None) -> np.ndarray:
+    """The label probabilities of all nodes after loopy message passing.
+
+    Without ``rounds`` it ends when no message changes by a thousandth.
+    """
     features, seen = np.array(graph.features), np.array(graph.seen)
     own = potentials.shape[features[:, 0]] + potentials.word[features[:, 1]]
     known = np.flatnonzero(seen >= 0)
-    own[known] = -30.0
+    own[known] = -1e6  # more than the messages of any number of repeats
     own[known, seen[known]] = 0.0
     edges, tables = [], []
-    for pairs, table in ((graph.chain, potentials.chain), (graph.skip, potentials.skip)):
+    for pairs, table in ((graph.chain, potentials.chain), (skip_links(graph), potentials.skip)):
         for a, b in pairs:
             edges += [(a, b), (b, a)]
             tables += [table, table.T]
@@ -251,7 +284,7 @@ def beliefs(graph: Graph, potentials: Potentials, rounds: int = 12) -> np.ndarra
         edge, table = np.array(edges), np.array(tables)
         back = np.arange(len(edge)) ^ 1
         message = np.zeros((len(edge), LABELS))
-        for _ in range(rounds):
+        for _ in range(most_rounds(graph) if rounds is None else rounds):
             total = own.copy()
             np.add.at(total, edge[:, 1], message)
             cavity = total[edge[:, 0]] - message[back]
@@ -259,7 +292,10 @@ def beliefs(graph: Graph, potentials: Potentials, rounds: int = 12) -> np.ndarra
             top = sent.max(1, keepdims=True)
             new = np.log(np.exp(sent - top).sum(1)) + top[:, 0]
             new -= new.max(1, keepdims=True)
+            change = np.abs(new - message).max()
             message = 0.5 * message + 0.5 * new
+            if rounds is None and change < 1e-3:
+                break
         total = own.copy()
         np.add.at(total, edge[:, 1], message)
     p = np.exp(total - total.max(1, keepdims=True))

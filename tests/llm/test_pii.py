@@ -83,3 +83,24 @@ def test_message_passing_is_exact_on_a_tree():
     got = pii.beliefs(graph, model, rounds=60)
     assert np.allclose(got, [joint.sum((1, 2)), joint.sum((0, 2)), joint.sum((0, 1))], atol=1e-6)
     assert graph.chain == [(0, 1), (1, 2)]
+
+
+def test_fifty_repeats_take_the_label():
+    """Each repeat takes it as a single one would, however many there are."""
+    text = "call +49 30 1234567 now " + "word and 1234567 then " * 50
+    graph = pii.Graph([text])
+    own, skip = np.zeros((pii.BUCKETS, 5)), np.zeros((5, 5))
+    own[:, pii.OUTSIDE] = 1.0
+    np.fill_diagonal(skip, 4.0)
+    p = pii.beliefs(graph, pii.Potentials(own, 0 * own, np.zeros((5, 5)), skip))
+    repeats = [i for i, s in enumerate(graph.seen) if s < 0]
+    assert len(repeats) == 50 and (p[repeats].argmax(1) == 3).all() and (p[repeats, 3] > 0.9).all()
+
+
+def test_long_chains_settle():
+    graph = pii.Graph([" ".join(str(i % 10) for i in range(80))])
+    graph.seen[0] = 3
+    table = np.zeros((5, 5))
+    np.fill_diagonal(table, 12.0)
+    p = pii.beliefs(graph, pii.Potentials(np.zeros((pii.BUCKETS, 5)), np.zeros((pii.BUCKETS, 5)), table, 0 * table))
+    assert p[-1].argmax() == 3 and p[-1, 3] > 0.9
