@@ -77,6 +77,7 @@ NEVER_NAMES = set(
     " toolbar contentinfo complementary search".split()
 )
 HEAD_NAMES = {"header"}
+WHOLE = set("html body main article".split())  # no name drops these
 CONTENT_NAMES = set("article content post entry story main".split())
 CONTAINERS = set("html body div section main center table tbody tr td".split())
 
@@ -109,7 +110,9 @@ def element_key(tag: str, attributes: str) -> str:
     names = []
     if "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
-            names += NAME_WORD.findall((m[2] or m[3] or m[4] or "").lower())
+            # a whole name without its numbers, which differ from page to page
+            whole = ("-".join(NAME_WORD.findall(n)) for n in (m[2] or m[3] or m[4] or "").lower().split())
+            names += [n for n in whole if n]
     return ".".join([tag, *sorted(set(names))]) if names else tag
 
 
@@ -117,12 +120,14 @@ def tag_of(key: str) -> str:
     return key.split(".", 1)[0]
 
 
-def never(key: str, inside: bool) -> bool:
-    """Whether an element is no main text, here ``inside`` an article or not."""
+def never(key: str, inside: bool, named: bool = True) -> bool:
+    """Whether an element is no main text, here ``inside`` an article or not; ``named``: by whole names, too."""
     tag, *names = key.split(".")
-    if tag in NEVER or not NEVER_NAMES.isdisjoint(names):
+    if tag in NEVER or not inside and tag == "header":
         return True
-    return not inside and (tag == "header" or not HEAD_NAMES.isdisjoint(names))
+    if not named or tag in WHOLE:
+        return False
+    return not NEVER_NAMES.isdisjoint(names) or not inside and not HEAD_NAMES.isdisjoint(names)
 
 
 def events(page: str) -> Iterator[tuple[str, str]]:
@@ -256,17 +261,17 @@ def align(a: Element, b: Element) -> Element:
     return Element(a.key, flags, a.chars + b.chars, fold(parts))
 
 
-def places(wrapper: Element) -> list[str]:
-    """The paths of the elements that hold the main text."""
+def places(wrapper: Element, by_name: bool = True) -> list[str]:
+    """The paths of the elements that hold the main text; names drop nothing if they would drop all."""
     articles, mains, named = [], [], []
     amount: dict[int, int] = {}
 
     def walk(part: Element, path: str, inside: bool) -> int:
         here = path if part.key.startswith("(") or not part.key else f"{path}/{part.key}"
         if part.key and not part.key.startswith("("):
-            if never(part.key, inside):
+            if never(part.key, inside, by_name):
                 return 0
-            tag, *names = part.key.split(".")
+            tag, *names = part.key.replace("-", ".").split(".")
             if not inside:
                 if tag == "article":
                     articles.append(here)
@@ -280,6 +285,8 @@ def places(wrapper: Element) -> list[str]:
         return total
 
     total = walk(wrapper, "", False)
+    if not total and by_name:
+        return places(wrapper, False)
     for found in (articles, mains, named):
         if found:
             # an element inside another one of these is read with it
@@ -300,6 +307,7 @@ def places(wrapper: Element) -> list[str]:
 def read_text(page: str, where: list[str]) -> str | None:
     """The main text at the given places; None if the page has none of them."""
     wanted = set(where)
+    around = {w[:i] for w in wanted for i in range(len(w)) if w[i] == "/"} | wanted
     found = "" in wanted
     blocks, block = [], []
 
@@ -322,7 +330,7 @@ def read_text(page: str, where: list[str]) -> str | None:
             path, inside, dropped = stack[-1]
             path = f"{path}/{value}"
             found = found or path in wanted
-            dropped = dropped or never(value, "/article" in path)
+            dropped = dropped or never(value, "/article" in path, path not in around)
             stack.append((path, inside or path in wanted, dropped))
         elif kind == "close":
             stack.pop()

@@ -69,3 +69,19 @@ def test_pages_table_equals_a_plain_reading(spark):
         parts = re.split(r"</?(?:h1|p|br)>", re.sub("</?b>", "", inner))
         want = " ".join(" ".join(H.unescape(p).split()) for p in parts if p.strip())
         assert got[r.page_id] == " ".join(want.split()), r.page_id
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body class='has-sidebar'><article><p>x</article>", "x"),
+        ("<body class=sidebar><p>x", "x"),
+        ("<div id=page class='layout no-sidebar'><article><p>x</article></div>", "x"),
+        ("<div class=widget><article><p>x</article></div>", "x"),
+        ("<article class='post comment-status-open'><p>x</article>", "x"),
+        ("<article><p class='share-price'>x<section id='search-methods'>y</section><div class='ad'>z</div></article>", "x y"),
+        ("<article id='post-12'><p>x<div id=comments>z</div></article>", "x"),
+    ],
+)
+def test_only_whole_names_drop_an_element(page, text):
+    assert x.main_text(page, []) == text
