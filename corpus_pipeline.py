@@ -23,8 +23,11 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is below one half."""
+    """Documents whose score is below one half; all of them if no label is usable."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.weights:
+        # the model knows nothing and scores every text one half
+        return docs.select(*COLUMNS)
     return toxicity.score(docs, model, column="_score").where("_score < 0.5").select(*COLUMNS)
 
 

@@ -60,3 +60,11 @@ def test_stages_take_odd_rows(spark):
         kept = sorted(str(r.doc_id) for r in docs.collect())
         # the texts without words are one group, and so are the two without an id
         assert kept == (["1", "3", "None"] if some else [])
+
+
+def test_no_usable_label_drops_nothing(spark, tmp_path):
+    schema = "doc_id long, quality int, toxic int"
+    docs = spark.createDataFrame([(1, "a clean text", "en", "s", 12)], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, rows in (("empty", []), ("null", [(1, 1, None)])):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.drop_toxic(spark, docs, f"{tmp_path}/{name}").count() == 1
