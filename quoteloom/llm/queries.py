@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm import bpe, decontaminate, extract, neighbours, passages, pii, repeats, simhash, toxicity, urls
+from quoteloom.llm import (
+    bpe,
+    decontaminate,
+    extract,
+    merkle,
+    neighbours,
+    passages,
+    pii,
+    repeats,
+    simhash,
+    toxicity,
+    urls,
+)
 from quoteloom.llm.common import table
 
 
@@ -177,6 +189,29 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RECORD = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    longer = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    changed = F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0,
+        merkle.record_digest([longer.get(c, F.col(c)) for c in RECORD]),
+    )
+    found = merkle.manifest(docs, RECORD, id="doc_id", group="lang", fanout=2, extra={"tampered": changed})
+    folded = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
@@ -188,6 +223,7 @@ QUERIES = {
     "op8_extract": op8_extract,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLES = {
