@@ -212,6 +212,63 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP12_SQL = """
+WITH RECURSIVE parts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    CASE WHEN n_chars IS NOT NULL AND xor(
+      list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+      4294967295) % 7 = 0 THEN CAST(n_chars AS HUGEINT) + 1 ELSE n_chars END AS changed
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM (
+    SELECT r, doc_id, lang,
+      sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+      sha256(head || coalesce(strlen(CAST(changed AS VARCHAR)) || ':' || changed, '-') || tail) AS changed
+    FROM parts
+  )
+), up AS (
+  SELECT 0 AS level, lang, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM up WHERE n > 1 GROUP BY level, lang, n, pos // 2
+), nodes AS MATERIALIZED (SELECT * FROM up), tops AS MATERIALIZED (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), root_up AS (
+  SELECT 0 AS level, pos, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM root_up WHERE n > 1 GROUP BY level, n, pos // 2
+), root_nodes AS MATERIALIZED (SELECT * FROM root_up), walk AS (
+  SELECT r, 0 AS level, lang, pos, n, '' AS proof, changed AS folded FROM leaves
+  UNION ALL
+  SELECT r, walk.level + 1, walk.lang, walk.pos // 2, (walk.n + 1) // 2, proof || coalesce(s.h, ''),
+    sha256(CASE WHEN walk.pos % 2 = 1 THEN s.h || folded ELSE folded || coalesce(s.h, '') END)
+  FROM walk LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM walk.lang AND s.level = walk.level
+    AND s.pos = xor(walk.pos, 1)
+  WHERE walk.n > 1
+), root_walk AS (
+  SELECT r, 0 AS level, tops.pos, tops.n, proof, folded, tops.h AS subroot
+  FROM walk JOIN tops ON tops.lang IS NOT DISTINCT FROM walk.lang WHERE walk.n = 1
+  UNION ALL
+  SELECT r, w.level + 1, w.pos // 2, (w.n + 1) // 2, proof || coalesce(s.h, ''),
+    sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || folded ELSE folded || coalesce(s.h, '') END), subroot
+  FROM root_walk w LEFT JOIN root_nodes s ON s.level = w.level AND s.pos = xor(w.pos, 1) WHERE w.n > 1
+)
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM root_walk w JOIN leaves ON leaves.r = w.r CROSS JOIN (SELECT h FROM root_nodes WHERE n = 1)
+WHERE w.n = 1
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
@@ -229,4 +286,5 @@ QUERIES = {
 ORACLES = {
     "op4_decontaminate": OP4_SQL,
     "op6_url_filters": OP6_SQL,
+    "op12_merkle": OP12_SQL,
 }
