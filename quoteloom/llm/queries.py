@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quoteloom.llm import (
     bpe,
     decontaminate,
+    dialogue,
     extract,
     merkle,
     neighbours,
@@ -269,6 +270,25 @@ WHERE w.n = 1
 """
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with some turns lost, emptied, without their marks, repeated or of a wrong role."""
+    space = F.lit(" ")
+    named = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    kind = F.crc32(named.cast("binary")) % 20
+    text = F.coalesce("text", space)
+    changed = F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(kind == 4, "user").otherwise(F.coalesce("role", space))
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return turns.select(
+        "conv_id", "turn", role.alias("role"), changed.alias("text"), F.explode(F.array_repeat(F.lit(0), copies))
+    ).drop("col")
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return dialogue.report(dialogue.repair(damaged(turns)), turns.select("conv_id"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_repeats": op2_repeats,
@@ -281,6 +301,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op12_merkle": op12_merkle,
+    "op13_dialogue": op13_dialogue,
 }
 
 ORACLES = {

@@ -1,0 +1,182 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from quoteloom.llm import dialogue, queries
+
+SF_DIR = "/root/testdata/sf0.1"
+SCHEMA = "conv_id long, turn long, role string, text string"
+WORD = r"[^\x20\x09-\x0D]"
+
+
+def damage(rows):
+    found = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        named = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        kind = zlib.crc32(named.encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        found += [(conv, turn, "user" if kind == 4 else role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return found
+
+
+def best_audit(turns):
+    """Least (cost, audit): all audits by state, as whole texts.  ``turns`` are (role, fault)."""
+
+    def inserted(at):
+        for _ in range(2):
+            for state, after in (("", "u"), ("s", "u"), ("a", "u"), ("u", "a")):
+                if state in at:
+                    new = (at[state][0] + 2, at[state][1] + "I")
+                    at[after] = min(at.get(after, new), new)
+        return at
+
+    at = {"": (0, "")}
+    for role, fault in turns:
+        new = {}
+        for state, (cost, audit) in inserted(at).items():
+            options = [(state, 3, "D")]
+            if fault not in ("blank", "duplicate"):
+                more = fault == "truncated"
+                options.append(("a" if state == "u" else "u", 2 + more, "R"))
+                first = role[:1]
+                if first == "s" and state == "" or first == "a" and state == "u" or first == "u" and state != "u":
+                    options.append((first, more, "K"))
+            for after, price, edit in options:
+                found = (cost + price, audit + edit)
+                new[after] = min(new.get(after, found), found)
+        at = new
+    at = inserted(at)
+    return min(at[s] for s in ("", "a") if s in at)
+
+
+def brute(rows, ids):
+    """Rows are those after the damage."""
+    report = []
+    for conv in sorted(set(ids), key=str):
+        low = -(2**63) - 1
+        turns = sorted(
+            [r[1:] for r in rows if r[0] == conv],
+            key=lambda t: (low if t[0] is None else t[0], t[1].encode(), hashlib.sha256(t[2].encode()).digest()),
+        )
+        seen, faults = set(), []
+        for _, role, text in turns:
+            last = re.findall(WORD, text)[-1:]
+            fault = (
+                "blank" if not last else "duplicate" if (role, text) in seen
+                else "truncated" if last[0] not in ".!?" else None
+            )
+            seen.add((role, text))
+            faults.append(fault)
+        numbers = [t[0] for t in turns if t[0] is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        pairs = zip([t[1][:1] for t in turns], [t[1][:1] for t in turns][1:])
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in pairs)
+        cost, audit = best_audit([(t[1], f) for t, f in zip(turns, faults)])
+        lines, left, state = [], list(turns), ""
+        for edit in audit:
+            fill = "assistant" if state == "u" else "user"
+            if edit == "I":
+                lines.append(f"{fill}:")
+                state = fill[0]
+                continue
+            _, role, text = left.pop(0)
+            if edit != "D":
+                role = fill if edit == "R" else role
+                lines.append(f"{role}:{text}")
+                state = role[:1]
+        assert not left and re.fullmatch("(s?(ua)+)?", "".join(line[0] for line in lines))
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        report.append((str(conv), gaps, *counts, illegal, cost, audit, digest))
+    return sorted(report)
+
+
+def listed(df):
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return sorted((str(r.conv_id), *[r[n] for n in names]) for r in df.collect())
+
+
+def test_query_equals_plain_python(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()]
+    by_turn = {}
+    for r in damage(rows):
+        by_turn.setdefault(r[0], []).append(r)
+    want = []
+    for conv in {r[0] for r in rows}:
+        want += brute(by_turn.get(conv, []), [conv])
+    assert listed(queries.op13_dialogue(spark, SF_DIR)) == sorted(want)
+    assert all(sum(w[i] for w in want) for i in range(1, 7))
+
+
+@pytest.mark.parametrize("block", [2, 3, 1024])
+def test_blocks_of_blocks(spark, block):
+    rng = random.Random(block)
+    texts = ["yes.", "no!", "half", " ", "", "ok? ", "tail.\n"] + [f"line {i}." for i in range(30)]
+    roles = ["user", "assistant", "system", "tool", "", "u"]
+    rows = []
+    for conv in range(25):
+        for turn in range(rng.choice([1, 2, 5, 9, 40])):
+            rows.append((conv, turn, rng.choices(roles, [5, 5, 2, 1, 1, 1])[0], rng.choice(texts)))
+    turns = spark.createDataFrame(rows, SCHEMA)
+    edits = dialogue.repair(turns, block=block)
+    got = listed(dialogue.report(edits, turns.select("conv_id")))
+    assert got == brute(rows, range(25))
+
+
+def test_ties_are_settled_by_the_first_difference():
+    rng = random.Random(5)
+    kinds = ["u0", "a0", "s0", "-0", "u1", "a1", "u2", "a3"]
+    names = {"u": "user", "a": "assistant", "s": "system", "-": "tool"}
+    for _ in range(300):
+        codes = [rng.choice(kinds) for _ in range(rng.randint(1, 25))]
+        elements = [dialogue.ordered_moves(dialogue.turn_moves(c)) for c in codes]
+        found = dialogue.solve(elements, dialogue.NOTHING)
+        end = min(found, key=lambda s: (found[s][0] + 2 * len(dialogue.ENDINGS[s]), found[s][1]))
+        before, audit = 0, ""
+        for code, after in zip(codes, map(int, found[end][2])):
+            audit += dialogue.turn_moves(code)[before, after][1]
+            before = after
+        want = best_audit([(names[c[0]], dialogue.FAULTS[int(c[1])]) for c in codes])
+        assert (found[end][0] + 2 * len(dialogue.ENDINGS[end]), audit + dialogue.ENDINGS[end]) == want
+
+
+def test_colliding_hashes_are_noticed(monkeypatch):
+    monkeypatch.setattr(dialogue, "MODULUS", 2)
+    test_ties_are_settled_by_the_first_difference()
+
+
+def test_nulls_ties_long_texts_and_clashing_columns(spark):
+    rows = [
+        (None, None, None, None),
+        (None, 1, "user", "a."),
+        (1, None, "user", "first."),
+        (1, None, "assistant", "second."),
+        (1, 4, "assistant", None),
+        (1, 4, "assistant", "x" * 500_000),
+        (1, 4, "assistant", "x" * 500_000),
+        (1, -3, "user", "é!"),
+        (2, None, "system", "only."),
+    ]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    clashing = turns.withColumns({c: F.lit("x") for c in ("key", "pos", "size", "code", "edits", "step", "_digest", "fault")})
+    filled = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    got = listed(dialogue.report(dialogue.repair(clashing), turns.select("conv_id")))
+    assert got == brute(filled, [None, 1, 2])
+    repaired = dialogue.repair(clashing).where("conversation = 2").orderBy("pos", "step").collect()
+    assert [(r.edit, r.role, r.text) for r in repaired] == [("D", None, None)]
+
+
+def test_empty_tables_and_lost_conversations(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert dialogue.repair(empty).count() == 0
+    assert dialogue.report(dialogue.repair(empty), empty.select("conv_id")).count() == 0
+    ids = spark.createDataFrame([(5,), (5,)], "conv_id long")
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert listed(dialogue.report(dialogue.repair(empty), ids)) == [("5", 0, 0, 0, 0, 0, 0, "", nothing)]
