@@ -19,6 +19,7 @@ from quoteloom.llm import (
     simhash,
     toxicity,
     urls,
+    voting,
 )
 from quoteloom.llm.common import table
 
@@ -190,6 +191,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = voting.fit(docs, table(spark, sf_dir, "labels"))
+    return voting.score(docs, model).select(
+        "doc_id",
+        voting.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 RECORD = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -300,6 +312,7 @@ QUERIES = {
     "op8_extract": op8_extract,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_quality": op11_quality,
     "op12_merkle": op12_merkle,
     "op13_dialogue": op13_dialogue,
 }

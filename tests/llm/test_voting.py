@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quoteloom.llm import queries, voting
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    scored = queries.op11_quality(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = scored.join(labels, "doc_id", "left").select("doc_id", "held_out", "score", "predicted", "quality").collect()
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    known = [r for r in rows if r.held_out and r.quality is not None]
+    kept = [r.predicted for r in known if r.quality == 1]
+    dropped = [1 - r.predicted for r in known if r.quality == 0]
+    assert sum(kept) / len(kept) > 0.99 and sum(dropped) / len(dropped) > 0.95
+
+
+def data(spark, n=400):
+    rng = random.Random(2)
+    rows, labels = [], []
+    for i in range(n):
+        good = i % 3 > 0
+        words = ["".join(rng.choices("abcdef", k=5)) for _ in range(rng.randint(3, 30))]
+        rows.append((i, " ".join(words) + "." if good else "## ".join(words).upper()))
+        labels.append((i, int(good)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_scores_equal_a_plain_vote(spark):
+    docs, labels = data(spark)
+    model = voting.fit(docs, labels, features=40, dimensions=6, neighbours=7)
+    texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()] + ["", "Ab cd", None]
+    got = model.score(texts)
+
+    def latent(text):
+        raw = [0.0] * len(model.places)
+        for f, n in voting.counts(text).items():
+            if f in model.places:
+                at = model.places[f]
+                raw[at] = (1 + math.log(n)) * model.rarity[at]
+        v = [sum(raw[i] * model.directions[i][j] for i in range(len(raw))) for j in range(6)]
+        size = math.sqrt(sum(x * x for x in v))
+        return [x / size if size > 1e-9 else 0.0 for x in v]
+
+    for text, score in zip(texts, got):
+        v = latent(text)
+        cosines = [max(0.0, round(sum(a * b for a, b in zip(v, u)), 9)) for u in model.vectors.tolist()]
+        last = sorted(cosines)[-7]
+        votes = [(c**4, y) for c, y in zip(cosines, model.labels) if c >= last]
+        total = sum(w for w, _ in votes)
+        want = sum(w * y for w, y in votes) / total if total > 0 else model.share
+        assert score == pytest.approx(want, abs=1e-6)
+
+
+def test_the_directions_lose_least(spark):
+    docs, labels = data(spark)
+    model = voting.fit(docs, labels, features=40, dimensions=6)
+    full = voting.fit(docs, labels, features=40, dimensions=40)
+    assert np.allclose(model.directions.T @ model.directions, np.eye(6), atol=1e-9)
+    assert np.allclose(np.abs(np.sum(model.directions * full.directions[:, :6], axis=0)), 1, atol=1e-6)
+
+
+def test_a_score_does_not_depend_on_its_batch(spark):
+    docs, labels = data(spark)
+    model = voting.fit(docs, labels)
+    texts = [r.text for r in docs.limit(300).collect()]
+    assert np.allclose(model.score(texts), [model.score([t])[0] for t in texts], rtol=0, atol=1e-9)
+
+
+def test_labels_of_held_out_rows_teach_nothing(spark):
+    docs, labels = data(spark)
+    flipped = labels.withColumn(
+        "quality", F.when(voting.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    )
+    texts = [r.text for r in docs.limit(50).collect()]
+    a, b = (voting.fit(docs, x).score(texts) for x in (labels, flipped))
+    assert np.allclose(a, b, rtol=0, atol=1e-9)
+
+
+def test_nulls_long_texts_empty_tables_and_clashing_columns(spark):
+    docs, labels = data(spark)
+    odd = spark.createDataFrame(
+        [(None, None), (5000, ""), (1, None), (6, "x### " * 400_000), (7, "abc def."), (7, "abc def.")], docs.schema
+    )
+    more = spark.createDataFrame([(None, 1), (2, None), (3, 9), (99999, 1)], labels.schema)
+    model = voting.fit(docs.union(odd), labels.union(more))
+    found = voting.score(odd.withColumn("feature", F.lit("x")), model).collect()
+    empty = [r["score"] for r in found if not r.text]
+    assert len(found) == 6 and set(empty) == {model.share} and {r["feature"] for r in found} == {"x"}
+    assert len({r["score"] for r in found if r.doc_id == 7}) == 1
+    with pytest.raises(ValueError, match="already has"):
+        voting.score(docs.withColumn("score", F.lit(1)), model)
+    for nothing in (voting.fit(docs.limit(0), labels), voting.fit(docs, labels.limit(0))):
+        assert nothing.score(["x", None]).tolist() == [0.5, 0.5]
+    assert voting.score(docs.limit(0), model).count() == 0
