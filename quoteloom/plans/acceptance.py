@@ -690,7 +690,7 @@ def q_pipeline_incremental(spark, sf_dir):
     keys = s.symbols(spark, sf_dir)
     newest = keys.agg(F.max("symbol").alias("symbol"))
     none_loaded = spark.createDataFrame([], "symbol string, last_date date")
-    jdbc_sink.jdbc_append(none_loaded, url, marks, options, column_types=types)
+    jdbc_sink.create_keyed(spark, url, marks, none_loaded.schema, ["symbol"], options, column_types=types)
     rounds = (
         (keys.join(newest, "symbol", "left_anti"), s.LOADED_BEFORE, s.EARLIER_STAMP),
         (newest, s.RUN_DATE, s.STAMP),
