@@ -1,18 +1,24 @@
 """Catalog tables as sinks.
 
-On the session catalog every replacement is redone if it breaks: the new rows are landed
-first, an entry ``<table>__pending`` in the catalog says where and what for, and only
-then is the table touched.  Each sink first finishes what an earlier run left pending.
-The table keeps its format, place, types and partitioning, and no data is moved by
-rename.  While a replacement runs, readers may see a part of it; one writer at a time.
-On a pluggable catalog (``iceberg``, ``delta``) the catalog's own atomic operations are used.
+On the session catalog a replacement writes its rows once, to a new folder beside the table,
+the snapshot, and then points the table to it: one statement for a table without partitions,
+one for each partition otherwise.  Readers see the old rows or the new ones, of a partition
+at a time, and never a part of either.  What was replaced stays until the next sink of that
+table starts, so a query that had begun before the switch ends well.
+
+``<table>__pending`` is the snapshot as a table of its own.  Once its rows are complete it says
+what is to be done with it, and every sink first does what an earlier run left undone (or drops
+what was never complete).  Tables keep their format, types and partitioning; no data is moved.
+One writer at a time.  On a pluggable catalog (``iceberg``, ``delta``) the catalog's own atomic
+operations are used.
 """
 
 from __future__ import annotations
 
-import contextlib
 import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +27,7 @@ from quoteloom.contract import Contract, quote_name
 from quoteloom.errors import ContractError, LoadError
 from quoteloom.operators.incremental import dedup_by_key, require_unique, upsert
 from quoteloom.operators.projection import require_columns
-from quoteloom.shared import Landing, discard, fresh_path
+from quoteloom.shared import Landing, discard
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
@@ -71,11 +77,21 @@ def _in_table_order(df: DataFrame, table: str, drop_extra: bool = False) -> Data
 
 # ---- replacements that can be redone ------------------------------------------------------
 
+TODO, PREVIOUS = "quoteloom.todo", "quoteloom.previous"
+SNAPSHOTS = "__snapshots"
+
+# Fixed value: how Spark names the folder of a null in a partition column.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _pending(table: str) -> str:
     return quote_name(f"{table}__pending")
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _column(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -84,55 +100,162 @@ def _column_list(rows: DataFrame) -> str:
     return ", ".join(f"{_column(f.name)} {f.dataType.simpleString()}" for f in rows.schema)
 
 
-@contextlib.contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str):
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+def _described(spark: SparkSession, table: str, what: str, partition: str = "") -> str | None:
+    """A line of a table's or partition's description; the first one that comes."""
+    part = f" PARTITION ({partition})" if partition else ""
+    lines = spark.sql(f"DESCRIBE EXTENDED {table}{part}").where(F.col("col_name") == what).collect()
+    return lines[0]["data_type"] if lines else None
 
 
-def _replace(rows: DataFrame, table: str, todo: dict) -> None:
-    """Land ``rows``, enter them as pending with what is ``todo``, and do it."""
-    spark = rows.sparkSession
-    path = fresh_path(spark, "pending")
-    rows.write.mode("errorifexists").parquet(path)
-    text = json.dumps(todo | {"path": path}).replace("\\", "\\\\").replace("'", "\\'")
-    place = path.replace("'", "\\'")
-    spark.sql(
-        f"CREATE TABLE {_pending(table)} ({_column_list(rows)}) USING parquet LOCATION '{place}'"
-        f" TBLPROPERTIES ('quoteloom.todo' = '{text}')"
-    )
-    recover(spark, table)
+def _property(spark: SparkSession, table: str, name: str) -> str | None:
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return shown.get(name)
 
 
-def recover(spark: SparkSession, table: str) -> None:
-    """Finish a replacement of ``table`` that is pending, as often as it takes."""
-    if uses_v2_catalog(spark, table) or not spark.catalog.tableExists(_pending(table)):
-        return
-    shown = spark.sql(f"SHOW TBLPROPERTIES {_pending(table)} ('quoteloom.todo')").first()
-    todo = json.loads(shown["value"])
-    rows = spark.table(_pending(table))
-    columns = todo["partition_by"]
-    if todo["shape"]:
-        # from here on the landed rows are the only copy, and they are complete
-        spark.sql(f"DROP TABLE IF EXISTS {quote_name(table)}")
-        by = ", ".join(map(_column, columns))
+def _partitions(spark: SparkSession, table: str) -> dict[str, str]:
+    """Partitions as statements name them, with the folder each has below its table."""
+    found = {}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = []
+        for part in row[0].split("/"):
+            name, value = part.split("=", 1)
+            values.append(f"{_column(name)} = {'null' if value == NULL_FOLDER else _text(unquote(value))}")
+        found[", ".join(values)] = row[0]
+    return found
+
+
+def _snapshot_root(location: str) -> str:
+    above = location.rsplit("/", 1)[0]
+    return above if above.endswith(SNAPSHOTS) else location + SNAPSHOTS
+
+
+def _new_snapshot(spark: SparkSession, table: str) -> str:
+    """A folder beside the table's; for a table that does not exist, in its namespace."""
+    if spark.catalog.tableExists(quote_name(table)):
+        location = _described(spark, quote_name(table), "Location")
+    else:
+        namespace = table.rsplit(".", 1)[0] if "." in table else spark.catalog.currentDatabase()
+        shown = spark.sql(f"DESCRIBE NAMESPACE {quote_name(namespace)}").where("info_name = 'Location'")
+        location = f"{shown.first()['info_value'].rstrip('/')}/{table.rsplit('.', 1)[-1].strip('`')}"
+    return f"{_snapshot_root(location)}/{uuid.uuid4().hex}"
+
+
+def _stored(spark: SparkSession, folder: str) -> list[str]:
+    """The folders directly below ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f"{folder}/{f.getPath().getName()}" for f in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _replaced(spark: SparkSession, table: str, snapshot: str, touched_only: bool) -> list[str]:
+    """The folders that nothing refers to once ``table`` points to ``snapshot``."""
+    if not spark.catalog.tableExists(quote_name(table)):
+        return []
+    if touched_only:
+        old = _partitions(spark, quote_name(table))
+        touched = [p for p in _partitions(spark, _pending(table)) if p in old]
+        return [_described(spark, quote_name(table), "Location", p) for p in touched]
+    location = _described(spark, quote_name(table), "Location")
+    beside = _stored(spark, snapshot.rsplit("/", 1)[0])
+    return [f for f in [location, *beside] if f.rsplit("/", 1)[-1] != snapshot.rsplit("/", 1)[-1]]
+
+
+def _replace(
+    rows: DataFrame,
+    table: str,
+    shape: str | None = None,
+    partition_by: Sequence[str] = (),
+    touched_only: bool = False,
+) -> None:
+    """Write ``rows`` once, as the pending snapshot, and point ``table`` to it.
+
+    ``shape`` is the format if the table is to be made anew, with the columns of ``rows``.
+    """
+    spark = rows.sparkSession
+    snapshot = _new_snapshot(spark, table)
+    if shape:
+        by = ", ".join(map(_column, partition_by))
         spark.sql(
-            f"CREATE TABLE {quote_name(table)} ({_column_list(rows)}) USING {todo['format']}"
+            f"CREATE TABLE {_pending(table)} ({_column_list(rows)}) USING {shape}"
             + (f" PARTITIONED BY ({by})" if by else "")
+            + f" LOCATION {_text(snapshot)}"
         )
-        with _overwrite_mode(spark, "static"):
-            ordered = _spread_for(_in_table_order(rows, table), columns)
-            ordered.write.insertInto(quote_name(table), overwrite=True)
+        rows = _in_table_order(rows, f"{table}__pending")
     else:
-        with _overwrite_mode(spark, "dynamic" if todo["touched_only"] else "static"):
-            _spread_for(rows, columns).write.insertInto(quote_name(table), overwrite=True)
-    spark.sql(f"DROP TABLE {_pending(table)}")
-    discard(spark, todo["path"])
+        spark.sql(f"CREATE TABLE {_pending(table)} LIKE {quote_name(table)} LOCATION {_text(snapshot)}")
+    _spread_for(rows, partition_by).write.insertInto(_pending(table))
+    # a folder whose name starts with _ is not read as data
+    previous = f"{snapshot}/_previous"
+    replaced = _replaced(spark, table, snapshot, touched_only)
+    if replaced:
+        spark.createDataFrame([(f,) for f in replaced], "folder string").coalesce(1).write.mode("overwrite").parquet(previous)
+    todo = {
+        "snapshot": snapshot,
+        "shape": bool(shape),
+        "touched_only": touched_only,
+        "previous": previous if replaced else None,
+    }
+    # from here on the snapshot is complete, and what is pending is finished by whoever comes next
+    spark.sql(f"ALTER TABLE {_pending(table)} SET TBLPROPERTIES ('{TODO}' = {_text(json.dumps(todo))})")
+    _switch(spark, table)
+
+
+def _point(spark: SparkSession, table: str, location: str, partition: str = "") -> None:
+    part = f" PARTITION ({partition})" if partition else ""
+    spark.sql(f"ALTER TABLE {table}{part} SET LOCATION {_text(location)}")
+
+
+def _switch(spark: SparkSession, table: str) -> None:
+    """Point ``table`` to its pending snapshot, as often as it takes."""
+    pending, name = _pending(table), quote_name(table)
+    todo = json.loads(_property(spark, pending, TODO))
+    snapshot, exists = todo["snapshot"], spark.catalog.tableExists(name)
+    # data goes with the entry of a managed table or partition, so entries that go point nowhere first
+    nowhere = f"{snapshot}/_nowhere"
+    if todo["shape"]:
+        if todo["previous"]:
+            spark.sql(f"ALTER TABLE {pending} SET TBLPROPERTIES ('{PREVIOUS}' = {_text(todo['previous'])})")
+        if exists:
+            _point(spark, name, nowhere)
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {pending} RENAME TO {name}")
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{TODO}')")
+        return
+    if partition_columns(spark, table):
+        new, old = _partitions(spark, pending), _partitions(spark, name)
+        for partition, folder in new.items():
+            place = f"{snapshot}/{folder}"
+            if partition in old:
+                _point(spark, name, place, partition)
+            else:
+                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition}) LOCATION {_text(place)}")
+        for partition in [] if todo["touched_only"] else old.keys() - new.keys():
+            _point(spark, name, nowhere, partition)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition})")
+    if not todo["touched_only"]:
+        _point(spark, name, snapshot)
+    spark.catalog.refreshTable(name)
+    if todo["previous"]:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PREVIOUS}' = {_text(todo['previous'])})")
+    spark.sql(f"DROP TABLE {pending}")
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish a replacement of ``table`` that is pending, and remove what an earlier one replaced."""
+    if uses_v2_catalog(spark, table):
+        return
+    pending, name = _pending(table), quote_name(table)
+    if spark.catalog.tableExists(pending):
+        if _property(spark, pending, TODO):
+            _switch(spark, table)
+        else:
+            unfinished = _described(spark, pending, "Location")
+            spark.sql(f"DROP TABLE {pending}")
+            discard(spark, unfinished)
+    if spark.catalog.tableExists(name) and (previous := _property(spark, name, PREVIOUS)):
+        for row in spark.read.schema("folder string").parquet(previous).collect():
+            discard(spark, row["folder"])
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PREVIOUS}')")
 
 
 def write_overwrite(
@@ -142,7 +265,7 @@ def write_overwrite(
     partition_by: Sequence[str] | None = None,
     drop_extra: bool = False,
 ) -> None:
-    """Replace all rows of a table; it keeps its format, place, types and partitioning.
+    """Replace all rows of a table; it keeps its format, types and partitioning.
 
     ``fmt`` and ``partition_by`` are for a table that does not exist yet.
     """
@@ -158,7 +281,7 @@ def write_overwrite(
     if uses_v2_catalog(spark, table):
         _spread_for(rows, columns).writeTo(quote_name(table)).overwrite(F.lit(True))
         return
-    _replace(rows, table, {"shape": False, "touched_only": False, "partition_by": columns})
+    _replace(rows, table, partition_by=columns)
 
 
 def write_replace(
@@ -167,13 +290,16 @@ def write_replace(
     fmt: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Create or replace a table, its shape, format and partitioning included."""
+    """Create or replace a table, its shape, format and partitioning included.
+
+    On the session catalog the new table takes the place of the old one by name; between two
+    statements there is none.  It is an external table then: dropping it leaves its files.
+    """
     spark = df.sparkSession
     columns = list(partition_by)
     if not uses_v2_catalog(spark, table):
         recover(spark, table)
-        todo = {"shape": True, "format": fmt or SESSION_FORMAT, "partition_by": columns}
-        _replace(df, table, todo)
+        _replace(df, table, fmt or SESSION_FORMAT, columns)
         return
     writer = _spread_for(df, columns).writeTo(quote_name(table))
     if fmt:
@@ -205,7 +331,7 @@ def write_partitions(df: DataFrame, table: str, drop_extra: bool = False) -> Non
         return
     if not columns:
         raise LoadError(f"{table} is not partitioned; use write_overwrite")
-    _replace(rows, table, {"shape": False, "touched_only": True, "partition_by": columns})
+    _replace(rows, table, partition_by=columns, touched_only=True)
 
 
 def merge_into(

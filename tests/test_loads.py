@@ -240,76 +240,148 @@ def test_overwrite_failing_midway_keeps_the_old_table(spark, namespace):
     assert table_rows(spark, name) == [(2, 2, "z")]
 
 
-BREAKS = ["recover", "_overwrite_mode", "discard"]
+class BreakingSession:
+    """A session of which the n-th statement that changes the catalog breaks."""
 
+    def __init__(self, session, at):
+        self.session, self.at = session, at
 
-@pytest.mark.parametrize("step", BREAKS)
-@pytest.mark.parametrize("partition_by", [[], ["p"]])
-def test_a_replacement_that_broke_off_is_finished_first(spark, namespace, monkeypatch, step, partition_by):
-    def broken(*_):
-        raise RuntimeError("lost")
-
-    x, y, z = (1, 1, "x"), (2, 2, "y"), (3, 3, "z")
-    afterwards = [
-        lambda name: sink.write_append(frame(spark, [z]), name),
-        lambda name: sink.merge_into(frame(spark, [z]), name, ["k", "p"]),
-        lambda name: sink.recover(spark, name),
-    ]
-    if partition_by:
-        afterwards.append(lambda name: sink.write_partitions(frame(spark, [z]), name))
-    for i, then in enumerate(afterwards):
-        name = f"{namespace}.t{i}"
-        sink.write_overwrite(frame(spark, [x]), name, partition_by=partition_by)
-        with monkeypatch.context() as patch:
-            if step == "recover":
-                # the first call finds nothing pending; the one that should do the work breaks
-                found = iter([lambda *_: None, broken])
-                patch.setattr(sink, "recover", lambda *a: next(found)(*a))
-            else:
-                patch.setattr(sink, step, broken)
-            with pytest.raises(RuntimeError, match="lost"):
-                sink.write_overwrite(frame(spark, [y]), name)
-        then(name)
-        assert table_rows(spark, name) == ([y] if i == 2 else [y, z])
-    listed = {r.tableName for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()}
-    assert listed == {f"t{i}" for i in range(len(afterwards))}
+    def sql(self, text, *args, **kwargs):
+        if text.split()[0] in ("CREATE", "ALTER", "DROP"):
+            self.at -= 1
+            if self.at == 0:
+                raise RuntimeError("lost")
+        return self.session.sql(text, *args, **kwargs)
+
+    def __getattr__(self, name):
+        return getattr(self.session, name)
 
 
-@pytest.mark.parametrize("step", BREAKS)
-def test_a_load_after_a_broken_one_keeps_every_row(spark, contract, monkeypatch, step):
-    load(spark, contract, make_provider())
+def breaks_at(monkeypatch, step, work):
+    """Run ``work`` with a break at its ``step``-th statement; whether there was one."""
+    replace, switch = sink._replace, sink._switch
 
-    def broken(*_):
-        raise RuntimeError("lost")
+    def begin(rows, *args, **kwargs):
+        session = BreakingSession(rows.sparkSession, step)
+        with monkeypatch.context() as patch:
+            patch.setattr(type(rows), "sparkSession", property(lambda _: session), raising=False)
+            patch.setattr(sink, "_switch", lambda _, *a: switch(session, *a))
+            return replace(rows, *args, **kwargs)
 
     with monkeypatch.context() as patch:
-        if step == "recover":
-            found = iter([lambda *_: None, lambda *_: None, broken])
-            patch.setattr(sink, "recover", lambda *a: next(found)(*a))
+        patch.setattr(sink, "_replace", begin)
+        try:
+            work()
+        except RuntimeError as e:
+            assert "lost" in str(e)
+            return True
+    return False
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_a_replacement_may_break_at_any_statement(spark, namespace, monkeypatch, partition_by):
+    x, y, z = (1, 1, "x"), (2, 2, "y"), (3, 3, "x")
+    works = {
+        "overwrite": lambda name: sink.write_overwrite(frame(spark, [y, z]), name),
+        "merge": lambda name: sink.merge_into(frame(spark, [y, z]), name, ["k", "p"]),
+    }
+    if partition_by:
+        works["partitions"] = lambda name: sink.write_partitions(frame(spark, [y, z]), name)
+    for what, work in works.items():
+        old, new = [x], sorted([x, y, z] if what == "merge" else [y, z])
+        for step in range(1, 20):
+            name = f"{namespace}.{what}{step}"
+            sink.write_overwrite(frame(spark, old), name, partition_by=partition_by)
+            broke = breaks_at(monkeypatch, step, lambda: work(name))
+            rows = table_rows(spark, name)
+            # a partition at a time is new; none is ever in between
+            for p in "xy":
+                assert [r for r in rows if r[2] == p] in ([r for r in some if r[2] == p] for some in (old, new))
+            if not partition_by:
+                assert rows in (old, new)
+            sink.recover(spark, name)
+            assert table_rows(spark, name) == (old if broke and step <= 2 else new)
+            if step > 4 and broke:
+                continue
+            sink.write_append(frame(spark, [(9, 9, "q")]), name)
+            work(name)
+            kept = [(9, 9, "q")] if what != "overwrite" else []
+            assert table_rows(spark, name) == sorted([*new, *kept])
+            if not broke:
+                break
+        assert step > 3 and not broke
+    listed = {r.tableName for r in spark.sql(f"SHOW TABLES IN {namespace}").collect()}
+    assert not [t for t in listed if t.endswith("__pending")]
+
+
+def test_a_load_after_a_broken_one_keeps_every_row(spark, contract, monkeypatch):
+    for step in (2, 3):
+        load(spark, contract, make_provider())
+        broke = breaks_at(monkeypatch, step, lambda: load(spark, contract, make_provider(shift=0.5)))
+        # up to date: nothing to write, but what was pending is done
+        load(spark, contract, make_provider(), start=D(2024, 1, 4))
+        shift = 0 if broke and step <= 2 else 0.5
+        assert content(spark, contract.table) == days("A", 1, 3, shift) + days("B", 1, 3, shift)
+
+
+def test_a_broken_change_of_shape_is_finished(spark, namespace, monkeypatch):
+    for step in range(1, 10):
+        name = f"{namespace}.t{step}"
+        sink.write_overwrite(frame(spark, [(1, 1, "x")]), name)
+        new = frame(spark, [(2, 2, "y")]).drop("v")
+        broke = breaks_at(monkeypatch, step, lambda: sink.write_replace(new, name, "orc", ["p"]))
+        sink.recover(spark, name)
+        if broke and step <= 2:
+            assert table_rows(spark, name) == [(1, 1, "x")]
         else:
-            patch.setattr(sink, step, broken)
-        with pytest.raises(RuntimeError, match="lost"):
-            load(spark, contract, make_provider(shift=0.5))
-    # up to date: nothing to write, but what was pending is done
-    load(spark, contract, make_provider(), start=D(2024, 1, 4))
-    assert content(spark, contract.table) == days("A", 1, 3, 0.5) + days("B", 1, 3, 0.5)
+            assert [tuple(r) for r in source.scan(spark, name).collect()] == [(2, "y")]
+            assert source.partition_columns(spark, name) == ["p"]
+        if not broke:
+            break
+    assert step > 4 and not broke
 
 
-@pytest.mark.parametrize("step", ["_overwrite_mode", "discard"])
-def test_a_broken_change_of_shape_is_finished(spark, namespace, monkeypatch, step):
-    name = f"{namespace}.t"
-    sink.write_overwrite(frame(spark, [(1, 1, "x")]), name)
+def files_below(folder):
+    import glob
 
-    def broken(*_):
-        raise RuntimeError("lost")
+    return sorted(f for f in glob.glob(f"{folder}/**/*.parquet", recursive=True) if "/_" not in f)
 
-    with monkeypatch.context() as patch:
-        patch.setattr(sink, step, broken)
-        with pytest.raises(RuntimeError, match="lost"):
-            sink.write_replace(frame(spark, [(2, 2, "y")]).drop("v"), name, "orc", ["p"])
-    sink.recover(spark, name)
-    assert [tuple(r) for r in source.scan(spark, name).collect()] == [(2, "y")]
-    assert source.partition_columns(spark, name) == ["p"]
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_rows_are_written_once_and_readers_see_whole_tables(spark, tmp_path, partition_by):
+    space = f"once_{uuid.uuid4().hex}"
+    sink.create_namespace(spark, space, f"file://{tmp_path}/space")
+    name = f"{space}.t"
+    sink.write_overwrite(frame(spark, [(1, 1, "x"), (2, 2, "y")]), name, partition_by=partition_by)
+    first = files_below(tmp_path)
+    assert len(first) == (2 if partition_by else 1)
+    began = source.scan(spark, name).where("k > 0")
+    assert began.count() == 2
+    sink.write_overwrite(frame(spark, [(5, 5, "x")]), name)
+    assert len(files_below(tmp_path)) == len(first) + 1
+    # a query that was planned before the switch still finds its files
+    assert sorted((r.k, r.v, r.p) for r in began.collect()) in ([(1, 1, "x"), (2, 2, "y")], [(5, 5, "x")])
+    assert table_rows(spark, name) == [(5, 5, "x")]
+    # what the last replacement but one left is gone
+    sink.write_overwrite(frame(spark, [(6, 6, "z")]), name)
+    assert not set(first) & set(files_below(tmp_path))
+    assert len(files_below(tmp_path)) == 2
+    sink.write_append(frame(spark, [(7, 7, "x")]), name)
+    assert table_rows(spark, name) == [(6, 6, "z"), (7, 7, "x")]
+    assert len(files_below(tmp_path)) == 2
+
+
+def test_odd_partition_values_are_switched(spark, namespace):
+    name = f"{namespace}.t"
+    odd = ["a/b é=1", "it's", "50%", "", None, "null", "x y:z", "back\\slash"]
+    sink.write_overwrite(frame(spark, [(k, 1, p) for k, p in enumerate(odd)]), name, partition_by=["p"])
+    sink.write_partitions(frame(spark, [(k, 2, p) for k, p in enumerate(odd)]), name)
+    # an empty text is a null as a partition value, so says Spark
+    want = sorted((k, 2, p or None) for k, p in enumerate(odd))
+    got = sorted((r.k, r.v, r.p) for r in source.scan(spark, name).collect())
+    assert got == want
+    sink.write_overwrite(frame(spark, [(1, 3, "it's")]), name)
+    assert table_rows(spark, name) == [(1, 3, "it's")]
 
 
 @pytest.mark.parametrize("partitioned", ["", "PARTITIONED BY (p)"])
@@ -321,7 +393,7 @@ def test_overwrite_and_merge_keep_the_definition(spark, namespace, tmp_path, par
 
     def definition():
         shown = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-        return [shown[c] for c in ("k", "v", "p", "Provider", "Location", "Type")]
+        return [shown[c] for c in ("k", "v", "p", "Provider", "Type")]
 
     before = definition()
     sink.write_overwrite(frame(spark, [(1, 1, "x"), (2, 2, "y")]), name)
