@@ -56,6 +56,16 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def store_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """Write a small text file of the driver's own."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray("".join(f"{line}\n" for line in lines).encode()))
+    finally:
+        out.close()
+
+
 class Landing:
     """Owner of the tables that one operation lands: ``clear`` removes them when it is done.
 

@@ -27,7 +27,7 @@ from quoteloom.contract import Contract, quote_name
 from quoteloom.errors import ContractError, LoadError
 from quoteloom.operators.incremental import dedup_by_key, require_unique, upsert
 from quoteloom.operators.projection import require_columns
-from quoteloom.shared import Landing, discard
+from quoteloom.shared import Landing, discard, store_lines
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
@@ -80,6 +80,9 @@ def _in_table_order(df: DataFrame, table: str, drop_extra: bool = False) -> Data
 TODO, PREVIOUS = "quoteloom.todo", "quoteloom.previous"
 SNAPSHOTS = "__snapshots"
 
+# Partitions of one statement.
+MOST_PARTITIONS = 500
+
 # Fixed value: how Spark names the folder of a null in a partition column.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -185,10 +188,10 @@ def _replace(
         spark.sql(f"CREATE TABLE {_pending(table)} LIKE {quote_name(table)} LOCATION {_text(snapshot)}")
     _spread_for(rows, partition_by).write.insertInto(_pending(table))
     # a folder whose name starts with _ is not read as data
-    previous = f"{snapshot}/_previous"
+    previous = f"{snapshot}/_previous/folders"
     replaced = _replaced(spark, table, snapshot, touched_only)
     if replaced:
-        spark.createDataFrame([(f,) for f in replaced], "folder string").coalesce(1).write.mode("overwrite").parquet(previous)
+        store_lines(spark, previous, replaced)
     todo = {
         "snapshot": snapshot,
         "shape": bool(shape),
@@ -223,15 +226,21 @@ def _switch(spark: SparkSession, table: str) -> None:
         return
     if partition_columns(spark, table):
         new, old = _partitions(spark, pending), _partitions(spark, name)
+        added = []
         for partition, folder in new.items():
             place = f"{snapshot}/{folder}"
             if partition in old:
                 _point(spark, name, place, partition)
             else:
-                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition}) LOCATION {_text(place)}")
-        for partition in [] if todo["touched_only"] else old.keys() - new.keys():
+                added.append(f"PARTITION ({partition}) LOCATION {_text(place)}")
+        gone = [] if todo["touched_only"] else sorted(old.keys() - new.keys())
+        for partition in gone:
             _point(spark, name, nowhere, partition)
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition})")
+        for at in range(0, len(added), MOST_PARTITIONS):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[at : at + MOST_PARTITIONS])}")
+        for at in range(0, len(gone), MOST_PARTITIONS):
+            parts = ", ".join(f"PARTITION ({p})" for p in gone[at : at + MOST_PARTITIONS])
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
     if not todo["touched_only"]:
         _point(spark, name, snapshot)
     spark.catalog.refreshTable(name)
@@ -253,8 +262,8 @@ def recover(spark: SparkSession, table: str) -> None:
             spark.sql(f"DROP TABLE {pending}")
             discard(spark, unfinished)
     if spark.catalog.tableExists(name) and (previous := _property(spark, name, PREVIOUS)):
-        for row in spark.read.schema("folder string").parquet(previous).collect():
-            discard(spark, row["folder"])
+        for row in spark.read.text(previous).collect():
+            discard(spark, row[0])
         spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PREVIOUS}')")
 
 
