@@ -556,6 +556,18 @@ def q_merge_partitions(spark, sf_dir):
     return _merge_two_batches(spark, sf_dir, "date")
 
 
+@query
+def q_merge_bucketed(spark, sf_dir):
+    """A merge into a table without a partition column in its key: only touched buckets are rewritten."""
+    contract = BARS.at(f"{s.new_namespace(spark)}.bars")
+    sink.create_bucketed_table(spark, contract, buckets=16, tasks=2)
+    all_bars = s.bars(spark, sf_dir)
+    sink.write_append(s.before(all_bars, s.LOADED_BEFORE), contract.table)
+    revised = s.since(all_bars, s.OVERLAP_DAY).withColumn("close", F.col("close") + 1)
+    sink.merge_into(revised, contract.table, BAR_KEY)
+    return source.scan(spark, contract.table).drop(sink.BUCKET)
+
+
 # ---- relational database ----------------------------------------------------------------
 
 

@@ -95,6 +95,7 @@ WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'""",
     "q_merge_upsert": _MERGED,
     "q_merge_table": _MERGED,
     "q_merge_partitions": _MERGED,
+    "q_merge_bucketed": _MERGED,
     "q_dedup_key": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate

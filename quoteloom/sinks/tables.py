@@ -31,6 +31,8 @@ from quoteloom.shared import Landing, discard, store_lines
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
+# The partition column of bucketed tables, and the property that says how they are dealt.
+BUCKET, DEALT = "bucket", "quoteloom.dealt"
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -56,6 +58,51 @@ def create_table(
     spark.sql(contract.create_table_sql(_format(spark, contract.table, fmt), location))
 
 
+def create_bucketed_table(
+    spark: SparkSession, contract: Contract, buckets: int, tasks: int, fmt: str | None = None
+) -> None:
+    """Create the contract's table, if it is absent, such that a merge rewrites only what it touches.
+
+    For tables whose key holds no partition column.  A row's ``bucket``, a hash of its key
+    below ``buckets``, is the partition column, so a merge reads and rewrites the buckets
+    of its batch only; sinks fill it in.  Within a bucket, rows are clustered by the key into
+    ``tasks`` files: as many tasks merge, and the table's side of their join is not shuffled.
+    Take many more buckets than a batch has keys, and files of a few hundred megabytes.
+    """
+    if not contract.keys or contract.partition_by:
+        raise ContractError(f"{contract.table}: a bucketed table needs keys and has no other partitions")
+    if BUCKET in contract.columns:
+        raise ContractError(f"{contract.table}: the column name {BUCKET} is taken")
+    recover(spark, contract.table)
+    columns = ", ".join(f"{_column(f.name)} {f.data_type.simpleString()}" for f in contract.fields)
+    keys = ", ".join(map(_column, contract.keys))
+    dealt = json.dumps({"keys": list(contract.keys), "buckets": int(buckets)})
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {quote_name(contract.table)} ({columns}, {BUCKET} INT)"
+        f" USING {fmt or SESSION_FORMAT} PARTITIONED BY ({BUCKET}) CLUSTERED BY ({keys}) INTO {int(tasks)} BUCKETS"
+        f" TBLPROPERTIES ('{DEALT}' = {_text(dealt)})"
+    )
+
+
+def _dealt(spark: SparkSession, table: str) -> dict | None:
+    """Keys and number of a bucketed table's buckets."""
+    if uses_v2_catalog(spark, table):
+        return None
+    shown = _property(spark, quote_name(table), DEALT)
+    return json.loads(shown) if shown else None
+
+
+def _with_bucket(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the bucket of each row, if ``table`` is bucketed; keys count in the table's types."""
+    dealt = _dealt(df.sparkSession, table)
+    if not dealt:
+        return df
+    require_columns(df, dealt["keys"], f"rows for {table}")
+    types = {f.name: f.dataType for f in df.sparkSession.table(quote_name(table)).schema.fields}
+    keys = [F.col(f"`{k}`").cast(types[k]) for k in dealt["keys"]]
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(dealt["buckets"])).cast("int"))
+
+
 def _spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring a partition's rows together before a partitioned write.
 
@@ -67,6 +114,7 @@ def _spread_for(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def _in_table_order(df: DataFrame, table: str, drop_extra: bool = False) -> DataFrame:
     """The table's columns, by name and in its types; a value that does not fit is an error."""
+    df = _with_bucket(df, table)
     fields = df.sparkSession.table(quote_name(table)).schema.fields
     require_columns(df, [f.name for f in fields], f"rows for {table}")
     extra = [c for c in df.columns if c not in {f.name for f in fields}]
@@ -169,6 +217,7 @@ def _replace(
     shape: str | None = None,
     partition_by: Sequence[str] = (),
     touched_only: bool = False,
+    spread: bool = True,
 ) -> None:
     """Write ``rows`` once, as the pending snapshot, and point ``table`` to it.
 
@@ -186,7 +235,9 @@ def _replace(
         rows = _in_table_order(rows, f"{table}__pending")
     else:
         spark.sql(f"CREATE TABLE {_pending(table)} LIKE {quote_name(table)} LOCATION {_text(snapshot)}")
-    _spread_for(rows, partition_by).write.insertInto(_pending(table))
+    if spread:
+        rows = _spread_for(rows, partition_by)
+    rows.write.insertInto(_pending(table))
     # a folder whose name starts with _ is not read as data
     previous = f"{snapshot}/_previous/folders"
     replaced = _replaced(spark, table, snapshot, touched_only)
@@ -353,8 +404,8 @@ def merge_into(
     """Merge ``source`` into ``table``: equal keys replaced, others added, none deleted.
 
     Merging the same batch again changes nothing.  When the partition columns are
-    part of the key only the partitions that the batch touches are read and
-    rewritten; the cost then follows the batch and not the table.
+    part of the key, or the table is bucketed by it, only the partitions that the batch
+    touches are read and rewritten; the cost then follows the batch and not the table.
 
     ``source`` is read several times, so it is landed in the shared folder first.
     ``landed=True`` says that it already is a scan of a table or of files.  A key that
@@ -376,13 +427,33 @@ def merge_into(
         target = spark.table(quote_name(table))
         columns = partition_columns(spark, table)
         source = _in_table_order(source, table)
-        if not columns or not set(columns) <= set(keys):
+        dealt = _dealt(spark, table)
+        if dealt and set(dealt["keys"]) == set(keys):
+            merged = merged_buckets(target, source, keys)
+            _replace(merged, table, partition_by=columns, touched_only=True, spread=False)
+        elif not columns or not set(columns) <= set(keys):
             write_overwrite(upsert(target, source, keys), table)
         else:
             write_partitions(upsert(touched_partitions(target, source, columns), source, keys), table)
     area.clear()
 
 
+def merged_buckets(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The buckets that ``source`` has rows for, after the merge.
+
+    Both sides have the columns of the table.  The target is clustered by ``keys``, so only
+    ``source`` is shuffled for the join, and each task writes its own file of a bucket.
+    """
+    # at most as many numbers as the table has buckets
+    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
+    old = target.where(F.col(BUCKET).isin(touched))
+    new = source.withColumn("_new", F.lit(True))
+    both = old.alias("old").join(new.alias("new"), [F.col(f"old.`{k}`") == F.col(f"new.`{k}`") for k in keys], "full_outer")
+    return both.select(
+        *[F.when(F.col("_new"), F.col(f"new.`{c}`")).otherwise(F.col(f"old.`{c}`")).alias(c) for c in target.columns]
+    )
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of ``target`` in partitions that ``source`` has rows for, null partitions included.
 

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import settings
+
 from quoteloom import Contract, ContractError, LoadError
 from quoteloom.plans import standin
 from quoteloom.plans.loading import load_raw, publish
@@ -484,6 +486,43 @@ def test_merge_prunes_the_target_by_range_and_at_run_time(spark, namespace):
     assert table_rows(spark, name) == sorted([*want.values(), (9, 97, "z")])
 
 
+def test_merge_rewrites_only_touched_buckets(spark, namespace):
+    name = f"{namespace}.t"
+    spec = {
+        "schema": [{"name": "k", "type": "LongType"}, {"name": "v", "type": "IntegerType"}, {"name": "p", "type": "StringType"}],
+        "keys": ["k"],
+    }
+    contract = Contract.from_spec(name, spec)
+    sink.create_bucketed_table(spark, contract, buckets=8, tasks=2)
+    rows = [(k, 0, "x") for k in range(200)]
+    sink.write_append(frame(spark, rows), name)
+
+    def files():
+        listed = source.scan(spark, name).select("bucket", F.input_file_name()).distinct().collect()
+        return {b: {f for c, f in listed if c == b} for b in range(8)}
+
+    before = files()
+    # keys come as int, the table has long: the bucket is that of the long
+    batch = frame(spark, [(7, 1, "y"), (900, 1, "y")])
+    sink.merge_into(batch, name, ["k"])
+    assert table_rows(spark, name) == sorted([*[r for r in rows if r[0] != 7], (7, 1, "y"), (900, 1, "y")])
+    after = files()
+    touched = {r.bucket for r in source.scan(spark, name).where("v = 1").collect()}
+    assert len(touched) <= 2 and {b for b in range(8) if before[b] != after[b]} == touched
+    assert all(len(after[b]) <= 2 for b in touched)
+    sink.merge_into(batch, name, ["k"])
+    sink.merge_into(frame(spark, [(7, 2, "z")]), name, ["k", "p"])
+    assert sorted(r.v for r in source.scan(spark, name).where("k = 7").collect()) == [1, 2]
+
+    with settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        target, rows = source.scan(spark, name), sink._in_table_order(batch, name)
+        plan = sink.merged_buckets(target, rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    old, new = plan.split("Join", 1)[1].split("FileScan")[0], plan.split("FileScan")[1]
+    assert "Exchange" not in old and "Exchange" in new and "SelectedBucketsCount: 2 out of 2" in plan
+    with pytest.raises(ContractError, match="needs keys"):
+        sink.create_bucketed_table(spark, contract.partitioned_by("p"), 8, 2)
+
+
 @pytest.mark.parametrize("batch", [[(3, 3, None)], [(3, 3, None), (4, 4, "y")], []])
 def test_null_partitions_survive_a_merge(spark, namespace, batch):
     name = f"{namespace}.t"
