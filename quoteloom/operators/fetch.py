@@ -27,6 +27,8 @@ from quoteloom.operators.projection import require_columns
 Provider = Callable[[str, dt.date, dt.date | None], "pd.DataFrame | pa.Table"]
 
 ERROR = "error"
+# Columns of a recorded fetch: filled in the one row that closes each call, null in fetched rows.
+CALL_START, CALL_END, CALL_ROWS = "call_start", "call_end", "call_rows"
 
 
 def distribute(worklist: DataFrame, max_parallel: int | None = None) -> DataFrame:
@@ -185,14 +187,24 @@ def runner(
 
     It needs nothing of this library where it runs.
     """
-    if on_error not in ("fail", "drop", "route"):
-        raise ValueError(f"on_error must be fail, drop or route, not {on_error!r}")
-    routed = on_error == "route"
+    if on_error not in ("fail", "drop", "route", "record"):
+        raise ValueError(f"on_error must be fail, drop, route or record, not {on_error!r}")
+    recorded = on_error == "record"
+    routed = on_error == "route" or recorded
     out = T.StructType([*good.fields, T.StructField(ERROR, T.StringType())]) if routed else good
+    if recorded:
+        dates = [T.StructField(c, T.DateType()) for c in (CALL_START, CALL_END)]
+        out = T.StructType([*out.fields, *dates, T.StructField(CALL_ROWS, T.LongType())])
     call = caller(provider, good, key, date)
     arrow = arrow_schema(out)
     pack = packer()
-    error = ERROR
+    error, names = ERROR, (CALL_START, CALL_END, CALL_ROWS)
+
+    def closing(item, lo, hi, n, message=None):
+        record = {key: item, error: message}
+        if recorded:
+            record |= dict(zip(names, (lo, hi, n)))
+        return pa.Table.from_pylist([record], schema=arrow)
 
     def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         for batch in batches:
@@ -201,15 +213,16 @@ def runner(
                     if lo is None:
                         raise ValueError("no start date")
                     rows = call(item, lo, hi)
-                    if routed:
-                        rows = rows.append_column(error, pa.nulls(rows.num_rows, pa.string()))
+                    for field in list(arrow)[rows.num_columns :]:
+                        rows = rows.append_column(field, pa.nulls(rows.num_rows, field.type))
                     yield rows
+                    if recorded:
+                        yield closing(item, lo, hi, rows.num_rows)
                 except Exception as e:
                     if on_error == "fail":
                         raise RuntimeError(f"fetch failed for {item!r}: {e}") from e
                     if routed:
-                        failed = {key: item, error: str(e)}
-                        yield pa.Table.from_pylist([failed], schema=arrow)
+                        yield closing(item, lo, hi, 0, str(e))
                 if pause:
                     time.sleep(random.uniform(*pause))
 
@@ -258,7 +271,8 @@ def fetch(
     without a start fails.  The result has ``schema``'s columns and the key.  ``on_error``
     says what a failing call does: ``fail`` ends the job, ``drop`` leaves that item's rows
     out, ``route`` also adds one row with the key and the message in ``error`` (null in
-    every other row).  ``date`` names the result's date column; given it, rows that a
+    every other row), ``record`` closes every call with such a row, which also has the call's
+    range and number of rows (see :func:`fetch_calls`).  ``date`` names the result's date column; given it, rows that a
     service sends beyond the asked range are cut.  ``pause`` waits a random time
     between those bounds after each call.
 
@@ -271,8 +285,16 @@ def fetch(
 
 
 def fetched_rows(landed: DataFrame) -> DataFrame:
-    """The good rows of a landed ``route`` fetch."""
-    return landed.where(F.col(ERROR).isNull()).drop(ERROR)
+    """The good rows of a landed ``route`` or ``record`` fetch."""
+    rows = landed.where(F.col(ERROR).isNull())
+    if CALL_ROWS in landed.columns:
+        rows = rows.where(F.col(CALL_ROWS).isNull())
+    return rows.drop(ERROR, CALL_START, CALL_END, CALL_ROWS)
+
+
+def fetch_calls(landed: DataFrame, key: str = "symbol") -> DataFrame:
+    """One row for each call of a landed ``record`` fetch: key, range, rows and error, if any."""
+    return landed.where(F.col(CALL_ROWS).isNotNull()).select(key, CALL_START, CALL_END, CALL_ROWS, ERROR)
 
 
 def fetch_errors(landed: DataFrame, key: str = "symbol") -> DataFrame:

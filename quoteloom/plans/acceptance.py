@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quoteloom.contract import Contract
 from quoteloom.functions import date_text, local_date, parse_date, stamp_ms_text, stamp_text
-from quoteloom.operators import checks, fetch, incremental, projection, quality
+from quoteloom.operators import checks, fetch, incremental, intervals, projection, quality
 from quoteloom.plans import standin as s
 from quoteloom.plans.loading import load_raw, publish, publish_marks
 from quoteloom.shared import fresh_path, land
@@ -158,6 +158,14 @@ def q_range_predicate(spark, sf_dir):
     return fetch.due_rows(s.bars(spark, sf_dir), wanted, s.FIRST_DAY, s.RUN_DATE)
 
 
+@query
+def q_interval_worklist(spark, sf_dir):
+    """Ranges still to load where every third day and every day with one event only is missing."""
+    days = s.bars(spark, sf_dir).where("volume > 1 AND day(date) % 3 <> 0")
+    loaded = days.select("symbol", F.col("date").alias("start_date"), F.date_add("date", 1).alias("end_date"))
+    return intervals.gap_worklist(s.symbols(spark, sf_dir), loaded, s.FIRST_DAY, s.RUN_DATE)
+
+
 @query
 def q_merge_upsert(spark, sf_dir):
     all_bars = s.bars(spark, sf_dir)
@@ -664,6 +672,33 @@ def q_pipeline_merge(spark, sf_dir):
     return source.scan(spark, history.table)
 
 
+@query
+def q_pipeline_gaps(spark, sf_dir):
+    """A load of which pieces fail, then a load of the holes that it left."""
+    contract = s.QUOTES.at(f"{s.new_namespace(spark)}.quotes")
+    keys = s.symbols(spark, sf_dir)
+    loaded = spark.createDataFrame([], "symbol string, start_date date, end_date date")
+    for floor, stamp in ((s.PRICE_FLOOR, s.EARLIER_STAMP), (None, s.STAMP)):
+        report = load_raw(
+            spark,
+            intervals.gap_worklist(keys, loaded, s.FIRST_DAY, s.RUN_DATE),
+            s.provider(spark, sf_dir, floor),
+            s.SOURCE_SCHEMA,
+            contract,
+            stamp=stamp,
+            date="Date",
+            mode="append",
+            max_days=s.PIECE_DAYS,
+            ledger=fresh_path(spark, "ledger"),
+            waves=2,
+            retries=0,
+            withhold=False,
+        )
+        loaded = land(intervals.advance_intervals(loaded, report.calls), "loaded")
+        report.clear()
+    return source.scan(spark, contract.table)
+
+
 @query
 def q_pipeline_publish(spark, sf_dir):
     """Incremental load into a relational database: raw table, stage table, merge."""

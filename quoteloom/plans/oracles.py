@@ -92,6 +92,32 @@ SELECT symbol, max(date) AS last_date FROM bars WHERE date < DATE '2024-01-25' G
     "q_range_predicate": f"""WITH {_WORKLIST}
 SELECT b.* FROM bars b JOIN worklist w ON b.symbol = w.symbol
 WHERE b.date >= w.start_date AND b.date < DATE '2024-01-25'""",
+    "q_interval_worklist": f"""WITH {_BARS},
+loaded AS (
+  SELECT symbol, date AS lo, date + 1 AS hi FROM bars
+  WHERE volume > 1 AND day(date) % 3 <> 0 AND date < DATE '2024-01-25'
+),
+pieces AS (
+  SELECT symbol, lo, hi FROM loaded
+  UNION ALL SELECT DISTINCT symbol, DATE '2024-01-25', DATE '2024-01-25' FROM bars
+),
+gaps AS (
+  SELECT symbol, lo AS end_date, coalesce(max(hi) OVER (
+      PARTITION BY symbol ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    DATE '2024-01-01') AS start_date
+  FROM pieces
+)
+SELECT symbol, start_date, end_date FROM gaps WHERE start_date < end_date""",
+    "q_pipeline_gaps": f"""WITH {_BARS},
+refused AS (
+  SELECT DISTINCT symbol, (date - DATE '2024-01-01') // 8 AS piece FROM bars
+  WHERE date < DATE '2024-01-25' AND low < 0.25
+)
+SELECT {_QUOTE_COLUMNS},
+       CASE WHEN r.symbol IS NULL THEN TIMESTAMP '2024-01-15 06:00:00'
+            ELSE TIMESTAMP '2024-01-25 06:00:00' END AS import_time
+FROM bars b LEFT JOIN refused r ON b.symbol = r.symbol AND (b.date - DATE '2024-01-01') // 8 = r.piece
+WHERE b.date < DATE '2024-01-25'""",
     "q_merge_upsert": _MERGED,
     "q_merge_table": _MERGED,
     "q_merge_partitions": _MERGED,

@@ -31,6 +31,7 @@ PERIOD_END = "2024-02-15"
 STAMP = "2024-01-25T06:00:00"
 EARLIER_STAMP = "2024-01-15T06:00:00"
 PRICE_FLOOR = 0.25
+PIECE_DAYS = 8
 
 # The columns a quote service delivers, their names in tables, and the contract.
 SOURCE_TO_TABLE = {

@@ -50,16 +50,32 @@ def land(df, label: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a landed folder."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _place(spark, path)
+    fs.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _place(spark, path)
+    return fs.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """What is directly below ``path``; nothing if that does not exist."""
+    fs, target = _place(spark, path)
+    return [f"{path}/{f.getPath().getName()}" for f in fs.listStatus(target)] if fs.exists(target) else []
 
 
 def store_lines(spark: SparkSession, path: str, lines: list[str]) -> None:
     """Write a small text file of the driver's own."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    fs, target = _place(spark, path)
+    out = fs.create(target, True)
     try:
         out.write(bytearray("".join(f"{line}\n" for line in lines).encode()))
     finally:

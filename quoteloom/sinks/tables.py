@@ -27,7 +27,7 @@ from quoteloom.contract import Contract, quote_name
 from quoteloom.errors import ContractError, LoadError
 from quoteloom.operators.incremental import dedup_by_key, require_unique, upsert
 from quoteloom.operators.projection import require_columns
-from quoteloom.shared import Landing, discard, store_lines
+from quoteloom.shared import Landing, discard, folders, store_lines
 from quoteloom.sources.tables import partition_columns, uses_v2_catalog
 
 SESSION_FORMAT = "parquet"
@@ -191,13 +191,6 @@ def _new_snapshot(spark: SparkSession, table: str) -> str:
     return f"{_snapshot_root(location)}/{uuid.uuid4().hex}"
 
 
-def _stored(spark: SparkSession, folder: str) -> list[str]:
-    """The folders directly below ``folder``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [f"{folder}/{f.getPath().getName()}" for f in fs.listStatus(path)] if fs.exists(path) else []
-
-
 def _replaced(spark: SparkSession, table: str, snapshot: str, touched_only: bool) -> list[str]:
     """The folders that nothing refers to once ``table`` points to ``snapshot``."""
     if not spark.catalog.tableExists(quote_name(table)):
@@ -207,7 +200,7 @@ def _replaced(spark: SparkSession, table: str, snapshot: str, touched_only: bool
         touched = [p for p in _partitions(spark, _pending(table)) if p in old]
         return [_described(spark, quote_name(table), "Location", p) for p in touched]
     location = _described(spark, quote_name(table), "Location")
-    beside = _stored(spark, snapshot.rsplit("/", 1)[0])
+    beside = folders(spark, snapshot.rsplit("/", 1)[0])
     return [f for f in [location, *beside] if f.rsplit("/", 1)[-1] != snapshot.rsplit("/", 1)[-1]]
 
 
