@@ -16,13 +16,15 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quoteloom.errors import ContractError
 from quoteloom.functions import resolve_run_date
 from quoteloom.operators.projection import require_columns
+from quoteloom.operators.ranges import join_ranges
 
 Provider = Callable[[str, dt.date, dt.date | None], "pd.DataFrame | pa.Table"]
 
@@ -31,15 +33,36 @@ ERROR = "error"
 CALL_START, CALL_END, CALL_ROWS = "call_start", "call_end", "call_rows"
 
 
-def distribute(worklist: DataFrame, max_parallel: int | None = None) -> DataFrame:
+def distribute(
+    worklist: DataFrame, max_parallel: int | None = None, cost: Column | None = None
+) -> DataFrame:
     """Spread work items over tasks.
 
     The task count is fixed on purpose: size-based coalescing would put a small
     work list, however slow its calls, into one task.  ``max_parallel`` bounds the
     calls in flight; by default there are four tasks for each core.
+
+    With ``cost``, what an item's call is expected to take, items are dealt in the order of their
+    cost, back and forth over the tasks, so that all get as much to do; each begins
+    with its longest call, and no long one is left for the end.
     """
     cores = worklist.sparkSession.sparkContext.defaultParallelism
-    return worklist.repartition(max_parallel or 4 * cores, *worklist.columns)
+    tasks = max_parallel or 4 * cores
+    if cost is None:
+        return worklist.repartition(tasks, *worklist.columns)
+    by_cost = F.desc("_cost")
+    ordered = worklist.withColumn("_cost", cost).repartitionByRange(by_cost).sortWithinPartitions(by_cost)
+    # within a range of costs the number of a row goes over the tasks, forth and back
+    turn = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) + F.spark_partition_id()
+    at = F.pmod(turn, F.lit(2 * tasks))
+    dealt = ordered.withColumn("_task", F.when(at < tasks, at).otherwise(2 * tasks - 1 - at).cast("int"))
+    return dealt.repartitionById(tasks, F.col("_task")).sortWithinPartitions(by_cost).drop("_cost", "_task")
+
+
+def days_to_fetch(run_date: dt.date | str | None = None, lo: str = "lo", hi: str = "hi") -> Column:
+    """The cost of an item by the days it asks for; one without an end is counted up to the run date."""
+    now = F.lit(resolve_run_date(run_date))
+    return F.coalesce(F.greatest(F.datediff(F.coalesce(F.col(hi), now), F.col(lo)), F.lit(0)), F.lit(0))
 
 
 def split_ranges(
@@ -182,10 +205,12 @@ def runner(
     date: str | None = None,
     on_error: str = "fail",
     pause: tuple[float, float] | None = None,
+    pace: tuple[int, float] | None = None,
 ):
     """(schema, run): ``run`` turns batches of (item, lo, hi) into batches of fetched rows.
 
-    It needs nothing of this library where it runs.
+    It needs nothing of this library where it runs.  ``pace`` is (tasks, calls a second): each of
+    so many tasks makes its share of the calls, and they begin one after another.
     """
     if on_error not in ("fail", "drop", "route", "record"):
         raise ValueError(f"on_error must be fail, drop, route or record, not {on_error!r}")
@@ -207,8 +232,14 @@ def runner(
         return pa.Table.from_pylist([record], schema=arrow)
 
     def call_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        due = 0.0
+        if pace:
+            due = time.monotonic() + TaskContext.get().partitionId() % pace[0] / pace[1]
         for batch in batches:
             for item, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("item", "lo", "hi"))):
+                if pace:
+                    time.sleep(max(0.0, due - time.monotonic()))
+                    due = max(due, time.monotonic()) + pace[0] / pace[1]
                 try:
                     if lo is None:
                         raise ValueError("no start date")
@@ -264,6 +295,7 @@ def fetch(
     on_error: str = "fail",
     max_parallel: int | None = None,
     pause: tuple[float, float] | None = None,
+    rate: float | None = None,
 ) -> DataFrame:
     """Call ``provider`` once for each work item and return all rows it yields.
 
@@ -274,14 +306,25 @@ def fetch(
     every other row), ``record`` closes every call with such a row, which also has the call's
     range and number of rows (see :func:`fetch_calls`).  ``date`` names the result's date column; given it, rows that a
     service sends beyond the asked range are cut.  ``pause`` waits a random time
-    between those bounds after each call.
+    between those bounds after each call.  ``rate`` is the most calls a second that the service
+    takes from all tasks together, however many cores run them: each of the ``max_parallel``
+    tasks keeps to its share.  Items are dealt by the days they ask for.
 
     The plan is not for running twice: land the result, then use it.
     """
     items = due_items(worklist, run_date, open_ended, key, start, end)
     good = T.StructType([*schema.fields, T.StructField(key, worklist.schema[key].dataType)])
-    out, run = runner(provider, good, key, date, on_error, pause)
-    return distribute(items, max_parallel).mapInArrow(run, out)
+    out, run = runner(provider, good, key, date, on_error, pause, pace_of(items, max_parallel, rate))
+    return distribute(items, max_parallel, days_to_fetch(run_date)).mapInArrow(run, out)
+
+
+def pace_of(items: DataFrame, max_parallel: int | None, rate: float | None) -> tuple[int, float] | None:
+    """How many tasks share a rate."""
+    if rate is None:
+        return None
+    if rate <= 0:
+        raise ValueError("rate must be positive")
+    return max_parallel or 4 * items.sparkSession.sparkContext.defaultParallelism, float(rate)
 
 
 def fetched_rows(landed: DataFrame) -> DataFrame:
@@ -330,10 +373,15 @@ def range_filter(
     key: str = "symbol",
     date: str = "date",
     start: str = "start_date",
+    end: str = "end_date",
     not_before: dt.date | str | None = None,
 ) -> DataFrame:
     """Rows that the work list asks for: same key and ``start <= date < run_date``.
 
+    As in :func:`fetch`, an ``end`` column of the work list counts in place of the run date, and
+    null there is no end; a key may then have several ranges, see
+    :func:`quoteloom.operators.ranges.join_ranges`.
+
     A semi join: each row comes out once at most, and only the row's own columns
     move on.  Spark broadcasts the work list when its measured size allows and
     otherwise sort-merges, splitting a hot key's rows across tasks.  The run date
@@ -341,9 +389,12 @@ def range_filter(
     prune the history of a table that is partitioned by date.  Hand in a landed work
     list: Spark then knows its size, and splits hot keys if it has to sort-merge.
     """
-    bounded = rows.where(F.col(date) < F.lit(resolve_run_date(run_date)))
+    bounded = rows
     if not_before is not None:
         bounded = bounded.where(F.col(date) >= F.lit(resolve_run_date(not_before)))
+    if end in worklist.columns:
+        return join_ranges(bounded, worklist, key=key, date=date, start=start, end=end, how="left_semi")
+    bounded = bounded.where(F.col(date) < F.lit(resolve_run_date(run_date)))
     wanted = worklist.select(F.col(key).alias("_key"), F.col(start).cast("date").alias("_start"))
     return bounded.join(
         wanted,
@@ -361,21 +412,30 @@ def due_rows(
     key: str = "symbol",
     date: str = "date",
     start: str = "start_date",
+    end: str = "end_date",
 ) -> DataFrame:
     """:func:`range_filter`, with a scan bound of their own for keys that were never loaded.
 
     New keys start at ``default_start`` or before; all others later.  One new key therefore
     does not make the scan for the known ones reach back to the default start.  Hand in
-    a landed work list.
+    a landed work list.  One that has an ``end`` column may have a key in both parts: it is not
+    parted.
     """
     first = F.lit(resolve_run_date(default_start))
     starts = F.col(start).cast("date")
+    if end in worklist.columns:
+        bound = earliest_start(worklist, start)
+        if bound is None:
+            return rows.where(F.lit(False))
+        return range_filter(rows, worklist, key=key, date=date, start=start, end=end, not_before=bound)
     parts = []
     for some in (worklist.where(starts > first), worklist.where(starts <= first)):
         bound = earliest_start(some, start)
         if bound is not None:
             parts.append(
-                range_filter(rows, some, run_date, key=key, date=date, start=start, not_before=bound)
+                range_filter(
+                    rows, some, run_date, key=key, date=date, start=start, not_before=bound
+                )
             )
     if not parts:
         return rows.where(F.lit(False))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quoteloom.contract import Contract
 from quoteloom.functions import date_text, local_date, parse_date, stamp_ms_text, stamp_text
-from quoteloom.operators import checks, fetch, incremental, intervals, projection, quality
+from quoteloom.operators import checks, fetch, incremental, intervals, projection, quality, ranges
 from quoteloom.plans import standin as s
 from quoteloom.plans.loading import load_raw, publish, publish_marks
 from quoteloom.shared import fresh_path, land
@@ -166,6 +166,31 @@ def q_interval_worklist(spark, sf_dir):
     return intervals.gap_worklist(s.symbols(spark, sf_dir), loaded, s.FIRST_DAY, s.RUN_DATE)
 
 
+def _overlapping_ranges(spark, sf_dir):
+    """Three ranges for each symbol, of its own and overlapping; the last one has no end."""
+    n = F.substring("symbol", 2, 20).cast("int")
+    first = F.lit(s.FIRST_DAY).cast("date")
+    one = F.struct((n % 5).alias("lo"), (n % 5 + 6).alias("hi"))
+    two = F.struct(F.lit(3).alias("lo"), F.lit(8).alias("hi"))
+    three = F.struct((20 - n % 3).alias("lo"), F.lit(None).cast("int").alias("hi"))
+    ranges = s.symbols(spark, sf_dir).select("symbol", F.explode(F.array(one, two, three)).alias("r"))
+    return ranges.select(
+        "symbol", F.date_add(first, F.col("r.lo")).alias("start_date"), F.date_add(first, F.col("r.hi")).alias("end_date")
+    )
+
+
+@query
+def q_range_join(spark, sf_dir):
+    return ranges.join_ranges(s.bars(spark, sf_dir), _overlapping_ranges(spark, sf_dir), bin_days=8)
+
+
+@query
+def q_range_ends(spark, sf_dir):
+    """A work list with ends of its own, in the set form."""
+    wanted = land(_overlapping_ranges(spark, sf_dir), "worklist")
+    return fetch.due_rows(s.bars(spark, sf_dir), wanted, s.FIRST_DAY)
+
+
 @query
 def q_merge_upsert(spark, sf_dir):
     all_bars = s.bars(spark, sf_dir)
@@ -591,6 +616,17 @@ def q_jdbc_query(spark, sf_dir):
     )
 
 
+@query
+def q_jdbc_slices(spark, sf_dir):
+    """A table with most rows on one date, read in slices of equal size."""
+    url, options = s.database(spark)
+    name = s.new_table_name("skewed")
+    crowded = F.when(F.col("volume") > 1, F.lit(s.OVERLAP_DAY).cast("date")).otherwise(F.col("date"))
+    rows = s.bars(spark, sf_dir).select("symbol", crowded.alias("date"), "close", "volume")
+    jdbc_sink.jdbc_append(rows, url, name, options, column_types="symbol VARCHAR(64)")
+    return jdbc_source.jdbc_table(spark, url, name, options, split_on="date", even=True, then_on="symbol")
+
+
 @query
 def q_jdbc_append(spark, sf_dir):
     url, options = s.database(spark)
@@ -745,8 +781,8 @@ def q_pipeline_incremental(spark, sf_dir):
     for added, end, stamp in rounds:
         jdbc_sink.jdbc_append(added, url, known, options, column_types=types)
         wanted = incremental.build_worklist(
-            jdbc_source.jdbc_table(spark, url, known, options),
-            jdbc_source.jdbc_table(spark, url, marks, options),
+            jdbc_source.jdbc_table(spark, url, known, options, split_on="symbol", even=True),
+            jdbc_source.jdbc_table(spark, url, marks, options, split_on="symbol", even=True),
             s.FIRST_DAY,
         )
         load_raw(

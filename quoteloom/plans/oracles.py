@@ -58,6 +58,15 @@ SELECT {_QUOTE_COLUMNS},
             ELSE TIMESTAMP '2024-01-15 06:00:00' END AS import_time
 FROM bars b WHERE b.date < DATE '2024-01-25'"""
 
+_RANGES = f"""{_BARS},
+ranges AS (
+  SELECT symbol, DATE '2024-01-01' + CAST(lo AS INTEGER) AS start_date, DATE '2024-01-01' + CAST(hi AS INTEGER) AS end_date
+  FROM (SELECT DISTINCT 'U' || user_id AS symbol, user_id AS n FROM events) k,
+    LATERAL (VALUES (n % 5, n % 5 + 6), (3, 8), (20 - n % 3, NULL)) r(lo, hi)
+)"""
+
+_IN_RANGE = "b.date >= r.start_date AND (r.end_date IS NULL OR b.date < r.end_date)"
+
 ORACLES: dict[str, str] = {
     "q_fetch_ranged": _FETCHED,
     "q_fetch_split": _FETCHED,
@@ -118,6 +127,13 @@ SELECT {_QUOTE_COLUMNS},
             ELSE TIMESTAMP '2024-01-25 06:00:00' END AS import_time
 FROM bars b LEFT JOIN refused r ON b.symbol = r.symbol AND (b.date - DATE '2024-01-01') // 8 = r.piece
 WHERE b.date < DATE '2024-01-25'""",
+    "q_range_join": f"""WITH {_RANGES}
+SELECT b.*, r.start_date, r.end_date FROM bars b JOIN ranges r ON b.symbol = r.symbol AND {_IN_RANGE}""",
+    "q_range_ends": f"""WITH {_RANGES}
+SELECT b.* FROM bars b
+WHERE EXISTS (SELECT 1 FROM ranges r WHERE b.symbol = r.symbol AND {_IN_RANGE})""",
+    "q_jdbc_slices": f"""WITH {_BARS}
+SELECT symbol, CASE WHEN volume > 1 THEN DATE '2024-01-13' ELSE date END AS date, close, volume FROM bars""",
     "q_merge_upsert": _MERGED,
     "q_merge_table": _MERGED,
     "q_merge_partitions": _MERGED,

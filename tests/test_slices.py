@@ -1,0 +1,166 @@
+"""Even slices of relational reads, range joins, dealing by cost and a shared rate."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+import time
+import uuid
+from collections import Counter
+
+import pandas as pd
+import pytest
+from conftest import settings
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quoteloom.operators import fetch, ranges
+from quoteloom.plans import standin
+from quoteloom.sinks import jdbc as sink
+from quoteloom.sources import jdbc as source
+
+D = dt.date
+DAY = dt.timedelta(days=1)
+RANGES = "symbol string, start_date date, end_date date, note int"
+
+
+@pytest.fixture(scope="module")
+def database(spark):
+    return standin.database(spark)
+
+
+def stored(spark, database, rows, schema):
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    df = spark.createDataFrame(rows, schema)
+    sink.jdbc_append(df, database[0], name, database[1], column_types="symbol VARCHAR(16)", num_partitions=1)
+    return name
+
+
+def sizes(df):
+    return sorted(df.groupBy(F.spark_partition_id()).count().toDF("p", "n").select("n").toPandas()["n"])
+
+
+def test_a_hot_date_is_read_in_even_slices(spark, database):
+    rows = [(f"S{i:04}", D(2024, 1, 1), i) for i in range(900)]
+    rows += [(f"S{i:04}", D(2024, 1, 2) + DAY * i, i) for i in range(100)]
+    name = stored(spark, database, rows, "symbol string, date date, v int")
+    read = source.jdbc_table(spark, database[0], name, database[1], split_on="date", num_partitions=8, even=True, then_on="symbol")
+    assert sorted(map(tuple, read.collect())) == sorted(rows)
+    assert max(sizes(read)) <= 1000 / 8 * 1.3
+    plan = read.where("v > 5").select("v")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(v,5)" in plan
+    wide = source.jdbc_table(spark, database[0], name, database[1], split_on="date", num_partitions=8)
+    assert max(sizes(wide)) >= 900
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slices_part_any_rows(spark, database, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(rng.choice([0, 1, 7, 120])):
+        symbol = rng.choice(["none", "it's", "A", "A", "A", f"K{i}"])
+        rows.append((symbol, rng.choice([None, 1.5, 1.5, float(i)]), i))
+    name = stored(spark, database, rows, "symbol string, date double, v int")
+    # the writer cannot put a null into this database's VARCHAR
+    connection = sink._connect(spark, *database)
+    connection.createStatement().executeUpdate(f"UPDATE {name} SET \"symbol\" = NULL WHERE \"symbol\" = 'none'")
+    connection.close()
+    for column, second in (("symbol", "v"), ("symbol", None), ("date", "symbol"), ("v", "date")):
+        for slices in (1, 3, 8):
+            read = source.jdbc_table(
+                spark, database[0], name, database[1], split_on=column, num_partitions=slices, even=True, then_on=second
+            )
+            assert sorted(r.v for r in read.collect()) == list(range(len(rows)))
+
+
+def test_literals_of_dates_and_times(spark, database):
+    stamps = [dt.datetime(2024, 1, 1, 10, 0, i, 123) for i in range(20)]
+    name = stored(spark, database, [(str(i), t) for i, t in enumerate(stamps)], "symbol string, at timestamp")
+    read = source.jdbc_table(spark, database[0], name, database[1], split_on="at", num_partitions=4, even=True)
+    assert sorted(r.at for r in read.collect()) == stamps and sizes(read) == [5, 5, 5, 5]
+
+
+def random_ranges(rng, n):
+    found = []
+    for i in range(n):
+        lo = D(2023, 12, 20) + DAY * rng.randint(0, 60)
+        hi = rng.choice([None, lo + DAY * rng.randint(-1, 40)])
+        found.append((rng.choice(["A", "B", "C", None]), rng.choice([lo, lo, lo, None]), hi, i))
+    return found
+
+
+@pytest.mark.parametrize("bin_days", [1, 7, 32])
+def test_range_joins_equal_all_pairs(spark, bin_days):
+    rng = random.Random(bin_days)
+    rows = [(rng.choice(["A", "B", "D", None]), D(2024, 1, 1) + DAY * rng.randint(-20, 60), i) for i in range(150)]
+    rows += [("A", None, 999)]
+    wanted = random_ranges(rng, 40)
+    table = spark.createDataFrame(rows, "symbol string, date date, v int")
+    asked = spark.createDataFrame(wanted, RANGES)
+
+    def holds(row, r):
+        same = row[0] is not None and row[0] == r[0] and row[1] is not None and r[1] is not None
+        return same and r[1] <= row[1] and (r[2] is None or row[1] < r[2])
+
+    pairs = Counter((row[2], r[3]) for row in rows for r in wanted if holds(row, r))
+    joined = ranges.join_ranges(table, asked, bin_days=bin_days)
+    assert Counter((r.v, r.note) for r in joined.collect()) == pairs
+    assert joined.columns == ["symbol", "date", "v", "start_date", "end_date", "note"]
+    once = fetch.range_filter(table, asked)
+    assert sorted(r.v for r in once.collect()) == sorted({v for v, _ in pairs})
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for df in (ranges.join_ranges(table, asked), fetch.range_filter(table, asked)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_range_joins_refuse_what_they_cannot_name(spark):
+    table = spark.createDataFrame([], "symbol string, date date, note int")
+    asked = spark.createDataFrame([], RANGES)
+    with pytest.raises(ValueError, match="note"):
+        ranges.join_ranges(table, asked)
+    with pytest.raises(ValueError, match="how"):
+        ranges.join_ranges(table, asked, how="left")
+    assert ranges.join_ranges(table, asked, how="left_semi").columns == ["symbol", "date", "note"]
+
+
+def test_work_is_dealt_by_cost(spark):
+    rng = random.Random(1)
+    days = [1] * 150 + [rng.randint(2, 60) for _ in range(40)] + [365] * 16
+    rng.shuffle(days)
+    items = [(f"K{i}", D(2024, 1, 1), D(2024, 1, 1) + DAY * d) for i, d in enumerate(days)]
+    work = spark.createDataFrame(items, "item string, lo date, hi date")
+    dealt = fetch.distribute(work, 8, fetch.days_to_fetch())
+    rows = dealt.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.item for r in rows) == sorted(i[0] for i in items)
+    load = Counter()
+    for r in rows:
+        load[r.task] += (r.hi - r.lo).days
+    assert len(load) == 8 and max(load.values()) <= 1.15 * sum(days) / 8
+    for task in load:
+        mine = [(r.hi - r.lo).days for r in rows if r.task == task]
+        assert mine == sorted(mine, reverse=True)
+    open_ended = spark.createDataFrame([("A", D(2024, 1, 1), None), ("B", None, None)], "item string, lo date, hi date")
+    assert [r[0] for r in open_ended.select(fetch.days_to_fetch("2024-01-11")).collect()] == [10, 0]
+
+
+@pytest.mark.parametrize("tasks", [2, 8])
+def test_all_tasks_together_keep_to_the_rate(spark, tmp_path, tasks):
+    log = str(tmp_path / "calls")
+
+    def provider(key, start, end):
+        with open(log, "a") as f:
+            f.write(f"{time.time()}\n")
+        return pd.DataFrame({"Date": [start], "Close": [1.0]})
+
+    schema = T.StructType([T.StructField("Date", T.DateType()), T.StructField("Close", T.DoubleType())])
+    work = spark.createDataFrame([(f"K{i}", D(2024, 1, 1)) for i in range(24)], "symbol string, start_date date")
+    got = fetch.fetch(work, provider, schema, run_date="2024-01-02", max_parallel=tasks, rate=8.0)
+    assert got.count() == 24
+    with open(log) as f:
+        at = sorted(map(float, f))
+    assert at[-1] - at[0] >= 0.8 * 23 / 8
+    # tasks do not start at the same instant, so some calls come close; no second has many more than eight
+    assert max(sum(a <= b < a + 1 for b in at) for a in at) <= 8 + tasks
+    with pytest.raises(ValueError, match="rate"):
+        fetch.fetch(work, provider, schema, run_date="2024-01-02", rate=0)
