@@ -640,6 +640,22 @@ def q_jdbc_append(spark, sf_dir):
     return jdbc_source.jdbc_table(spark, url, name, options, split_on="date")
 
 
+@query
+def q_jdbc_append_once(spark, sf_dir):
+    """Two batches, the second of which is appended again."""
+    url, options = s.database(spark)
+    name = s.new_table_name("bars")
+    all_bars = s.bars(spark, sf_dir)
+    types = "symbol VARCHAR(64)"
+    for batch, rows in (
+        ("early", s.before(all_bars, s.LOADED_BEFORE)),
+        ("late", s.since(all_bars, s.LOADED_BEFORE)),
+        ("late", s.since(all_bars, s.LOADED_BEFORE)),
+    ):
+        jdbc_sink.jdbc_append_once(rows, url, name, batch, options, column_types=types)
+    return jdbc_source.jdbc_table(spark, url, name, options, split_on="date")
+
+
 @query
 def q_jdbc_stage(spark, sf_dir):
     url, options = s.database(spark)

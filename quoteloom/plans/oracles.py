@@ -134,6 +134,7 @@ SELECT b.* FROM bars b
 WHERE EXISTS (SELECT 1 FROM ranges r WHERE b.symbol = r.symbol AND {_IN_RANGE})""",
     "q_jdbc_slices": f"""WITH {_BARS}
 SELECT symbol, CASE WHEN volume > 1 THEN DATE '2024-01-13' ELSE date END AS date, close, volume FROM bars""",
+    "q_jdbc_append_once": _ALL_BARS,
     "q_merge_upsert": _MERGED,
     "q_merge_table": _MERGED,
     "q_merge_partitions": _MERGED,

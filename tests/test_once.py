@@ -1,0 +1,76 @@
+"""Appends that may be repeated."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from quoteloom.errors import LoadError
+from quoteloom.plans import standin
+from quoteloom.shared import land
+from quoteloom.sinks import jdbc as sink
+from quoteloom.sources import jdbc as source
+
+@pytest.fixture(scope="module")
+def database(spark):
+    return standin.database(spark)
+
+
+TYPES = {"column_types": "p VARCHAR(8)"}
+
+
+def rows(spark, n, start=0):
+    return spark.range(start, start + n, 1, 4).selectExpr("id AS k", "'x' AS p")
+
+
+def test_a_batch_is_appended_once(spark, database):
+    url, options = database
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    same = spark.createDataFrame([(1, "x"), (1, "x")], "k long, p string")
+    assert sink.jdbc_append_once(rows(spark, 20), url, name, "one", options, **TYPES) == 20
+    assert sink.jdbc_append_once(rows(spark, 20), url, name, "one", options, **TYPES) == 0
+    # equal rows of a batch are rows of their own
+    assert sink.jdbc_append_once(same, url, name, "it's two", options, **TYPES) == 2
+    assert sink.jdbc_append_once(same.where("false"), url, name, "three", options, **TYPES) == 0
+    assert source.jdbc_count(spark, url, name, options) == 22
+    with pytest.raises(LoadError, match="taken"):
+        sink.jdbc_append_once(same.withColumn(sink.ROW, F.lit(1)), url, name, "four", options)
+
+
+def test_a_task_repeated_after_its_commit_adds_nothing(spark, database, monkeypatch):
+    url, options = database
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    replace = sink.jdbc_replace
+
+    def repeated(df, url, table, properties=None, **more):
+        landed = land(df, "again")
+        replace(landed, url, table, properties, **more)
+        # the second task is lost after its commit, and runs again
+        again = landed.where(F.shiftright(sink.ROW, 33) == 1)
+        assert again.count() == 5
+        sink.jdbc_append(again, url, table, properties)
+
+    monkeypatch.setattr(sink, "jdbc_replace", repeated)
+    assert sink.jdbc_append_once(rows(spark, 20), url, name, "one", options, **TYPES) == 20
+    read = source.jdbc_table(spark, url, name, options).collect()
+    assert sorted(r.k for r in read) == list(range(20))
+
+
+def test_an_append_that_breaks_is_repeated_whole(spark, database, monkeypatch):
+    url, options = database
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    sink.jdbc_append_once(rows(spark, 5), url, name, "zero", options, **TYPES)
+    number = sink._number
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "_number", broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            sink.jdbc_append_once(rows(spark, 20, 5), url, name, "one", options, **TYPES)
+    assert sink._number is number and source.jdbc_count(spark, url, name, options) == 5
+    assert sink.jdbc_append_once(rows(spark, 20, 5), url, name, "one", options, **TYPES) == 20
+    assert source.jdbc_count(spark, url, name, options) == 25
