@@ -7,9 +7,10 @@ expressions pairs their equal elements in order; what only one of them has becom
 optional.  So a host's wrapper grows page by page.  Its elements also count the text that
 its pages have there.
 
-From the wrapper follow the places of the main text: its article elements, else its main
-element, else an element named for content, else the innermost container that holds nearly
-all text outside links.  A page's text is read from those places without the parts whose
+From the wrapper follow the places of the main text: its article elements, its main element
+and elements named for content, the later ones where they hold more than the earlier and
+are not in or around them; else the innermost container that holds nearly all text
+outside links, with the headings and paragraphs that come before it.  A page's text is read from those places without the parts whose
 tag, class, id or role says menu, header, footer, sidebar, notice, advert, form or comment.
 A page that has none of its host's places is read by the wrapper of its own.
 
@@ -26,14 +27,17 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from quoteloom.llm.common import pieces
 from quoteloom.llm.urls import host_of
+from quoteloom.shared import land
 
 MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -79,6 +83,7 @@ NEVER_NAMES = set(
 HEAD_NAMES = {"header"}
 WHOLE = set("html body main article".split())  # no name drops these
 CONTENT_NAMES = set("article content post entry story main".split())
+LEADING = set("h1 h2 h3 h4 h5 h6 p blockquote".split())
 CONTAINERS = set("html body div section main center table tbody tr td".split())
 
 
@@ -91,19 +96,53 @@ class Element:
         self.key, self.flags, self.chars, self.parts = key, flags, chars, parts or []
 
     def stored(self) -> list:
-        return [self.key, self.flags, self.chars, [p.stored() for p in self.parts]]
+        """The parts in page order, each with its depth."""
+        rows, todo = [], [(0, self)]
+        while todo:
+            depth, part = todo.pop()
+            rows.append([depth, part.key, part.flags, part.chars])
+            todo += [(depth + 1, p) for p in reversed(part.parts)]
+        return rows
 
     @staticmethod
     def read(stored: list) -> Element:
-        key, flags, chars, parts = stored
-        return Element(key, flags, chars, [Element.read(p) for p in parts])
+        open_parts: list[Element] = []
+        for depth, key, flags, chars in stored:
+            part = Element(key, flags, chars)
+            del open_parts[depth:]
+            if open_parts:
+                open_parts[-1].parts.append(part)
+            open_parts.append(part)
+        return open_parts[0]
 
     def expression(self) -> str:
         """The expression as text: ? optional, + repeated, # a text slot."""
-        inner = " ".join([*(["#"] if self.chars else []), *(p.expression() for p in self.parts)])
-        body = f"({inner})" if self.key.startswith("(") else f"<{self.key}>{inner}</>"
-        marks = "".join(c for c in "+?" if c in self.flags)
-        return f"{body}{marks}"
+        return steps_done(self._expression())
+
+    def _expression(self):
+        inner = ["#"] if self.chars else []
+        for p in self.parts:
+            inner.append((yield p._expression()))
+        body = f"({' '.join(inner)})" if self.key.startswith("(") else f"<{self.key}>{' '.join(inner)}</>"
+        return body + "".join(c for c in "+?" if c in self.flags)
+
+
+def steps_done(step):
+    """The result of a recursion whose steps are generators that yield their calls.
+
+    Pages nest as deep as they like; the stack is a list of ours.
+    """
+    stack, value = [step], None
+    while stack:
+        try:
+            call = stack[-1].send(value)
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+        else:
+            stack.append(call)
+            value = None
+    return value
 
 
 def element_key(tag: str, attributes: str) -> str:
@@ -133,6 +172,7 @@ def never(key: str, inside: bool, named: bool = True) -> bool:
 def events(page: str) -> Iterator[tuple[str, str]]:
     """("open", key), ("close", tag), ("text", text) and ("break", ""), well nested."""
     stack: list[str] = []
+    opened: Counter = Counter()
     at, size = 0, len(page)
     while at < size:
         m = MARK.search(page, at)
@@ -147,9 +187,10 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             continue
         tag = tag.lower()
         if m[1] or m[4]:
-            if tag in stack:
+            if opened[tag]:
                 while stack:
                     top = stack.pop()
+                    opened[top] -= 1
                     yield "close", top
                     if top == tag:
                         break
@@ -163,11 +204,12 @@ def events(page: str) -> Iterator[tuple[str, str]]:
             if tag not in INLINE:
                 yield "break", ""
             continue
-        shut = {"p"} if tag in CLOSES_P and "p" in stack else CLOSES_LIKE.get(tag, ())
+        shut = {"p"} if tag in CLOSES_P and opened["p"] else CLOSES_LIKE.get(tag, ())
         for depth in range(len(stack) - 1, -1, -1) if shut else ():
             if stack[depth] in shut:
                 for top in reversed(stack[depth:]):
                     yield "close", top
+                opened.subtract(stack[depth:])
                 del stack[depth:]
                 if tag != "tr":
                     break
@@ -175,10 +217,12 @@ def events(page: str) -> Iterator[tuple[str, str]]:
                 break
         yield "open", element_key(tag, attributes)
         stack.append(tag)
+        opened[tag] += 1
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
             stack.pop()
+            opened[tag] -= 1
             yield "close", tag
     for tag in reversed(stack):
         yield "close", tag
@@ -196,14 +240,14 @@ def page_tree(page: str) -> Element:
         elif kind == "close":
             done = stack.pop()
             links -= tag_of(done.key) == "a"
-            done.parts = fold(done.parts)
+            done.parts = steps_done(fold_steps(done.parts))
         elif kind == "text" and not links:
             stack[-1].chars += len(value.strip())
-    root.parts = fold(root.parts)
+    root.parts = steps_done(fold_steps(root.parts))
     return root
 
 
-def fold(parts: list[Element], widest: int = 4) -> list[Element]:
+def fold_steps(parts: list[Element], widest: int = 4):
     """Tandem repeats of up to ``widest`` elements become one, marked as repeated."""
     for width in range(1, widest + 1):
         if len(parts) < 2 * width:
@@ -221,7 +265,9 @@ def fold(parts: list[Element], widest: int = 4) -> list[Element]:
             merged = parts[i : i + width]
             for k in range(1, n):
                 more = parts[i + k * width : i + (k + 1) * width]
-                merged = [align(a, b) for a, b in zip(merged, more)]
+                pairs, merged = zip(merged, more), []
+                for a, b in pairs:
+                    merged.append((yield align_steps(a, b)))
             if width == 1:
                 merged[0].flags = "".join(sorted({*merged[0].flags, "+"}))
                 out += merged
@@ -234,81 +280,134 @@ def fold(parts: list[Element], widest: int = 4) -> list[Element]:
 
 def align(a: Element, b: Element) -> Element:
     """The expression of both: equal parts pair up in order, others become optional."""
+    return steps_done(align_steps(a, b))
+
+
+def align_steps(a: Element, b: Element):
     flags = "".join(sorted({*a.flags, *b.flags}))
     x, y = a.parts, b.parts
-    if [p.key for p in x] == [p.key for p in y]:
-        parts = [align(p, q) for p, q in zip(x, y)]
-        return Element(a.key, flags, a.chars + b.chars, parts)
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
+    # equal ends pair up; only what lies between them has to be searched
+    short = min(len(x), len(y))
+    head = next((i for i in range(short) if x[i].key != y[i].key), short)
+    tail = next((i for i in range(short - head) if x[-1 - i].key != y[-1 - i].key), short - head)
+    m, n = len(x) - tail, len(y) - tail
+    best = [[0] * (n - head + 1) for _ in range(m - head + 1)]
+    for i in range(m - 1, head - 1, -1):
+        for j in range(n - 1, head - 1, -1):
             if x[i].key == y[j].key:
-                best[i][j] = best[i + 1][j + 1] + 1
+                best[i - head][j - head] = best[i - head + 1][j - head + 1] + 1
             else:
-                best[i][j] = max(best[i + 1][j], best[i][j + 1])
+                best[i - head][j - head] = max(best[i - head + 1][j - head], best[i - head][j - head + 1])
     parts, i, j = [], 0, 0
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i].key == y[j].key:
-            parts.append(align(x[i], y[j]))
+        inside = head <= i < m or head <= j < n
+        if i < len(x) and j < len(y) and x[i].key == y[j].key and (not inside or i < m and j < n):
+            parts.append((yield align_steps(x[i], y[j])))
             i, j = i + 1, j + 1
             continue
-        if j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
+        if j == n or i < m and best[i - head + 1][j - head] >= best[i - head][j - head + 1]:
             part, i = x[i], i + 1
         else:
             part, j = y[j], j + 1
         part.flags = "".join(sorted({*part.flags, "?"}))
         parts.append(part)
-    return Element(a.key, flags, a.chars + b.chars, fold(parts))
+    if [p.key for p in x] != [p.key for p in y]:
+        parts = yield fold_steps(parts)
+    return Element(a.key, flags, a.chars + b.chars, parts)
 
 
-def places(wrapper: Element, by_name: bool = True) -> list[str]:
-    """The paths of the elements that hold the main text; names drop nothing if they would drop all."""
-    articles, mains, named = [], [], []
-    amount: dict[int, int] = {}
+def below(path: int, key: str) -> int:
+    """The number of an element's path, from that of the element around it."""
+    return xxh64_intdigest(key.encode(), path) >> 1
+
+
+ROOT = 0
 
-    def walk(part: Element, path: str, inside: bool) -> int:
-        here = path if part.key.startswith("(") or not part.key else f"{path}/{part.key}"
-        if part.key and not part.key.startswith("("):
+
+def places(wrapper: Element, by_name: bool = True) -> list[list[int]]:
+    """The elements that hold the main text, each as the numbers of the paths down to it.
+
+    Names drop nothing if they would drop all.
+    """
+    found: dict[str, list[tuple[list[int], int]]] = {"article": [], "main": [], "named": []}
+    amount: dict[int, int] = {}
+    # (part, path of what is around it, inside an article); None closes the part before it
+    todo: list[tuple[Element, int, bool] | None] = [(wrapper, ROOT, False)]
+    chain, open_parts, kinds = [], [], []
+    while todo:
+        step = todo.pop()
+        if step is None:
+            part, kind = open_parts.pop(), kinds.pop()
+            amount[id(part)] = part.chars + sum(amount[id(p)] for p in part.parts)
+            if kind:
+                found[kind].append((list(chain), amount[id(part)]))
+            if part.key and not part.key.startswith("("):
+                chain.pop()
+            continue
+        part, path, inside = step
+        kind, grouped = None, part.key.startswith("(")
+        if part.key and not grouped:
             if never(part.key, inside, by_name):
-                return 0
+                amount[id(part)] = 0
+                continue
+            path = below(path, part.key)
+            chain.append(path)
             tag, *names = part.key.replace("-", ".").split(".")
             if not inside:
                 if tag == "article":
-                    articles.append(here)
+                    kind = "article"
                 elif tag == "main" or "main" in names:
-                    mains.append(here)
+                    kind = "main"
                 elif not CONTENT_NAMES.isdisjoint(names):
-                    named.append(here)
+                    kind = "named"
             inside = inside or tag == "article"
-        total = part.chars + sum(walk(p, here, inside) for p in part.parts)
-        amount[id(part)] = total
-        return total
+        open_parts.append(part)
+        kinds.append(kind)
+        todo.append(None)
+        todo += [(p, path, inside) for p in reversed(part.parts)]
 
-    total = walk(wrapper, "", False)
+    total = amount[id(wrapper)]
     if not total and by_name:
         return places(wrapper, False)
-    for found in (articles, mains, named):
-        if found:
-            # an element inside another one of these is read with it
-            return sorted(f for f in set(found) if not any(f.startswith(g + "/") for g in found))
-    path, part = "", wrapper
+    chosen: list[tuple[list[int], int]] = []
+    for kind in found.values():
+        least = sum(n for _, n in chosen)
+        taken = {c[-1] for c, _ in chosen}
+        above = {path for c, _ in chosen for path in c}
+        # later kinds are read where no earlier one is in or around them, and only if they hold more
+        new = [(c, n) for c, n in kind if not taken & set(c) and c[-1] not in above and n > least]
+        # an element inside another one of these is read with it
+        last = {c[-1] for c, _ in new}
+        chosen += [(c, n) for c, n in new if not last & set(c[:-1])]
+    if chosen:
+        return sorted({tuple(c): list(c) for c, _ in chosen}.values())
+    return container(wrapper, amount, by_name)
+
+
+def container(wrapper: Element, amount: dict[int, int], by_name: bool) -> list[list[int]]:
+    """The innermost container with nearly all text, and the headings and paragraphs before it."""
+    total, part, chain, beside = amount[id(wrapper)], wrapper, [], []
     while True:
         heavy = [
-            p
-            for p in part.parts
+            i
+            for i, p in enumerate(part.parts)
             if amount.get(id(p), 0) > 0.8 * total and "+" not in p.flags and tag_of(p.key) in CONTAINERS
         ]
         if not heavy:
-            return [path]
-        part = heavy[0]
-        path = f"{path}/{part.key}"
+            return [*beside, chain or [ROOT]]
+        around = chain[-1] if chain else ROOT
+        for p in part.parts[: heavy[0]]:
+            if tag_of(p.key) in LEADING and not never(p.key, False, by_name):
+                beside.append([*chain, below(around, p.key)])
+        part = part.parts[heavy[0]]
+        chain = [*chain, below(around, part.key)]
 
 
-def read_text(page: str, where: list[str]) -> str | None:
+def read_text(page: str, where: list[list[int]]) -> str | None:
     """The main text at the given places; None if the page has none of them."""
-    wanted = set(where)
-    around = {w[:i] for w in wanted for i in range(len(w)) if w[i] == "/"} | wanted
-    found = "" in wanted
+    wanted = {chain[-1] for chain in where}
+    around = {path for chain in where for path in chain}
+    found = ROOT in wanted
     blocks, block = [], []
 
     def flush():
@@ -317,8 +416,8 @@ def read_text(page: str, where: list[str]) -> str | None:
             blocks.append(text)
         block.clear()
 
-    # for each open element: its path, inside a place, dropped
-    stack = [("", found, False)]
+    # for each open element: its path, inside a place, dropped, inside an article
+    stack = [(ROOT, found, False, False)]
     for kind, value in events(page):
         if kind == "text":
             if stack[-1][1] and not stack[-1][2]:
@@ -327,18 +426,19 @@ def read_text(page: str, where: list[str]) -> str | None:
         if kind == "break" or (value if kind == "close" else tag_of(value)) not in INLINE:
             flush()
         if kind == "open":
-            path, inside, dropped = stack[-1]
-            path = f"{path}/{value}"
+            path, inside, dropped, article = stack[-1]
+            path = below(path, value)
+            article = article or tag_of(value) == "article"
             found = found or path in wanted
-            dropped = dropped or never(value, "/article" in path, path not in around)
-            stack.append((path, inside or path in wanted, dropped))
+            dropped = dropped or never(value, article, path not in around)
+            stack.append((path, inside or path in wanted, dropped, article))
         elif kind == "close":
             stack.pop()
     flush()
     return " ".join(blocks) if found else None
 
 
-def main_text(page: str | None, where: list[str]) -> str:
+def main_text(page: str | None, where: list[list[int]]) -> str:
     if not page:
         return ""
     text = read_text(page, where)
@@ -409,19 +509,23 @@ def extract(
     rows = pages.select(
         F.col(f"`{id}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html")
     ).withColumn("host", host_of(F.col("url")))
-    joined = rows.join(wrapped, "host", "left").select("id", "url", "html", "wrapper")
+
+    def to_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [places(Element.read(json.loads(w))) for w in batch.column("wrapper").to_pylist()]
+            kind = pa.list_(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, kind)], ["host", "where"])
+
+    # short rows in a table of known size: Spark sends them to the pages where they are few, and
+    # html is dealt by host only where they are not
+    where = land(wrapped.mapInArrow(to_places, "host string, where array<array<bigint>>"), "places")
+    joined = rows.join(where, "host", "left").select("id", "url", "html", "where")
     kind = joined.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, list[str]] = {None: []}
         for piece in pieces(batches, "html"):
-            texts = []
-            for page, stored in zip(piece.column("html").to_pylist(), piece.column("wrapper").to_pylist()):
-                if stored not in known:
-                    if len(known) > 1000:
-                        known = {None: []}
-                    known[stored] = places(Element.read(json.loads(stored)))
-                texts.append(main_text(page, known[stored]))
+            columns = (piece.column(c).to_pylist() for c in ("html", "where"))
+            texts = [main_text(page, found or []) for page, found in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), piece.column("url"), pa.array(texts, pa.string())],
                 ["id", "url", "text"],

@@ -85,3 +85,53 @@ def test_pages_table_equals_a_plain_reading(spark):
 )
 def test_only_whole_names_drop_an_element(page, text):
     assert x.main_text(page, []) == text
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<body>" + "<div>" * 5000 + "far down" + "<b>" * 5000 + " end"
+    long = "<body><article>" + "".join(f"<h2>t{i}</h2><p>w{i}</p><ul><li>l{i}</ul>" for i in range(3000))
+    rows = [(i, f"http://h.org/{i}", page) for i, page in enumerate([deep, deep, deep + "!", long, long + "<p>x"])]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in x.extract(frame).collect()}
+    assert found[0] == found[1] == "far down end" and found[2] == "far down end!"
+    assert found[3] == " ".join(f"t{i} w{i} l{i}" for i in range(3000)) and found[4] == found[3] + " x"
+    tree = x.page_tree(deep)
+    assert x.Element.read(tree.stored()).expression() == tree.expression()
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body><h1>Title</h1><p>Lead</p><div>" + "long " * 50 + "</div><div class=x>menu</div>", "Title Lead " + ("long " * 50).strip()),
+        ("<article>teaser</article><div class='content'>" + "story " * 20 + "</div>", "teaser " + ("story " * 20).strip()),
+        ("<main><article>" + "story " * 20 + "</article><p>more</p></main>", ("story " * 20).strip()),
+        ("<article>" + "story " * 20 + "</article><div class='content'>less</div>", ("story " * 20).strip()),
+    ],
+)
+def test_no_place_hides_a_larger_one(page, text):
+    assert x.main_text(page, []) == text
+
+
+def test_alignment_equals_the_longest_common_order():
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    for _ in range(200):
+        one, two = ([rng.choice("abcdefg") for _ in range(rng.randrange(7))] for _ in range(2))
+        # no tandem repeats, which would be folded
+        one, two = ([k for k, _ in itertools.groupby(t)] for t in (one, two))
+        both = x.align(*(x.Element("", parts=[x.Element(k) for k in t]) for t in (one, two)))
+        if any("+" in p.flags for p in both.parts):
+            continue
+        keys = [(p.key, "?" in p.flags) for p in both.parts]
+        shared = sum(not optional for _, optional in keys)
+        longest = max(
+            n for n in range(len(one) + 1) for c in itertools.combinations(one, n) if is_part(c, two)
+        )
+        assert shared == longest and is_part(one, [k for k, _ in keys]) and is_part(two, [k for k, _ in keys])
+
+
+def is_part(some, whole):
+    rest = iter(whole)
+    return all(k in rest for k in some)
