@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quoteloom.shared import land
 
 LEAF = 64  # points in a leaf of a block's tree
-SAMPLE = 20_000  # rows that the coarse tree is fitted on
+SAMPLE = 20_000  # rows that the coarse tree is fitted on, or four for each of its leaves
 MOST_BLOCKS = 1 << 16
 QUERIES_AT_ONCE = 20_000  # in one task
 
@@ -176,9 +176,10 @@ def nearest(
     def project(batch: np.ndarray) -> np.ndarray:
         return batch / np.sqrt((batch * batch).sum(1, keepdims=True)) @ directions
 
-    share = int(min(1.0, SAMPLE / n) * 2**31)
-    sample = points.where(F.pmod(F.xxhash64("vec_id"), F.lit(2**31)) < share).select("vector").toArrow()
     blocks = min(MOST_BLOCKS, max(1, 2 ** round(log2(max(1.0, n / block_rows)))))
+    # some rows for each leaf of the coarse tree
+    share = int(min(1.0, max(SAMPLE, 4 * blocks) / n) * 2**31)
+    sample = points.where(F.pmod(F.xxhash64("vec_id"), F.lit(2**31)) < share).select("vector").toArrow()
     fitted = _matrix(sample.column("vector").combine_chunks()) if sample.num_rows else np.ones((1, size))
     coarse = KdTree(project(fitted), int(log2(blocks)))
 
@@ -191,12 +192,9 @@ def nearest(
                     ["block", "vec_id", "vector"],
                 )
 
-    asked = queries.count()
-    shares = max(1, ceil(asked / QUERIES_AT_ONCE))
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int").alias("salt")
-    dealt = points.mapInArrow(deal, "block long, vec_id long, vector array<double>")
-    # each share of the queries meets the block in a task of its own
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("salt"))
+    dealt = land(points.mapInArrow(deal, "block long, vec_id long, vector array<double>"), "dealt")
+    # a block with more rows than it should have is searched in parts; one row for each block
+    sizes = dealt.groupBy("block").agg(F.ceil(F.count("*") / F.lit(2 * block_rows)).alias("parts"))
 
     result = "query_id long, vector array<double>, block long, worst double, ids array<long>, scores array<double>"
 
@@ -218,12 +216,31 @@ def nearest(
         return pa.table([pa.array(v, t) for v, t in zip(found.values(), kinds)], names=list(found))
 
     def meet(wanted: DataFrame) -> DataFrame:
-        keys = ("block", "salt")
-        return dealt.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInArrow(search, result)
+        """Every query with all parts of its block; blocks that no query asks for stay where they are.
 
-    home = queries.mapInArrow(deal, "block long, vec_id long, vector array<double>")
-    first = meet(home.select("*", salt, F.lit(float("inf")).alias("worst")))
-    first = land(first, "first-search")
+        A block of many queries is sent once for each ``QUERIES_AT_ONCE`` of them.
+        """
+        per = wanted.groupBy("block").agg(F.ceil(F.count("*") / F.lit(QUERIES_AT_ONCE)).alias("shares"))
+        per = land(per.join(sizes, "block"), "blocks")
+        one = F.lit(1).cast("long")
+        there = dealt.join(per, "block").select(
+            "block",
+            "vec_id",
+            "vector",
+            F.pmod(F.xxhash64("vec_id"), "parts").alias("part"),
+            F.explode(F.sequence(one, "shares")).alias("share"),
+        )
+        asked = wanted.join(per, "block", "left").select(
+            *wanted.columns,
+            (F.pmod(F.xxhash64("vec_id"), F.coalesce("shares", one)) + 1).alias("share"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", one) - 1)).alias("part"),
+        )
+        keys = ("block", "part", "share")
+        return there.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, result)
+
+    home = land(queries.mapInArrow(deal, "block long, vec_id long, vector array<double>"), "queries")
+    first = land(meet(home.withColumn("worst", F.lit(float("inf")))), "first-search")
+    best = first.groupBy("query_id", "vector", "block").agg(F.min("worst").alias("worst"))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = coarse.boxes(dims)
@@ -244,10 +261,10 @@ def nearest(
                         ["block", "vec_id", "vector", "worst"],
                     )
 
-    routed = first.select("query_id", "vector", "block", "worst").mapInArrow(
+    routed = best.select("query_id", "vector", "block", "worst").mapInArrow(
         route, "block long, vec_id long, vector array<double>, worst double"
     )
-    more = meet(routed.select("*", salt))
+    more = meet(land(routed, "visits"))
     hits = first.select("query_id", "ids", "scores").union(more.select("query_id", "ids", "scores"))
     hits = hits.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("hit"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

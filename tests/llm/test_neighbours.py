@@ -68,3 +68,30 @@ def test_few_rows_and_empty_table(spark):
     assert [(r.rank, r.vec_id) for r in got] == [(1, 1), (2, 2)]
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") == 0).count() == 0
     assert neighbours.nearest(frame.limit(1), F.col("vec_id") == 0).count() == 0
+
+
+def test_hot_and_oversized_blocks_are_split(spark, monkeypatch):
+    """A third of all rows and most queries lie close together, so one block gets them."""
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=64) + (6.0 if i % 3 else 0.0)).tolist()) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "QUERIES_AT_ONCE", 7)
+    sent = []
+    land = neighbours.land
+
+    def noted(df, label):
+        landed = land(df, label)
+        if label in ("blocks", "dealt", "queries"):
+            sent.append((label, landed))
+        return landed
+
+    monkeypatch.setattr(neighbours, "land", noted)
+    got = neighbours.nearest(frame, F.col("vec_id") % 10 == 0, block_rows=20, sure=1.0).collect()
+    assert recall(got, brute(rows, 10)) == 1
+    (_, dealt), (_, asked), (_, first), (_, second) = sent
+    sizes = {r["block"]: r["count"] for r in dealt.groupBy("block").count().collect()}
+    queries = {r["block"]: r["count"] for r in asked.groupBy("block").count().collect()}
+    # copies follow the queries of a block, and blocks without queries are not sent at all
+    assert {r.block: r.shares for r in first.collect()} == {b: -(-n // 7) for b, n in queries.items()}
+    assert {r.block: r.parts for r in first.collect()} == {b: -(-sizes[b] // 40) for b in queries}
+    assert len(queries) < len(sizes) and max(sizes.values()) < 900
