@@ -4,15 +4,19 @@ A wrapper is a union-free regular expression over a host's pages: elements with
 slots, in which a part may be optional or repeated, but never one of several.  A page is
 such an expression to begin with, its tandem repeats folded into groups.  Aligning two
 expressions pairs their equal elements in order; what only one of them has becomes
-optional.  So a host's wrapper grows page by page.  Its elements also count the text that
-its pages have there.
+optional.  An element's whole text goes into the expression as a hash: where two pages differ it becomes
+a slot, else it stays a constant of the template.  So a host's wrapper grows page by page.  Its
+elements also count the text that its pages have there.
 
 From the wrapper follow the places of the main text: its article elements, its main element
 and elements named for content, the later ones where they hold more than the earlier and
-are not in or around them; else the innermost container that holds nearly all text
+are not in or around them; else the innermost container that holds nearly all of the other text
 outside links, with the headings and paragraphs that come before it.  A page's text is read from those places without the parts whose
-tag, class, id or role says menu, header, footer, sidebar, notice, advert, form or comment.
-A page that has none of its host's places is read by the wrapper of its own.
+tag, class, id or role says menu, header, footer, sidebar, notice, advert, form or comment,
+and without the template: blocks outside articles whose text is constant over all pages of the
+host, if it has three or more and its slots hold more text than they.  What an article element
+holds is its own, and an optional or a single page's block is no template.  A page that has
+none of its host's places is read by the wrapper of its own, which has no template.
 
 Wrappers are merged inside each task first, so a hot host sends one expression a task; equal
 ones go once; the merge over tasks streams through a host's sorted rows.
@@ -24,7 +28,9 @@ the named ones do not take part.
 
 from __future__ import annotations
 
+import functools
 import html
+import itertools
 import json
 import re
 from collections import Counter
@@ -82,33 +88,47 @@ NEVER_NAMES = set(
 )
 HEAD_NAMES = {"header"}
 WHOLE = set("html body main article".split())  # no name drops these
+# what says where or how much in a name and not what: "comment-list" is as good as "comment"
+PLACE_WORDS = set(
+    "left right top bottom main site page global primary secondary list slot box area section block"
+    " container wrapper wrap inner outer bar panel link links button buttons item items user users"
+    " reader readers posts stories articles topics".split()
+)
 CONTENT_NAMES = set("article content post entry story main".split())
 LEADING = set("h1 h2 h3 h4 h5 h6 p blockquote".split())
 CONTAINERS = set("html body div section main center table tbody tr td".split())
 
 
+SLOT = -1
+
+
 class Element:
     """A part of an expression: an element, or a repeated group of elements."""
 
-    __slots__ = ("key", "flags", "chars", "parts")
+    __slots__ = ("key", "flags", "chars", "parts", "text", "pages")
 
-    def __init__(self, key: str, flags: str = "", chars: int = 0, parts: list | None = None):
+    def __init__(
+        self, key: str, flags: str = "", chars: int = 0, parts: list | None = None, text: int = 0, pages: int = 1
+    ):
         self.key, self.flags, self.chars, self.parts = key, flags, chars, parts or []
+        # of all text inside: 0 for none, a hash while it is the same on all pages, or SLOT
+        self.text = text
+        self.pages = pages
 
     def stored(self) -> list:
         """The parts in page order, each with its depth."""
         rows, todo = [], [(0, self)]
         while todo:
             depth, part = todo.pop()
-            rows.append([depth, part.key, part.flags, part.chars])
+            rows.append([depth, part.key, part.flags, part.chars, part.text, part.pages])
             todo += [(depth + 1, p) for p in reversed(part.parts)]
         return rows
 
     @staticmethod
     def read(stored: list) -> Element:
         open_parts: list[Element] = []
-        for depth, key, flags, chars in stored:
-            part = Element(key, flags, chars)
+        for depth, key, flags, chars, text, pages in stored:
+            part = Element(key, flags, chars, None, text, pages)
             del open_parts[depth:]
             if open_parts:
                 open_parts[-1].parts.append(part)
@@ -116,7 +136,7 @@ class Element:
         return open_parts[0]
 
     def expression(self) -> str:
-        """The expression as text: ? optional, + repeated, # a text slot."""
+        """The expression as text: ? optional, + repeated, # a text."""
         return steps_done(self._expression())
 
     def _expression(self):
@@ -159,6 +179,16 @@ def tag_of(key: str) -> str:
     return key.split(".", 1)[0]
 
 
+def says(names: list[str], words: set[str]) -> bool:
+    """Whether a name is one of ``words``, or is made of such words and of those for places alone."""
+    for name in names:
+        parts = set(name.split("-"))
+        if not parts.isdisjoint(words) and parts <= words | PLACE_WORDS:
+            return True
+    return False
+
+
+@functools.lru_cache(20_000)
 def never(key: str, inside: bool, named: bool = True) -> bool:
     """Whether an element is no main text, here ``inside`` an article or not; ``named``: by whole names, too."""
     tag, *names = key.split(".")
@@ -166,7 +196,7 @@ def never(key: str, inside: bool, named: bool = True) -> bool:
         return True
     if not named or tag in WHOLE:
         return False
-    return not NEVER_NAMES.isdisjoint(names) or not inside and not HEAD_NAMES.isdisjoint(names)
+    return says(names, NEVER_NAMES) or not inside and says(names, HEAD_NAMES)
 
 
 def events(page: str) -> Iterator[tuple[str, str]]:
@@ -228,6 +258,30 @@ def events(page: str) -> Iterator[tuple[str, str]]:
         yield "close", tag
 
 
+def with_text(text: int, more: str) -> int:
+    return below(text, more) or 1
+
+
+def with_element(text: int, tag: str, inside: int) -> int:
+    """A text's hash with an element after it; what is no text at all, like a script, does not count."""
+    return with_text(text, str(inside)) if inside and tag not in NEVER else text
+
+
+def texts_inside(parsed: list[tuple[str, str]]) -> list[int]:
+    """For each element of a page, in the order of opening, the hash of all text inside."""
+    found, stack = [0], [0]
+    for kind, value in parsed:
+        if kind == "open":
+            stack.append(len(found))
+            found.append(0)
+        elif kind == "close":
+            inside = found[stack.pop()]
+            found[stack[-1]] = with_element(found[stack[-1]], value, inside)
+        elif kind == "text" and (value := value.strip()):
+            found[stack[-1]] = with_text(found[stack[-1]], value)
+    return found[1:]
+
+
 def page_tree(page: str) -> Element:
     root = Element("")
     stack, links = [root], 0
@@ -241,18 +295,25 @@ def page_tree(page: str) -> Element:
             done = stack.pop()
             links -= tag_of(done.key) == "a"
             done.parts = steps_done(fold_steps(done.parts))
-        elif kind == "text" and not links:
-            stack[-1].chars += len(value.strip())
+            stack[-1].text = with_element(stack[-1].text, tag_of(done.key), done.text)
+        elif kind == "text" and (value := value.strip()):
+            stack[-1].text = with_text(stack[-1].text, value)
+            stack[-1].chars += 0 if links else len(value)
     root.parts = steps_done(fold_steps(root.parts))
     return root
 
 
+def fold_key(part: Element) -> str:
+    """What has to be equal in elements that repeat: of a container without a name its parts, too."""
+    return part.key if part.key not in CONTAINERS else " ".join([part.key, *sorted({p.key for p in part.parts})])
+
+
 def fold_steps(parts: list[Element], widest: int = 4):
     """Tandem repeats of up to ``widest`` elements become one, marked as repeated."""
     for width in range(1, widest + 1):
         if len(parts) < 2 * width:
             break
-        keys = [p.key for p in parts]
+        keys = [fold_key(p) for p in parts]
         out, i = [], 0
         while i < len(parts):
             n = 1
@@ -267,7 +328,7 @@ def fold_steps(parts: list[Element], widest: int = 4):
                 more = parts[i + k * width : i + (k + 1) * width]
                 pairs, merged = zip(merged, more), []
                 for a, b in pairs:
-                    merged.append((yield align_steps(a, b)))
+                    merged.append((yield align_steps(a, b, True)))
             if width == 1:
                 merged[0].flags = "".join(sorted({*merged[0].flags, "+"}))
                 out += merged
@@ -283,7 +344,16 @@ def align(a: Element, b: Element) -> Element:
     return steps_done(align_steps(a, b))
 
 
-def align_steps(a: Element, b: Element):
+def text_of_both(a: int, b: int, in_row: bool) -> int:
+    """A mismatch of two pages is a slot; texts ``in_row``, of repeated elements, are one sequence."""
+    if not in_row:
+        return a if a == b else SLOT
+    if SLOT in (a, b):
+        return SLOT
+    return (below(a, str(b)) or 1) if a or b else 0
+
+
+def align_steps(a: Element, b: Element, in_row: bool = False):
     flags = "".join(sorted({*a.flags, *b.flags}))
     x, y = a.parts, b.parts
     # equal ends pair up; only what lies between them has to be searched
@@ -302,7 +372,7 @@ def align_steps(a: Element, b: Element):
     while i < len(x) or j < len(y):
         inside = head <= i < m or head <= j < n
         if i < len(x) and j < len(y) and x[i].key == y[j].key and (not inside or i < m and j < n):
-            parts.append((yield align_steps(x[i], y[j])))
+            parts.append((yield align_steps(x[i], y[j], in_row)))
             i, j = i + 1, j + 1
             continue
         if j == n or i < m and best[i - head + 1][j - head] >= best[i - head][j - head + 1]:
@@ -313,7 +383,8 @@ def align_steps(a: Element, b: Element):
         parts.append(part)
     if [p.key for p in x] != [p.key for p in y]:
         parts = yield fold_steps(parts)
-    return Element(a.key, flags, a.chars + b.chars, parts)
+    text = text_of_both(a.text, b.text, in_row)
+    return Element(a.key, flags, a.chars + b.chars, parts, text, max(a.pages, b.pages) if in_row else a.pages + b.pages)
 
 
 def below(path: int, key: str) -> int:
@@ -324,10 +395,47 @@ def below(path: int, key: str) -> int:
 ROOT = 0
 
 
-def places(wrapper: Element, by_name: bool = True) -> list[list[int]]:
+def template(wrapper: Element, least: int = 3) -> set[int]:
+    """Blocks outside articles whose text is constant over all pages of a host, as numbers of path and text.
+
+    What is optional is none, and there is no template in fewer than ``least`` pages, nor one
+    that holds more text than the slots.
+    """
+    if wrapper.pages < least:
+        return set()
+    order, todo = [], [wrapper]
+    while todo:
+        part = todo.pop()
+        order.append(part)
+        todo += part.parts
+    amount = {}
+    for p in reversed(order):
+        amount[id(p)] = p.chars + sum(amount[id(c)] for c in p.parts)
+    found: dict[int, int] = {}
+    slots = 0
+    walk = [(wrapper, ROOT, True)]
+    while walk:
+        part, path, everywhere = walk.pop()
+        everywhere = everywhere and "?" not in part.flags
+        if part.key and not part.key.startswith("("):
+            if never(part.key, False):
+                continue
+            path, tag = below(path, part.key), tag_of(part.key)
+            if tag == "article":
+                slots += amount[id(part)]
+                continue
+            if tag not in INLINE and part.text not in (0, SLOT) and everywhere and "+" not in part.flags:
+                found[below(path, str(part.text))] = amount[id(part)]
+                continue
+        slots += part.chars
+        walk += [(p, path, everywhere) for p in part.parts]
+    return set(found) if sum(found.values()) < slots else set()
+
+
+def places(wrapper: Element, by_name: bool = True, fixed: set[int] = frozenset()) -> list[list[int]]:
     """The elements that hold the main text, each as the numbers of the paths down to it.
 
-    Names drop nothing if they would drop all.
+    Names drop nothing if they would drop all.  The template, in ``fixed``, is no text.
     """
     found: dict[str, list[tuple[list[int], int]]] = {"article": [], "main": [], "named": []}
     amount: dict[int, int] = {}
@@ -347,10 +455,10 @@ def places(wrapper: Element, by_name: bool = True) -> list[list[int]]:
         part, path, inside = step
         kind, grouped = None, part.key.startswith("(")
         if part.key and not grouped:
-            if never(part.key, inside, by_name):
+            path = below(path, part.key)
+            if never(part.key, inside, by_name) or not inside and below(path, str(part.text)) in fixed:
                 amount[id(part)] = 0
                 continue
-            path = below(path, part.key)
             chain.append(path)
             tag, *names = part.key.replace("-", ".").split(".")
             if not inside:
@@ -368,7 +476,7 @@ def places(wrapper: Element, by_name: bool = True) -> list[list[int]]:
 
     total = amount[id(wrapper)]
     if not total and by_name:
-        return places(wrapper, False)
+        return places(wrapper, False, fixed)
     chosen: list[tuple[list[int], int]] = []
     for kind in found.values():
         least = sum(n for _, n in chosen)
@@ -381,10 +489,10 @@ def places(wrapper: Element, by_name: bool = True) -> list[list[int]]:
         chosen += [(c, n) for c, n in new if not last & set(c[:-1])]
     if chosen:
         return sorted({tuple(c): list(c) for c, _ in chosen}.values())
-    return container(wrapper, amount, by_name)
+    return container(wrapper, amount, by_name, fixed)
 
 
-def container(wrapper: Element, amount: dict[int, int], by_name: bool) -> list[list[int]]:
+def container(wrapper: Element, amount: dict[int, int], by_name: bool, fixed: set[int]) -> list[list[int]]:
     """The innermost container with nearly all text, and the headings and paragraphs before it."""
     total, part, chain, beside = amount[id(wrapper)], wrapper, [], []
     while True:
@@ -397,14 +505,16 @@ def container(wrapper: Element, amount: dict[int, int], by_name: bool) -> list[l
             return [*beside, chain or [ROOT]]
         around = chain[-1] if chain else ROOT
         for p in part.parts[: heavy[0]]:
-            if tag_of(p.key) in LEADING and not never(p.key, False, by_name):
-                beside.append([*chain, below(around, p.key)])
+            path = below(around, p.key)
+            if tag_of(p.key) in LEADING and below(path, str(p.text)) not in fixed and not never(p.key, False, by_name):
+                beside.append([*chain, path])
         part = part.parts[heavy[0]]
         chain = [*chain, below(around, part.key)]
 
 
-def read_text(page: str, where: list[list[int]]) -> str | None:
-    """The main text at the given places; None if the page has none of them."""
+def read_text(page: str, where: list[list[int]], fixed: list[int] = ()) -> str | None:
+    """The main text at the given places without the template's; None if the page has none of them."""
+    fixed = set(fixed)
     wanted = {chain[-1] for chain in where}
     around = {path for chain in where for path in chain}
     found = ROOT in wanted
@@ -416,9 +526,11 @@ def read_text(page: str, where: list[list[int]]) -> str | None:
             blocks.append(text)
         block.clear()
 
+    parsed = list(events(page)) if fixed else events(page)
+    inside_of = iter(texts_inside(parsed)) if fixed else itertools.repeat(0)
     # for each open element: its path, inside a place, dropped, inside an article
     stack = [(ROOT, found, False, False)]
-    for kind, value in events(page):
+    for kind, value in parsed:
         if kind == "text":
             if stack[-1][1] and not stack[-1][2]:
                 block.append(value)
@@ -430,7 +542,9 @@ def read_text(page: str, where: list[list[int]]) -> str | None:
             path = below(path, value)
             article = article or tag_of(value) == "article"
             found = found or path in wanted
+            text = next(inside_of)
             dropped = dropped or never(value, article, path not in around)
+            dropped = dropped or not article and below(path, str(text)) in fixed
             stack.append((path, inside or path in wanted, dropped, article))
         elif kind == "close":
             stack.pop()
@@ -438,10 +552,10 @@ def read_text(page: str, where: list[list[int]]) -> str | None:
     return " ".join(blocks) if found else None
 
 
-def main_text(page: str | None, where: list[list[int]]) -> str:
+def main_text(page: str | None, where: list[list[int]], fixed: list[int] = ()) -> str:
     if not page:
         return ""
-    text = read_text(page, where)
+    text = read_text(page, where, fixed)
     return read_text(page, places(page_tree(page))) if text is None else text
 
 
@@ -470,9 +584,14 @@ def wrappers(pages: DataFrame, *, url: str = "url", html: str = "html", most: in
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
+            seen = set()
             for piece in pieces(batches, "html"):
                 for host, page in zip(*(piece.column(c).to_pylist() for c in ("host", "html"))):
-                    yield host, page_tree(page)
+                    # copies say nothing of what differs
+                    mark = xxh64_intdigest(page.encode(), below(ROOT, host))
+                    if mark not in seen:
+                        seen.add(mark)
+                        yield host, page_tree(page)
 
         yield from map(_batch, _merging(each(), most))
 
@@ -512,20 +631,22 @@ def extract(
 
     def to_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [places(Element.read(json.loads(w))) for w in batch.column("wrapper").to_pylist()]
-            kind = pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, kind)], ["host", "where"])
+            trees = [Element.read(json.loads(w)) for w in batch.column("wrapper").to_pylist()]
+            fixed = [template(t) for t in trees]
+            found = pa.array([places(t, fixed=f) for t, f in zip(trees, fixed)], pa.list_(pa.list_(pa.int64())))
+            fixed = pa.array([sorted(f) for f in fixed], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), found, fixed], ["host", "where", "fixed"])
 
     # short rows in a table of known size: Spark sends them to the pages where they are few, and
     # html is dealt by host only where they are not
-    where = land(wrapped.mapInArrow(to_places, "host string, where array<array<bigint>>"), "places")
-    joined = rows.join(where, "host", "left").select("id", "url", "html", "where")
+    where = land(wrapped.mapInArrow(to_places, "host string, where array<array<bigint>>, fixed array<bigint>"), "places")
+    joined = rows.join(where, "host", "left").select("id", "url", "html", "where", "fixed")
     kind = joined.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "html"):
-            columns = (piece.column(c).to_pylist() for c in ("html", "where"))
-            texts = [main_text(page, found or []) for page, found in zip(*columns)]
+            columns = (piece.column(c).to_pylist() for c in ("html", "where", "fixed"))
+            texts = [main_text(page, found or [], fixed or []) for page, found, fixed in zip(*columns)]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), piece.column("url"), pa.array(texts, pa.string())],
                 ["id", "url", "text"],

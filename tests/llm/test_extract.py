@@ -135,3 +135,60 @@ def test_alignment_equals_the_longest_common_order():
 def is_part(some, whole):
     rest = iter(whole)
     return all(k in rest for k in some)
+
+
+@pytest.mark.parametrize("name", ["comment-list", "sidebar-left", "ad-slot", "user_comments", "site-footer", "main-nav"])
+def test_names_of_known_words_drop_an_element(name):
+    assert x.main_text(f"<article><p>x<div class='{name}'><p>y</div></article>", []) == "x"
+    assert x.main_text(f"<body class={name}><article><p>x</article>", []) == "x"
+
+
+def site(pages, article=False):
+    """Pages of a plain template: a menu, a label and a foot that say the same on each."""
+    body = "article" if article else "div"
+    return [
+        "<body><div><p>Home</p><p>News</p><p>About us</p></div>"
+        f"<{body}><h1>{title}</h1><h2>Today</h2>" + "".join(f"<p>{p}</p>" for p in text) + f"</{body}><div>All rights reserved</div>"
+        for title, text in pages
+    ]
+
+
+STORIES = [(f"Title {i}", [f"story {i} says {k} " + "word " * 20 for k in range(i % 3 + 1)]) for i in range(7)]
+
+
+def told(story, *label):
+    title, text = story
+    return " ".join(" ".join([title, *label, *text]).split())
+
+
+def read_host(spark, pages):
+    rows = [(i, f"http://plain.org/{i}", page) for i, page in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r.text for r in x.extract(frame).orderBy("page_id").collect()]
+
+
+def test_texts_that_differ_are_slots_and_constant_blocks_go(spark):
+    assert read_host(spark, site(STORIES)) == [told(s) for s in STORIES]
+    # an article's own labels stay
+    assert read_host(spark, site(STORIES, article=True)) == [told(s, "Today") for s in STORIES]
+
+
+def test_what_is_no_template_stays(spark):
+    # two pages are no evidence
+    assert "Today" in read_host(spark, site(STORIES[:2]))[0]
+    # copies of one page hold no slot
+    same = read_host(spark, site(STORIES[:1]) * 6)
+    assert all(told(STORIES[0], "Today") in text for text in same)
+    # a block that a page does not have, or has with another text, is none
+    pages = [*site(STORIES[:5]), *(p.replace("<h2>Today</h2>", new) for p, new in zip(site(STORIES[5:]), ("", "<h2>Now</h2>")))]
+    got = read_host(spark, pages)
+    assert got[0] == told(STORIES[0], "Today") and got[5] == told(STORIES[5]) and got[6] == told(STORIES[6], "Now")
+
+
+def test_a_constant_word_inside_a_block_that_differs_stays():
+    trees = [x.page_tree(f"<body><p>By <b>the desk</b> on {d}</p><p>{'text ' * 9}{d}<hr></p><div>foot</div>") for d in "abc"]
+    wrapper = x.align(x.align(trees[0], trees[1]), trees[2])
+    fixed = x.template(wrapper)
+    assert len(fixed) == 1 and wrapper.pages == 3
+    page = "<body><p>By <b>the desk</b> on d</p><p>text</p><div>foot</div>"
+    assert x.main_text(page, x.places(wrapper, fixed=fixed), fixed) == "By the desk on d text"
