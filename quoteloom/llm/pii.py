@@ -255,19 +255,20 @@ def skip_links(graph: Graph) -> list[tuple[int, int]]:
     return links
 
 
-def most_rounds(graph: Graph) -> int:
-    """Damped messages need some rounds a link, along the longest run of neighbours."""
-    longest, run, last = 0, 0, None
+def most_rounds(graph: Graph) -> np.ndarray:
+    """For each text: damped messages need some rounds a link, along its longest run of neighbours."""
+    longest, run, last = np.zeros(max(graph.doc) + 1, np.int64), 0, None
     for a, b in graph.chain:
         run = run + 1 if a == last else 1
-        longest, last = max(longest, run), b
+        longest[graph.doc[a]], last = max(longest[graph.doc[a]], run), b
     return 40 + 4 * longest
 
 
 def beliefs(graph: Graph, potentials: Potentials, rounds: int | None = None) -> np.ndarray:
     """The label probabilities of all nodes after loopy message passing.
 
-    Without ``rounds`` it ends when no message changes by a thousandth.
+    Without ``rounds`` each text's messages stay as they are once none of them changes by a
+    thousandth, so what a text gets does not depend on the texts beside it.
     """
     features, seen = np.array(graph.features), np.array(graph.seen)
     own = potentials.shape[features[:, 0]] + potentials.word[features[:, 1]]
@@ -284,18 +285,23 @@ def beliefs(graph: Graph, potentials: Potentials, rounds: int | None = None) ->
         edge, table = np.array(edges), np.array(tables)
         back = np.arange(len(edge)) ^ 1
         message = np.zeros((len(edge), LABELS))
-        for _ in range(most_rounds(graph) if rounds is None else rounds):
+        text = np.array(graph.doc)[edge[:, 0]]
+        limit = most_rounds(graph)[text] if rounds is None else np.full(len(edge), rounds)
+        live, turn = np.flatnonzero(limit > 0), 0
+        while len(live):
             total = own.copy()
-            np.add.at(total, edge[:, 1], message)
-            cavity = total[edge[:, 0]] - message[back]
-            sent = cavity[:, :, None] + table
+            np.add.at(total, edge[live, 1], message[live])
+            cavity = total[edge[live, 0]] - message[back[live]]
+            sent = cavity[:, :, None] + table[live]
             top = sent.max(1, keepdims=True)
             new = np.log(np.exp(sent - top).sum(1)) + top[:, 0]
             new -= new.max(1, keepdims=True)
-            change = np.abs(new - message).max()
-            message = 0.5 * message + 0.5 * new
-            if rounds is None and change < 1e-3:
-                break
+            change = np.zeros(text.max() + 1)
+            np.maximum.at(change, text[live], np.abs(new - message[live]).max(1))
+            message[live] = 0.5 * message[live] + 0.5 * new
+            turn += 1
+            unsettled = change[text[live]] >= 1e-3 if rounds is None else True
+            live = live[(limit[live] > turn) & unsettled]
         total = own.copy()
         np.add.at(total, edge[:, 1], message)
     p = np.exp(total - total.max(1, keepdims=True))

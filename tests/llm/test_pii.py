@@ -104,3 +104,18 @@ def test_long_chains_settle():
     np.fill_diagonal(table, 12.0)
     p = pii.beliefs(graph, pii.Potentials(np.zeros((pii.BUCKETS, 5)), np.zeros((pii.BUCKETS, 5)), table, 0 * table))
     assert p[-1].argmax() == 3 and p[-1, 3] > 0.9
+
+
+def test_a_text_gets_the_same_alone_and_beside_others(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"{rng.integers(300)}-{rng.integers(9)}" for _ in range(n)) for n in (3, 40, 1, 12)]
+    texts[2] = "call +49 30 1234567 now and 1234567 then 8 9 10 8"
+    model = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    together, graph = pii.Graph(texts), [pii.Graph([t]) for t in texts]
+    alone = np.concatenate([pii.beliefs(g, model) for g in graph if g.doc])
+    assert np.array_equal(pii.beliefs(together, model), alone)
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    assert pii.find_pii(frame).count() == 0 and pii.mask_pii(pii.find_pii(frame)).count() == 0
