@@ -8,10 +8,10 @@ occurrences are located from the samples and merged into spans.
 Words that no item has act as separators, and a stretch between separators too short for
 any phrase is left out of the index, for no occurrence can touch either.
 
-The benchmark is taken in passes of bounded size, each a pass over the documents.  No
-document moves: memory follows the shard and the pass.
+The benchmark is taken in passes of bounded size, each a pass over the documents, which are
+landed between two of them.  No document is shuffled: memory follows the shard and the pass.
 
-Nulls: a null text has no words.  Items that are null, have no id or no words are no phrases.
+Empty tables: no documents give no rows, no items no hits.  Nulls: a null text has no words.  Items that are null, have no id or no words are no phrases.
 Repeated documents and items are fine; an item counts once.  All columns of the documents
 pass through; the operator's own column names must be free.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quoteloom.llm.common import pieces
+from quoteloom.shared import Landing
 
 # A-Z in lower case; bytes that no word has become spaces.
 WORD_BYTES = bytes(
@@ -214,7 +215,11 @@ def find_leaks(
     shard_bytes: int = 16_000_000,
     pass_bytes: int = 16_000_000,
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``spans`` (word ranges hit) and ``items`` (ids that hit)."""
+    """``docs`` with ``n_words``, ``spans`` (word ranges hit) and ``items`` (ids that hit).
+
+    A pass searches for about ``pass_bytes`` of the benchmark, all that the driver and a task hold
+    of it at a time.  What a pass before the last one finds is landed, so each plan has one pass.
+    """
     taken = {"n_words", "spans", "items", "_bytes"} & set(docs.columns)
     if taken:
         raise ValueError(f"the documents already have columns {sorted(taken)}")
@@ -225,11 +230,16 @@ def find_leaks(
     kind = T.ArrayType(asked.schema["id"].dataType)
     span = T.ArrayType(T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()))
     result = docs.withColumn("_bytes", F.col(f"`{text}`").cast("binary"))
+    landing = Landing(docs.sparkSession)
     for turn in range(passes):
         part = asked.where(F.pmod(F.hash("id"), F.lit(passes)) == turn)
         rows = part.select("id", F.col("text").cast("binary")).toArrow().to_pydict()
         listed = [(i, words_of(t)) for i, t in zip(rows["id"], rows["text"])]
         result = _one_pass(result, Phrases([x for x in listed if x[1]], window), kind, span, shard_bytes)
+        if turn < passes - 1:
+            older, landing = landing, Landing(docs.sparkSession)
+            result = landing.land(result, "pass")
+            older.clear()
     return result.drop("_bytes")
 
 
