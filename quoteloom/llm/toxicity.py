@@ -10,7 +10,9 @@ the id.  Word counts and training rows are made in tasks; the driver gets ``word
 statistics and the sample's rows over those words, then solves for the weights.  Scoring
 reads every whole text in place, without a shuffle.
 
-Nulls: a null text scores like an empty one; rows without label or id teach nothing; a null
+Very long texts count to their end, once for each different word.  Without a usable label every
+score is one half.  Words that tell equally much are taken in the order of the alphabet.  An
+empty table scores no rows.  Nulls: a null text scores like an empty one; rows without label or id teach nothing; a null
 id is not held out.  Repeated rows are rows.  Columns beside the named ones do not take part.
 """
 

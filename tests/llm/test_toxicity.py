@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quoteloom.llm import queries, toxicity
@@ -59,3 +62,48 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
     ids = spark.createDataFrame([(None,), (1,)], "doc_id long")
     assert [r[0] for r in ids.select(toxicity.held_out(F.col("doc_id"))).collect()][0] is False
+
+
+def test_a_score_is_the_logistic_of_its_words():
+    model = toxicity.Model({"vile": 2.0, "slim*": 1.5, "men": -0.5}, -1.25)
+    for text, total in (("VILE, men!", 0.25), ("slimy vile vile", 2.25), ("", -1.25), (None, -1.25), ("slim", -1.25)):
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def loss(w, rows, y, swaps, fairness, ridge):
+    """What the module says it minimises, in plain Python: the last weight is the bias."""
+    total = sum(math.log1p(math.exp(-(2 * t - 1) * (w[-1] + sum(w[i] for i in r)))) for r, t in zip(rows, y)) / len(y)
+    total += ridge / 2 * sum(v * v for v in w[:-1]) + 1e-6 / 2 * w[-1] ** 2
+    return total + fairness / 2 * sum((w[j] - w[i]) ** 2 for i, j in swaps) / len(swaps)
+
+
+@pytest.mark.parametrize("fairness", [0.0, 1.0, 30.0])
+def test_weights_are_a_minimum(fairness):
+    rng = random.Random(4)
+    rows = [sorted(rng.sample(range(5), rng.randrange(4))) for _ in range(80)]
+    y = [int(rng.random() < (0.7 if 0 in r else 0.3)) for r in rows]
+    swaps = [(i, 1 - i) for r in rows for i in (0, 1) if i in r and 1 - i not in r]
+    weights, bias = toxicity.solve([np.array(r, np.int64) for r in rows], np.array(y, float), swaps, 5, fairness, 0.01)
+    best = [*weights.tolist(), bias]
+    here = loss(best, rows, y, swaps, fairness, 0.01)
+    for i in range(6):
+        for step in (-0.05, -0.005, 0.005, 0.05):
+            beside = [v + step * (k == i) for k, v in enumerate(best)]
+            assert loss(beside, rows, y, swaps, fairness, 0.01) > here
+    for _ in range(200):
+        beside = [v + rng.gauss(0, 0.03) for v in best]
+        assert loss(beside, rows, y, swaps, fairness, 0.01) > here
+
+
+def test_the_default_penalty_closes_the_gap(spark):
+    docs, labels = data(spark)
+    model = toxicity.fit(docs, labels)
+    assert abs(model.score("w1 w2 women") - model.score("w1 w2 men")) < 0.05
+    assert model.score("w1 women vile") > 0.5 > model.score("w1 men")
+
+
+def test_a_very_long_text_counts_to_its_end(spark):
+    model = toxicity.Model({"vile": 3.0}, -1.0)
+    frame = spark.createDataFrame([(1, "calm " * 400_000 + "vile"), (2, "calm " * 400_000)], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(frame, model).collect()}
+    assert scores[1] == pytest.approx(1 / (1 + math.exp(-2))) and scores[2] == pytest.approx(1 / (1 + math.e))
