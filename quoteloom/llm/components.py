@@ -3,7 +3,8 @@
 Each round is two aggregations and two joins over the edges.  Minima are combined before
 they are shuffled and joins leave hot nodes to Spark to split, so a node with very many
 neighbours is no hot task.  Rounds grow with the logarithm of a component's size.  Each
-round's edges are written to the shared folder and read back, which cuts the lineage.
+round's edges are written to the shared folder and read back, which cuts the lineage; those of
+the round before are removed then, and only the last ones stay for the result.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.shared import land
+from quoteloom.shared import Landing
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -40,7 +41,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     Edges with a null end and loops are ignored; repeated edges count once.
     """
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u != v").distinct()
-    now = land(now, "edges")
+    landing = Landing(edges.sparkSession)
+    now = landing.land(now, "edges")
     seen = None
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -49,4 +51,6 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         seen = mark
-        now = land(_small_star(_large_star(now).distinct()).where("u != v").distinct(), "edges")
+        older, landing = landing, Landing(edges.sparkSession)
+        now = landing.land(_small_star(_large_star(now).distinct()).where("u != v").distinct(), "edges")
+        older.clear()
