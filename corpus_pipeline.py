@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quoteloom.llm import bpe, decontaminate, pii, simhash, toxicity
 from quoteloom.llm.common import table
-from quoteloom.shared import land
+from quoteloom.shared import Landing
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -71,7 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; what an earlier one landed is removed once the next has read it."""
+    docs, older = table(spark, sf_dir, "documents"), Landing(spark)
     for name, stage in STAGES:
-        docs = land(stage(spark, docs, sf_dir), f"stage-{name}")
+        landing = Landing(spark)
+        docs = landing.land(stage(spark, docs, sf_dir), f"stage-{name}")
+        older.clear()
+        older = landing
     return docs
