@@ -47,27 +47,38 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def read_vocabulary(path: str) -> tuple[dict, dict[str, int], list[bytes]]:
+    """What the file stores of the model, its special tokens, and the string of each id."""
+    with open(path, encoding="utf-8") as f:
+        stored = json.load(f)
+    letters = printable_bytes()
+    vocab = stored["model"]["vocab"]
+    specials = {t["content"]: t["id"] for t in stored.get("added_tokens", [])}
+    strings = [b""] * (1 + max([*vocab.values(), *specials.values()]))
+    for word, i in vocab.items():
+        strings[i] = bytes(letters[c] for c in word)
+    for word, i in specials.items():
+        strings[i] = word.encode()
+    return stored["model"], specials, strings
+
+
+def joined(strings: list[bytes], ids: np.ndarray) -> str:
+    return b"".join(map(strings.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 class Codec:
     """A vocabulary ready for use in one process."""
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 100_000):
         import regex
 
-        with open(path, encoding="utf-8") as f:
-            stored = json.load(f)
-        letters = printable_bytes()
-        vocab = stored["model"]["vocab"]
-        self.specials = {t["content"]: t["id"] for t in stored.get("added_tokens", [])}
-        self.strings = [b""] * (1 + max([*vocab.values(), *self.specials.values()]))
-        for word, i in vocab.items():
-            self.strings[i] = bytes(letters[c] for c in word)
-        for word, i in self.specials.items():
-            self.strings[i] = word.encode()
+        model, self.specials, self.strings = read_vocabulary(path)
+        vocab = model["vocab"]
         by_bytes = {s: i for i, s in enumerate(self.strings)}
         self.byte_ids = [by_bytes[bytes([b])] for b in range(256)]
         # for each left symbol: right symbol -> rank and result, in a heap entry's upper bits
         self.merges = [{} for _ in self.strings]
-        for rank, pair in enumerate(stored["model"]["merges"]):
+        for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             entry = (rank << SYMBOL_BITS | vocab[a + b]) << PLACE_BITS
             self.merges[vocab[a]][vocab[b]] = entry
@@ -148,7 +159,7 @@ class Codec:
         return np.frombuffer(b"".join(parts), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.strings.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return joined(self.strings, ids)
 
 
 def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -181,12 +192,13 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     out = _with_column(df, text, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_state(f"bpe {vocabulary}", lambda: Codec(vocabulary))
+        # decoding needs no merges and no memory of words
+        strings = worker_state(f"bpe strings {vocabulary}", lambda: read_vocabulary(vocabulary)[2])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
                 found = [
-                    codec.decode(row.values.to_numpy()) if row.is_valid else ""
+                    joined(strings, row.values.to_numpy()) if row.is_valid else ""
                     for row in piece.column(ids)
                 ]
                 yield pa.RecordBatch.from_arrays(
